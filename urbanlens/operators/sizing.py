@@ -1,0 +1,29 @@
+"""Size-checked broadcast.
+
+A side is broadcast only after a bounded count has proved it holds at most
+``max_rows`` rows; otherwise it is returned as is and Spark plans a shuffle
+join (AQE may still pick a broadcast at run time from real sizes).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+
+
+def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    ``limit(max_rows + 1).count()`` stops reading once the bound is passed,
+    so the check costs at most ``max_rows + 1`` rows however large ``df`` is.
+    """
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """``F.broadcast(df)`` when its size is proved small, else ``df`` unchanged."""
+    if row_count_at_most(df, max_rows):
+        return F.broadcast(df)
+    return df
