@@ -40,3 +40,27 @@ def topic_job(posts: DataFrame, now: dt.datetime | dt.date, text_col: str = "twe
     by_stem = top_ops.counts_by_stem(counts, stems=stems)
     top = top_ops.top_topics(by_stem, k=k, exclude=exclude, exclude_when=exclude_when)
     return top_ops.topics_row(top, now, reference_format=reference_format)
+
+
+def sentiment_job(posts: DataFrame, lexicon: DataFrame, key: str = "post_id",
+                  text_col: str = "tweets", boosters=None, negators=None, idioms=None,
+                  places: int = 2) -> DataFrame:
+    """K1: ``(post_id, date, station, tweets, sentiment)`` with cleaned text.
+
+    Scores are computed from ``(post, position, word)`` rows that carry only
+    the small columns; the cleaned text is joined back once on the post key.
+    ``places`` is the rounding of the reported score (2 in the original job).
+    """
+    from urbanlens.operators import sentiment as S
+
+    cleaned = posts.select(key, "date", "station", tf.clean_text(text_col).alias("tweets"))
+    scored = S.sentiment_score(
+        cleaned, key, "tweets", lexicon,
+        boosters=S.BOOSTERS if boosters is None else boosters,
+        negators=S.NEGATORS if negators is None else negators,
+        idioms=S.SPECIAL_CASES if idioms is None else idioms,
+        carry=("date", "station"), places=4, display_places=None)
+    scored = scored.select(key, "date", "station",
+                           F.round("compound", places).alias("sentiment"))
+    return scored.join(cleaned.select(key, "tweets"), key, "inner").select(
+        key, "date", "station", "tweets", "sentiment")

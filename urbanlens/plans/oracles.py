@@ -138,3 +138,32 @@ FROM (SELECT source, floor(doc_id / {Q.CONCAT_CHUNK_ROWS})::BIGINT AS chunk, cou
 oracle("union_batches", """SELECT 'doc' AS kind, doc_id AS id, md5(text) AS text_md5 FROM documents
 UNION ALL
 SELECT 'conv' AS kind, conv_id * 1000 + turn AS id, md5(text) AS text_md5 FROM conversations""")
+
+# ---- sentiment --------------------------------------------------------------
+
+from urbanlens.operators import sentiment as _S  # noqa: E402
+from urbanlens.plans.oracle_sentiment import sentiment_sql  # noqa: E402
+
+
+def _sent(carry=()):
+    return sentiment_sql(POSTS, "post_id", CLEAN("tweets"), Q.TEST_LEXICON, Q.TEST_BOOSTERS,
+                         Q.TEST_NEGATORS, _S.SPECIAL_CASES, carry=carry)
+
+
+_PUNCT = "[" + "".join("\\" + ch for ch in _S.PUNCTUATION) + "]"
+_EDGE = sql_str(f"^{_PUNCT}+|{_PUNCT}+$")
+_STRIP = (f"CASE WHEN length(regexp_replace(x, {_EDGE}, '', 'g')) <= 2 THEN x "
+          f"ELSE regexp_replace(x, {_EDGE}, '', 'g') END")
+_LEXV = ", ".join(f"({sql_str(k)}, {float(v)!r}::DOUBLE)" for k, v in Q.TEST_LEXICON.items())
+
+oracle("lexicon_hits", f"""WITH lex AS (SELECT lower(t) AS t, max(v) AS v FROM (VALUES {_LEXV}) AS x(t, v) GROUP BY 1),
+w AS (SELECT post_id, list_transform(list_filter(string_split_regex({CLEAN('tweets')}, '\\s+'),
+        lambda t: t <> ''), lambda x: {_STRIP}) AS l FROM {POSTS}),
+u AS (SELECT post_id, (generate_subscripts(l, 1) - 1)::INTEGER AS pos, unnest(l) AS token FROM w)
+SELECT post_id, pos, token, lex.v AS valence FROM u JOIN lex ON lower(u.token) = lex.t""")
+oracle("sentiment_score", _sent())
+oracle("avg_sentiment_by_source", f"""SELECT station, round(avg(compound), 4) AS avg_sentiment,
+  count(*) AS n_posts FROM ({_sent(('station',))}) GROUP BY station""")
+oracle("sentiment_job", f"""SELECT s.post_id, s.date, s.station, p.tweets, s.compound AS sentiment
+FROM ({_sent(('date', 'station'))}) s
+JOIN (SELECT post_id, {CLEAN('tweets')} AS tweets FROM {POSTS}) p ON s.post_id = p.post_id""")

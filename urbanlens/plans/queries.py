@@ -178,3 +178,48 @@ def q_union_batches(spark, sf):
         F.lit("conv").alias("kind"), (F.col("conv_id") * 1000 + F.col("turn")).alias("id"),
         F.md5("text").alias("text_md5"))
     return tops.union_batches(docs, conv)
+
+
+# ---- sentiment --------------------------------------------------------------
+# Reduced rule tables for the invented driver text (it holds almost no real
+# opinion words): a four-word lexicon, two boosters and two negators.
+TEST_LEXICON = {"er": 2.0, "th": -1.5, "an": 1.0, "nd": -3.0}
+TEST_BOOSTERS = {"the": 0.293, "of": -0.293}
+TEST_NEGATORS = ("and", "to")
+
+
+def _lexicon(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(list(TEST_LEXICON.items()), "token string, valence double")
+
+
+def _scored(spark, sf, carry=()):
+    from urbanlens.operators import sentiment as S
+    posts = B.posts(spark, sf).select("post_id", "station", "date",
+                                      tf.clean_text("tweets").alias("tweets"))
+    return S.sentiment_score(posts, "post_id", "tweets", _lexicon(spark),
+                             boosters=TEST_BOOSTERS, negators=TEST_NEGATORS,
+                             carry=carry, display_places=None)
+
+
+@query("lexicon_hits")
+def q_lexicon_hits(spark, sf):
+    from urbanlens.operators import sentiment as S
+    posts = B.posts(spark, sf).select("post_id", tf.clean_text("tweets").alias("tweets"))
+    return S.lexicon_hits(posts, "post_id", "tweets", _lexicon(spark))
+
+
+@query("sentiment_score")
+def q_sentiment_score(spark, sf):
+    return _scored(spark, sf)
+
+
+@query("avg_sentiment_by_source")
+def q_avg_sentiment_by_source(spark, sf):
+    from urbanlens.operators import sentiment as S
+    return S.avg_sentiment_by(_scored(spark, sf, carry=("station",)), "station")
+
+
+@query("sentiment_job")
+def q_sentiment_job(spark, sf):
+    return jobs.sentiment_job(B.posts(spark, sf), _lexicon(spark), boosters=TEST_BOOSTERS,
+                              negators=TEST_NEGATORS, places=4)
