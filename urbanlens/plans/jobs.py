@@ -64,3 +64,30 @@ def sentiment_job(posts: DataFrame, lexicon: DataFrame, key: str = "post_id",
                            F.round("compound", places).alias("sentiment"))
     return scored.join(cleaned.select(key, "tweets"), key, "inner").select(
         key, "date", "station", "tweets", "sentiment")
+
+
+def collect_posts(posts: DataFrame, stations: DataFrame, km: float = 1.0,
+                  keyword: str | None = "london", lang: str | None = "en",
+                  per_station: int = 10, max_stations: int | None = None,
+                  station_order: str = "Station") -> DataFrame:
+    """K3: the newest ``per_station`` posts within ``km`` of each station.
+
+    Re-aims the remote geo search: stored posts are filtered by language and
+    keyword (pushed to the scan), radius-joined to the stations (cell
+    blocking, size-checked broadcast of the stations) and cut per station
+    with ``row_number`` (map-side ``WindowGroupLimit``). A post near two
+    stations appears once per station, as in the original per-station loop.
+    """
+    from urbanlens.operators import geo, ranking
+
+    centers = ranking.first_n(stations, max_stations, [station_order])
+    src = posts
+    if lang is not None:
+        src = tops.filter_language(src, "lang", lang)
+    if keyword is not None:
+        src = tops.filter_keyword(src, "tweets", keyword)
+    near = geo.radius_join(src.select("post_id", "tweets", "date", "lat", "lon"),
+                           centers.select("Station", "Latitude", "Longitude"), km=km)
+    top = ranking.top_n_per_group(near, "Station", [F.desc("date"), F.asc("post_id")],
+                                  per_station, rank_col=None)
+    return top.select("post_id", "tweets", "date", F.col("Station").alias("station"))

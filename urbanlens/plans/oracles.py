@@ -167,3 +167,37 @@ oracle("avg_sentiment_by_source", f"""SELECT station, round(avg(compound), 4) AS
 oracle("sentiment_job", f"""SELECT s.post_id, s.date, s.station, p.tweets, s.compound AS sentiment
 FROM ({_sent(('date', 'station'))}) s
 JOIN (SELECT post_id, {CLEAN('tweets')} AS tweets FROM {POSTS}) p ON s.post_id = p.post_id""")
+
+# ---- geo, ranking, snapshots -------------------------------------------------
+
+
+def HAV(lat1, lon1, lat2, lon2, r=6371.0088):
+    return (f"({2.0 * r!r} * asin(sqrt(sin((radians({lat2}) - radians({lat1})) / 2.0) * sin((radians({lat2}) - radians({lat1})) / 2.0)"
+            f" + cos(radians({lat1})) * cos(radians({lat2}))"
+            f" * sin((radians({lon2}) - radians({lon1})) / 2.0) * sin((radians({lon2}) - radians({lon1})) / 2.0))))")
+
+
+PTS = f"(SELECT c_custkey AS point_id, {LAT('c_custkey')} AS lat, {LON('c_custkey')} AS lon FROM customer)"
+CENTERS = f"(SELECT s_name AS Station, {LAT('s_suppkey')} AS Latitude, {LON('s_suppkey')} AS Longitude FROM supplier)"
+
+oracle("haversine", f"""SELECT point_id, round({HAV('lat', 'lon', f'{B.LAT_BASE}::DOUBLE', f'{B.LON_BASE}::DOUBLE')}, 6)
+  AS distance_km FROM {PTS}""")
+oracle("radius_join", f"""SELECT point_id, station, round(d, 6) AS distance_km FROM (
+  SELECT p.point_id, c.Station AS station, {HAV('p.lat', 'p.lon', 'c.Latitude', 'c.Longitude')} AS d
+  FROM {PTS} p, {CENTERS} c) WHERE d <= {Q.RADIUS_KM}""")
+oracle("collect_posts", f"""SELECT post_id, tweets, date, station FROM (
+  SELECT p.post_id, p.tweets, p.date, c.Station AS station,
+    row_number() OVER (PARTITION BY c.Station ORDER BY p.date DESC, p.post_id) AS rn
+  FROM {POSTS} p, {CENTERS} c
+  WHERE p.lang = {sql_str(Q.LANG)}
+    AND list_contains(string_split_regex(lower(p.tweets), '[^a-z0-9]+'), {sql_str(Q.COLLECT_KEYWORD)})
+    AND {HAV('p.lat', 'p.lon', 'c.Latitude', 'c.Longitude')} <= {Q.COLLECT_KM}) WHERE rn <= {Q.TOP_N}""")
+oracle("top_n_per_group", f"""SELECT event_id, ts, event_type, rn FROM (
+  SELECT event_id, ts, event_type,
+    row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id)::INTEGER AS rn
+  FROM events) WHERE rn <= {Q.TOP_N}""")
+oracle("dedup_first", """SELECT min(doc_id) AS doc_id, arg_min(source, doc_id) AS source
+  FROM documents GROUP BY text""")
+oracle("first_n", f"SELECT s_suppkey, s_name FROM supplier ORDER BY s_name LIMIT {Q.FIRST_N}")
+oracle("latest_snapshot", """SELECT event_id, ts, event_type FROM events
+  WHERE CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events)""")

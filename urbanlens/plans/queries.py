@@ -223,3 +223,66 @@ def q_avg_sentiment_by_source(spark, sf):
 def q_sentiment_job(spark, sf):
     return jobs.sentiment_job(B.posts(spark, sf), _lexicon(spark), boosters=TEST_BOOSTERS,
                               negators=TEST_NEGATORS, places=4)
+
+
+# ---- geo, ranking, snapshots -------------------------------------------------
+RADIUS_KM = 1.0
+COLLECT_KM = 5.0
+COLLECT_KEYWORD = "the"
+TOP_N = 10
+FIRST_N = 30
+
+
+@query("haversine")
+def q_haversine(spark, sf):
+    from urbanlens.functions.geo import haversine_km
+    pts = B.points_from_customer(B.table(spark, sf, "customer"))
+    # distance of every customer point to the synthetic location of supplier key 0
+    lat0, lon0 = B.LAT_BASE, B.LON_BASE
+    return pts.select("point_id", F.round(haversine_km("lat", "lon", F.lit(lat0), F.lit(lon0)), 6)
+                      .alias("distance_km"))
+
+
+@query("radius_join")
+def q_radius_join(spark, sf):
+    from urbanlens.operators import geo
+    pts = B.points_from_customer(B.table(spark, sf, "customer"))
+    centers = B.stations_from_supplier(B.table(spark, sf, "supplier"))
+    out = geo.radius_join(pts, centers, km=RADIUS_KM)
+    return out.select("point_id", F.col("Station").alias("station"),
+                      F.round("distance_km", 6).alias("distance_km"))
+
+
+@query("collect_posts")
+def q_collect_posts(spark, sf):
+    stations = B.stations_from_supplier(B.table(spark, sf, "supplier"))
+    return jobs.collect_posts(B.posts(spark, sf), stations, km=COLLECT_KM,
+                              keyword=COLLECT_KEYWORD, lang=LANG, per_station=TOP_N)
+
+
+@query("top_n_per_group")
+def q_top_n_per_group(spark, sf):
+    from urbanlens.operators import ranking
+    ev = B.table(spark, sf, "events").select("event_id", "ts", "event_type")
+    return ranking.top_n_per_group(ev, "event_type", [F.desc("ts"), F.asc("event_id")], TOP_N)
+
+
+@query("dedup_first")
+def q_dedup_first(spark, sf):
+    from urbanlens.operators import ranking
+    d = _docs(spark, sf).select("doc_id", "text", "source")
+    return ranking.dedup_first(d, "text", ["doc_id"]).select("doc_id", "source")
+
+
+@query("first_n")
+def q_first_n(spark, sf):
+    from urbanlens.operators import ranking
+    return ranking.first_n(B.table(spark, sf, "supplier").select("s_suppkey", "s_name"),
+                           FIRST_N, ["s_name"])
+
+
+@query("latest_snapshot")
+def q_latest_snapshot(spark, sf):
+    from urbanlens.operators import ranking
+    ev = B.table(spark, sf, "events").select("event_id", "ts", "event_type")
+    return ranking.latest_snapshot(ev, F.to_date("ts"))
