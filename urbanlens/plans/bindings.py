@@ -70,3 +70,85 @@ def points_from_customer(customer: DataFrame) -> DataFrame:
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return posts_from_documents(table(spark, sf_dir, "documents"))
+
+
+# --- listing bindings (from ``part``) ---------------------------------------
+# fixed values of the synthetic listing cards
+CARDS_PER_PAGE = 25
+RAIL_EVERY, NO_TRANSPORT_EVERY = 5, 23
+POA_EVERY, PCM_EVERY, BAD_DISTANCE_EVERY, NONE_EVERY = 11, 13, 17, 7
+SOURCES = 20
+
+
+def ad_number(k) -> Column:
+    """Ad number of a part: one in ten consecutive parts repeats an ad."""
+    return k - F.floor(k / F.lit(10)).cast("long")
+
+
+def price_text(k, retail) -> Column:
+    grouped = F.format_number(F.floor(retail * F.lit(100)).cast("long"), 0)
+    return (F.when(k % POA_EVERY == 0, F.lit("POA"))
+            .when(k % PCM_EVERY == 0, F.lit("£1,200 pcm"))
+            .otherwise(F.concat(F.lit("£"), grouped)))
+
+
+def distance_text(k, size) -> Column:
+    return F.when(k % BAD_DISTANCE_EVERY == 0, F.lit("Oxford")).otherwise(
+        F.concat((size / 10).cast("int").cast("string"), F.lit("."), (size % 10).cast("string"),
+                 F.lit(" miles src"), (k % SOURCES).cast("string")))
+
+
+def raw_listings_from_part(part: DataFrame) -> DataFrame:
+    """part -> raw listing text fields ``(p_partkey, href, price_text, distance_text, rooms_text)``."""
+    k, size = F.col("p_partkey"), F.col("p_size")
+    return part.select(
+        "p_partkey",
+        F.concat(F.lit("/for-sale/details/"), ad_number(k).cast("string"), F.lit("/?x=1")).alias("href"),
+        price_text(k, F.col("p_retailprice")).alias("price_text"),
+        distance_text(k, size).alias("distance_text"),
+        F.when(k % NONE_EVERY == 0, F.lit("None")).otherwise((size % 5 + 1).cast("string")).alias("rooms_text"),
+    )
+
+
+def card_html(k, name, price, icon, dist, size) -> Column:
+    n_feat = k % 4
+    feats = F.concat(
+        F.when(n_feat >= 1, F.concat(F.lit('<div class="card-feature">'), (size % 5 + 1).cast("string"), F.lit("</div>"))).otherwise(F.lit("")),
+        F.when(n_feat >= 2, F.concat(F.lit('<div class="card-feature">'), (size % 3 + 1).cast("string"), F.lit("</div>"))).otherwise(F.lit("")),
+        F.when(n_feat >= 3, F.concat(F.lit('<div class="card-feature">'), (size % 2 + 1).cast("string"), F.lit("</div>"))).otherwise(F.lit("")),
+    )
+    transport = F.when(k % NO_TRANSPORT_EVERY == 0, F.lit("")).otherwise(F.concat(
+        F.lit('<div class="card-transport"><span data-testid="'), icon, F.lit('"></span><p class="card-text">'),
+        dist, F.lit('</p><span data-testid="london_underground"></span></div>')))
+    return F.concat(
+        F.lit('<div class="listing-card"><a class="card-link" href="/for-sale/details/'),
+        ad_number(k).cast("string"), F.lit('/?x=1">view</a><p class="card-address">'), name,
+        F.lit('</p><p class="card-price">'), price, F.lit("</p>"), transport,
+        F.lit('<div class="card-features">'), feats, F.lit("</div></div>"))
+
+
+def card_pages_from_part(part: DataFrame) -> DataFrame:
+    """part -> result pages ``(page_no, url, html)``, 25 cards per page.
+
+    The page at three quarters of the page range and the last page lack the
+    pagination link, so the take-while stop falls inside the data at every
+    scale. Grouping is per page (at most 25 cards), never wider.
+    """
+    k = F.col("p_partkey")
+    icon = F.when(k % RAIL_EVERY == 0, F.lit("national_rail_station")).otherwise(F.lit("london_underground"))
+    cards = part.select(
+        (k / F.lit(CARDS_PER_PAGE)).cast("long").alias("page_no"), k.alias("k"),
+        card_html(k, F.col("p_name"), price_text(k, F.col("p_retailprice")), icon,
+                  distance_text(k, F.col("p_size")), F.col("p_size")).alias("card"))
+    pages = cards.groupBy("page_no").agg(
+        F.concat_ws("", F.transform(F.sort_array(F.collect_list(F.struct("k", "card"))),
+                                    lambda x: x["card"])).alias("body"))
+    last = part.agg(F.max((k / F.lit(CARDS_PER_PAGE)).cast("long"))).scalar()
+    stop = F.floor((last + F.lit(1)) * F.lit(3) / F.lit(4)).cast("long")
+    nav = F.when((F.col("page_no") == stop) | (F.col("page_no") == last), F.lit("")).otherwise(
+        F.lit('<a class="page-next" href="?pn=next">next</a>'))
+    return pages.select(
+        F.col("page_no").cast("int").alias("page_no"),
+        F.concat(F.lit("https://listings.example/for-sale?pn="), F.col("page_no").cast("string")).alias("url"),
+        F.concat(F.lit("<html><body><main>"), F.col("body"), F.lit("</main><nav>"), nav,
+                 F.lit("</nav></body></html>")).alias("html"))

@@ -201,3 +201,98 @@ oracle("dedup_first", """SELECT min(doc_id) AS doc_id, arg_min(source, doc_id) A
 oracle("first_n", f"SELECT s_suppkey, s_name FROM supplier ORDER BY s_name LIMIT {Q.FIRST_N}")
 oracle("latest_snapshot", """SELECT event_id, ts, event_type FROM events
   WHERE CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events)""")
+
+# ---- listings -----------------------------------------------------------------
+
+
+def _price_text(k="p_partkey", retail="p_retailprice"):
+    return (f"CASE WHEN {k} % {B.POA_EVERY} = 0 THEN 'POA' WHEN {k} % {B.PCM_EVERY} = 0 THEN '£1,200 pcm'"
+            f" ELSE '£' || format('{{:,}}', floor({retail} * 100)::BIGINT) END")
+
+
+def _dist_text(k="p_partkey", size="p_size"):
+    return (f"CASE WHEN {k} % {B.BAD_DISTANCE_EVERY} = 0 THEN 'Oxford' ELSE"
+            f" concat(({size} // 10)::VARCHAR, '.', ({size} % 10)::VARCHAR, ' miles src', ({k} % {B.SOURCES})::VARCHAR) END")
+
+
+_AD = "(p_partkey - p_partkey // 10)"
+RAW_LISTINGS = f"""(SELECT p_partkey, '/for-sale/details/' || {_AD}::VARCHAR || '/?x=1' AS href,
+  {_price_text()} AS price_text, {_dist_text()} AS distance_text,
+  CASE WHEN p_partkey % {B.NONE_EVERY} = 0 THEN 'None' ELSE (p_size % 5 + 1)::VARCHAR END AS rooms_text
+  FROM part)"""
+
+
+def _feat(cond, val):
+    return f"CASE WHEN p_partkey % 4 >= {cond} THEN '<div class=\"card-feature\">' || ({val})::VARCHAR || '</div>' ELSE '' END"
+
+
+_ICON = f"CASE WHEN p_partkey % {B.RAIL_EVERY} = 0 THEN 'national_rail_station' ELSE 'london_underground' END"
+_TRANSPORT = (f"CASE WHEN p_partkey % {B.NO_TRANSPORT_EVERY} = 0 THEN '' ELSE concat("
+              f"'<div class=\"card-transport\"><span data-testid=\"', {_ICON}, '\"></span><p class=\"card-text\">',"
+              f" {_dist_text()}, '</p><span data-testid=\"london_underground\"></span></div>') END")
+_CARD = (f"concat('<div class=\"listing-card\"><a class=\"card-link\" href=\"/for-sale/details/', {_AD}::VARCHAR,"
+         f" '/?x=1\">view</a><p class=\"card-address\">', p_name, '</p><p class=\"card-price\">', {_price_text()}, '</p>',"
+         f" {_TRANSPORT}, '<div class=\"card-features\">', {_feat(1, 'p_size % 5 + 1')}, {_feat(2, 'p_size % 3 + 1')},"
+         f" {_feat(3, 'p_size % 2 + 1')}, '</div></div>')")
+CARD_PAGES = f"""(SELECT page_no::INTEGER AS page_no, 'https://listings.example/for-sale?pn=' || page_no::VARCHAR AS url,
+   concat('<html><body><main>', body, '</main><nav>',
+     CASE WHEN page_no = floor((lastp + 1) * 3 / 4.0) OR page_no = lastp THEN ''
+          ELSE '<a class="page-next" href="?pn=next">next</a>' END, '</nav></body></html>') AS html
+  FROM (SELECT p_partkey // {B.CARDS_PER_PAGE} AS page_no, string_agg({_CARD}, '' ORDER BY p_partkey) AS body
+        FROM part GROUP BY 1),
+       (SELECT max(p_partkey // {B.CARDS_PER_PAGE}) AS lastp FROM part))"""
+CARDS = f"""(SELECT page_no, card_no,
+   regexp_extract(card, '<a class="card-link" href="([^"]*)"', 1) AS href,
+   regexp_extract(card, '<p class="card-address">([^<]*)</p>', 1) AS address,
+   regexp_extract(card, '<p class="card-price">([^<]*)</p>', 1) AS price_text,
+   regexp_extract(card, '<div class="card-transport">(.*?)</div>', 0) AS transport_block,
+   regexp_extract(regexp_extract(card, '<div class="card-transport">(.*?)</div>', 1), 'data-testid="([^"]*)"', 1) AS first_icon,
+   regexp_extract(regexp_extract(card, '<div class="card-transport">(.*?)</div>', 1), '<p class="card-text">([^<]*)</p>', 1) AS transport_text,
+   regexp_extract_all(card, '<div class="card-feature">([^<]*)</div>', 1) AS features
+ FROM (SELECT page_no, (generate_subscripts(cs, 1) - 1)::INTEGER AS card_no, unnest(cs) AS card
+       FROM (SELECT page_no, string_split_regex(html, '<div class="listing-card">')[2:] AS cs FROM {{pages}})))"""
+KEPT_PAGES = f"""(SELECT * FROM {CARD_PAGES} WHERE page_no < 300 AND (
+   (SELECT min(page_no) FROM {CARD_PAGES} WHERE page_no < 300 AND NOT coalesce(regexp_matches(html, '<a class="page-next"'), false)) IS NULL
+   OR page_no < (SELECT min(page_no) FROM {CARD_PAGES} WHERE page_no < 300 AND NOT coalesce(regexp_matches(html, '<a class="page-next"'), false))))"""
+_DPARTS = "string_split(transport_text, ' miles ')"
+LISTINGS = f"""(SELECT ad_id, {sql_str(Q.SITE_PREFIX)} || regexp_replace(href, '^/+', '') AS link,
+   TRY_CAST(nullif(regexp_replace(price_text, '[^0-9.]', '', 'g'), '') AS DOUBLE) AS price,
+   TRY_CAST(nullif(features[1], 'None') AS INTEGER) AS bedrooms,
+   TRY_CAST(nullif(features[2], 'None') AS INTEGER) AS bathrooms,
+   TRY_CAST(nullif(features[3], 'None') AS INTEGER) AS living_rooms,
+   address, TRY_CAST({_DPARTS}[1] AS DOUBLE) AS distance, {_DPARTS}[2] AS subway_station
+ FROM (SELECT *, row_number() OVER (PARTITION BY ad_id ORDER BY page_no, card_no) AS rn
+       FROM (SELECT *, split_part(split_part(href, '?', 1), '/', 4) AS ad_id FROM {CARDS.format(pages=KEPT_PAGES)}
+             WHERE coalesce(regexp_matches(price_text, '^[£,0-9]+$'), false)
+               AND coalesce(first_icon <> 'national_rail_station', true)
+               AND href <> '' AND transport_block <> ''))
+ WHERE rn = 1 AND len({_DPARTS}) > 1)"""
+HOUSING = f"""(SELECT subway_station AS station, round(avg(price), 4) AS avg_price, count(*) AS n_listings
+  FROM {LISTINGS} WHERE distance * 1.609344 < {Q.LISTING_KM} GROUP BY subway_station)"""
+
+oracle("scan_pages", "SELECT page_id, url, md5(html) AS html_md5 FROM pages")
+oracle("extract_links", """SELECT page_id, pos, href FROM (
+  SELECT page_id, (generate_subscripts(l, 1) - 1)::INTEGER AS pos, unnest(l) AS href
+  FROM (SELECT page_id, regexp_extract_all(html, '<a href="([^"]*)"', 1) AS l FROM pages))""")
+oracle("valid_price", f"""SELECT p_partkey, price_text FROM {RAW_LISTINGS}
+  WHERE coalesce(regexp_matches(price_text, '^[£,0-9]+$'), false)""")
+oracle("parse_price", f"""SELECT p_partkey,
+  TRY_CAST(nullif(regexp_replace(price_text, '[^0-9.]', '', 'g'), '') AS DOUBLE) AS price FROM {RAW_LISTINGS}""")
+oracle("parse_ad_id", f"SELECT p_partkey, split_part(split_part(href, '?', 1), '/', 4) AS ad_id FROM {RAW_LISTINGS}")
+oracle("absolute_link", f"""SELECT p_partkey, {sql_str(Q.SITE_PREFIX)} || regexp_replace(href, '^/+', '') AS link
+  FROM {RAW_LISTINGS}""")
+oracle("parse_distance", f"""SELECT p_partkey, TRY_CAST(l[1] AS DOUBLE) AS distance, l[2] AS station
+  FROM (SELECT p_partkey, string_split(distance_text, ' miles ') AS l FROM {RAW_LISTINGS}) WHERE len(l) > 1""")
+oracle("none_to_null", f"SELECT p_partkey, nullif(rooms_text, 'None') AS rooms FROM {RAW_LISTINGS}")
+oracle("positional_get", f"""SELECT page_no, card_no, features[1] AS bedrooms, features[2] AS bathrooms,
+  features[3] AS living_rooms FROM {CARDS.format(pages=CARD_PAGES)}""")
+oracle("extract_cards", f"""SELECT page_no, card_no, href, address, price_text, first_icon, transport_text
+  FROM {CARDS.format(pages=CARD_PAGES)}""")
+oracle("first_icon_filter", f"""SELECT page_no, card_no FROM {CARDS.format(pages=CARD_PAGES)}
+  WHERE coalesce(first_icon <> 'national_rail_station', true)""")
+oracle("take_pages_while", f"SELECT page_no FROM {KEPT_PAGES}")
+oracle("listings_job", f"SELECT * FROM {LISTINGS}")
+oracle("avg_price_by_station", f"SELECT * FROM {HOUSING}")
+oracle("station_view", f"""SELECT h.station, h.avg_price, h.n_listings, m.avg_sentiment, m.n_posts
+FROM {HOUSING} h LEFT JOIN (SELECT station, round(avg(compound), 4) AS avg_sentiment, count(*) AS n_posts
+  FROM ({_sent(('station',))}) GROUP BY station) m ON lower(trim(h.station)) = lower(trim(m.station))""")

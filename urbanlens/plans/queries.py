@@ -286,3 +286,123 @@ def q_latest_snapshot(spark, sf):
     from urbanlens.operators import ranking
     ev = B.table(spark, sf, "events").select("event_id", "ts", "event_type")
     return ranking.latest_snapshot(ev, F.to_date("ts"))
+
+
+# ---- listings -----------------------------------------------------------------
+SITE_PREFIX = "https://listings.example/"
+LISTING_KM = 1.0
+
+
+def _raw_listings(spark, sf):
+    return B.raw_listings_from_part(B.table(spark, sf, "part"))
+
+
+def _card_pages(spark, sf):
+    return B.card_pages_from_part(B.table(spark, sf, "part"))
+
+
+def _cards(spark, sf):
+    from urbanlens.operators import listings as L
+    return L.card_fields(L.extract_cards(_card_pages(spark, sf)))
+
+
+def _listings(spark, sf):
+    from urbanlens.operators import listings as L
+    return L.listings_from_pages(_card_pages(spark, sf), site_prefix=SITE_PREFIX)
+
+
+@query("scan_pages")
+def q_scan_pages(spark, sf):
+    return B.table(spark, sf, "pages").select("page_id", "url", F.md5("html").alias("html_md5"))
+
+
+@query("extract_links")
+def q_extract_links(spark, sf):
+    from urbanlens.operators import listings as L
+    return L.extract_links(B.table(spark, sf, "pages"))
+
+
+@query("valid_price")
+def q_valid_price(spark, sf):
+    from urbanlens.functions import listings as lf
+    return _raw_listings(spark, sf).where(lf.valid_price("price_text")).select("p_partkey", "price_text")
+
+
+@query("parse_price")
+def q_parse_price(spark, sf):
+    from urbanlens.functions import listings as lf
+    return _raw_listings(spark, sf).select("p_partkey", lf.parse_price("price_text").alias("price"))
+
+
+@query("parse_ad_id")
+def q_parse_ad_id(spark, sf):
+    from urbanlens.functions import listings as lf
+    return _raw_listings(spark, sf).select("p_partkey", lf.parse_ad_id("href").alias("ad_id"))
+
+
+@query("absolute_link")
+def q_absolute_link(spark, sf):
+    from urbanlens.functions import listings as lf
+    return _raw_listings(spark, sf).select("p_partkey", lf.absolute_link(SITE_PREFIX, "href").alias("link"))
+
+
+@query("parse_distance")
+def q_parse_distance(spark, sf):
+    from urbanlens.functions import listings as lf
+    d = _raw_listings(spark, sf).select("p_partkey", lf.parse_distance("distance_text").alias("d"))
+    return d.where(F.col("d").isNotNull()).select("p_partkey", F.col("d.distance").alias("distance"),
+                                                  F.col("d.station").alias("station"))
+
+
+@query("none_to_null")
+def q_none_to_null(spark, sf):
+    from urbanlens.functions import listings as lf
+    return _raw_listings(spark, sf).select("p_partkey", lf.none_to_null("rooms_text").alias("rooms"))
+
+
+@query("positional_get")
+def q_positional_get(spark, sf):
+    from urbanlens.functions import listings as lf
+    return _cards(spark, sf).select(
+        "page_no", "card_no", *[lf.positional_get("features", i).alias(n)
+                                for i, n in enumerate(("bedrooms", "bathrooms", "living_rooms"))])
+
+
+@query("extract_cards")
+def q_extract_cards(spark, sf):
+    return _cards(spark, sf).select("page_no", "card_no", "href", "address", "price_text",
+                                    "first_icon", "transport_text")
+
+
+@query("first_icon_filter")
+def q_first_icon_filter(spark, sf):
+    from urbanlens.functions import listings as lf
+    return _cards(spark, sf).where(lf.first_icon_not("first_icon")).select("page_no", "card_no")
+
+
+@query("take_pages_while")
+def q_take_pages_while(spark, sf):
+    from urbanlens.operators import listings as L
+    pages = _card_pages(spark, sf)
+    return L.take_pages_while(pages, L.has_next_link("html"), max_pages=300).select("page_no")
+
+
+@query("listings_job")
+def q_listings_job(spark, sf):
+    return _listings(spark, sf)
+
+
+@query("avg_price_by_station")
+def q_avg_price_by_station(spark, sf):
+    from urbanlens.operators import listings as L
+    return L.avg_price_by_station(_listings(spark, sf), LISTING_KM)
+
+
+@query("station_view")
+def q_station_view(spark, sf):
+    from urbanlens.operators import listings as L
+    from urbanlens.operators import sentiment as S
+    housing = L.avg_price_by_station(_listings(spark, sf), LISTING_KM)
+    mood = S.avg_sentiment_by(_scored(spark, sf, carry=("station",)), "station")
+    return L.station_view(housing, mood).select("station", "avg_price", "n_listings",
+                                                "avg_sentiment", "n_posts")
