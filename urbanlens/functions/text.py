@@ -49,12 +49,24 @@ BAG_SEPARATORS = ",.-"
 # ----------------------------------------------------------------------------
 
 
+# Equivalent cheaper patterns: without "://" in the text the URL alternative
+# can never match, and without "@" neither can the mention alternative.
+_CLEAN_NO_URL = "(@[A-Za-z0-9]+)|([^0-9A-Za-z \t])"
+_CLEAN_CHARS = "[^0-9A-Za-z \t]"
+
+
 def clean_text(text) -> Column:
     """drop mentions, URLs and every char outside ``[0-9A-Za-z \\t]``.
 
     Case is kept; newlines are removed, so lines fuse. Null stays null.
+    Texts without ``://`` (or ``@``) use the shorter equivalent pattern,
+    which gives the same result without trying the URL (mention) branch at
+    every position.
     """
-    return F.regexp_replace(as_col(text), CLEAN_PATTERN, "")
+    t = as_col(text)
+    return (F.when(t.contains("://"), F.regexp_replace(t, CLEAN_PATTERN, ""))
+            .when(t.contains("@"), F.regexp_replace(t, _CLEAN_NO_URL, ""))
+            .otherwise(F.regexp_replace(t, _CLEAN_CHARS, "")))
 
 
 def lower_text(text) -> Column:

@@ -90,13 +90,20 @@ SPECIAL_CASES = {
 # -----------------------------------------------------------------------------
 
 
-def _map_lit(d: Mapping[str, float]) -> Column:
-    if not d:
-        return F.create_map().cast("map<string,double>")
-    kv = []
-    for k, v in d.items():
-        kv += [F.lit(k), F.lit(float(v))]
-    return F.create_map(*kv)
+def _lookup(c: Column, mapping: Mapping[str, float]) -> Column:
+    """Value of ``c`` in a small constant mapping, NULL when absent.
+
+    Keys are grouped by value into ``IN`` lists, which Catalyst turns into
+    hash-set tests, instead of a linear scan through a map literal.
+    """
+    by_value: dict[float, list[str]] = {}
+    for k, v in mapping.items():
+        by_value.setdefault(float(v), []).append(k)
+    out = None
+    for v, keys in by_value.items():
+        cond = c.isin(keys)
+        out = F.when(cond, F.lit(v)) if out is None else out.when(cond, F.lit(v))
+    return F.lit(None).cast("double") if out is None else out
 
 
 def _eq(c: Column, s: str) -> Column:
@@ -150,38 +157,45 @@ def lexicon_table(lexicon: DataFrame, token_col: str = "token",
 def post_words(posts: DataFrame, key: str, text: str, carry: Sequence[str] = ()) -> DataFrame:
     """N1.1: ``(key, carry.., pos, w, p1, p2, p3, n1, n2, capdiff, but_pos, amp, null_text)``.
 
-    ``p*`` are the previous words (original case), ``n*`` the next words
-    (lower case); built with array shifts before the explode, so each output
-    row holds a handful of short strings, never the whole post.
+    ``p*`` are the previous and ``n*`` the next words (original case); built
+    with array shifts (slice/concat) before the explode, so each output row
+    holds a handful of short strings, never the whole post.
     """
-    # materialise the word array once; the lambdas below index into the column
+    punct_cls = "[" + "".join("\\" + ch for ch in PUNCTUATION) + "]"
+    raw = split_words(text)
+    # strip edge punctuation only in posts that hold any (cleaned posts never do)
+    words_expr = F.when(F.col(text).rlike(punct_cls), F.transform(raw, strip_punct_if_word)).otherwise(raw)
     staged = posts.select(
         F.col(key), *[F.col(c) for c in carry],
         F.col(text).isNull().alias("null_text"),
         punctuation_amplifier(text).alias("amp"),
-        F.transform(split_words(text), strip_punct_if_word).alias("_words"),
+        words_expr.alias("_words"),
     )
     words = F.col("_words")
+    n = F.size(words)
     capdiff = F.exists(words, is_upper) & F.exists(words, lambda x: ~is_upper(x))
-    # per-post scalars are computed before the explode, so the Generate
-    # carries only small columns next to each word, never the word array
+
+    def prev(k):
+        return F.concat(F.array_repeat(F.lit(None).cast("string"), F.least(F.lit(k), n)),
+                        F.slice(words, 1, F.greatest(n - F.lit(k), F.lit(0))))
+
+    def nxt(k):
+        return F.concat(F.slice(words, k + 1, F.greatest(n - F.lit(k), F.lit(0))),
+                        F.array_repeat(F.lit(None).cast("string"), F.least(F.lit(k), n)))
+
+    # per-post scalars and the neighbour arrays are built before the explode,
+    # so the Generate carries only small columns next to each word
     staged = staged.select(
-        "*",
+        F.col(key), *[F.col(c) for c in carry], "null_text", "amp",
         F.coalesce(capdiff, F.lit(False)).alias("capdiff"),
         (F.coalesce(F.array_position(F.transform(words, F.lower), "but"), F.lit(0))
          - F.lit(1)).alias("but_pos"),
+        F.arrays_zip(words.alias("w"), prev(1).alias("p1"), prev(2).alias("p2"), prev(3).alias("p3"),
+                     nxt(1).alias("n1"), nxt(2).alias("n2")).alias("_ctx"),
     )
-    ctx = F.transform(words, lambda x, i: F.struct(
-        x.alias("w"),
-        F.get(words, i - 1).alias("p1"),
-        F.get(words, i - 2).alias("p2"),
-        F.get(words, i - 3).alias("p3"),
-        F.lower(F.get(words, i + 1)).alias("n1"),
-        F.lower(F.get(words, i + 2)).alias("n2"),
-    ))
     return staged.select(
         F.col(key), *[F.col(c) for c in carry], "null_text", "amp", "capdiff", "but_pos",
-        F.posexplode_outer(ctx).alias("pos", "c"),
+        F.posexplode_outer("_ctx").alias("pos", "c"),
     ).select(key, *carry, "null_text", "capdiff", "but_pos", "amp", "pos",
              "c.w", "c.p1", "c.p2", "c.p3", "c.n1", "c.n2")
 
@@ -221,38 +235,43 @@ def score_words(df: DataFrame, boosters: Mapping[str, float] = BOOSTERS, negator
     Each rule is one projection over the previous one's column, so the plan
     stays small (the rules feed the running valence into each other).
     """
-    bmap, imap = _map_lit(boosters), _map_lit(idioms)
     w, capdiff, v0 = F.col("w"), F.col("capdiff"), F.col("v0")
-    lw = F.lower(w)
+    hit = v0.isNotNull()
     p = [F.col("p1"), F.col("p2"), F.col("p3")]
     lp = [F.col("_l1"), F.col("_l2"), F.col("_l3")]
-    n1, n2 = F.col("n1"), F.col("n2")
+    n1, n2 = F.col("_n1"), F.col("_n2")
     inp = [F.col("in1"), F.col("in2"), F.col("in3")]
     so_this = ("so", "this")
 
-    df = df.select("*", lw.alias("_lw"), *[F.lower(c).alias(f"_l{i + 1}") for i, c in enumerate(p)])
+    def guarded(e):
+        # rules only run for lexicon hits; every other word scores 0
+        return F.when(hit, e)
+
+    df = df.select("*", guarded(F.lower(w)).alias("_lw"),
+                   *[guarded(F.lower(c)).alias(f"_l{i + 1}") for i, c in enumerate(p)],
+                   guarded(F.lower(F.col("n1"))).alias("_n1"), guarded(F.lower(F.col("n2"))).alias("_n2"))
     lw = F.col("_lw")
     # "no" before a lexicon word, and negation by a nearby "no"
     no_near = _eq(lp[0], "no") | _eq(lp[1], "no") | (_eq(lp[2], "no") & _in(lp[0], ("or", "nor")))
     va = (F.when(no_near, v0 * F.lit(N_SCALAR))
           .when(_eq(lw, "no") & n1.isNotNull() & F.col("inn1"), F.lit(0.0))
           .otherwise(v0))
-    df = df.select("*", va.alias("_va"))
+    df = df.select("*", guarded(va).alias("_va"))
     # ALL-CAPS emphasis
     v = F.col("_va")
-    df = df.select("*", F.when(is_upper(w) & capdiff,
-                               F.when(v > 0, v + F.lit(C_INCR)).otherwise(v - F.lit(C_INCR)))
-                   .otherwise(v).alias("_v0"))
+    df = df.select("*", guarded(F.when(is_upper(w) & capdiff,
+                                       F.when(v > 0, v + F.lit(C_INCR)).otherwise(v - F.lit(C_INCR)))
+                               .otherwise(v)).alias("_v0"))
 
     for k in range(3):
         v = F.col(f"_v{k}")
         word_k, low_k = p[k], lp[k]
-        b = F.try_element_at(bmap, low_k)
+        b = _lookup(low_k, boosters)
         s = F.when(v < 0, -b).otherwise(b)
         s = F.when(is_upper(word_k) & capdiff,
                    F.when(v > 0, s + F.lit(C_INCR)).otherwise(s - F.lit(C_INCR))).otherwise(s)
         s = F.coalesce(F.when(b.isNotNull(), s), F.lit(0.0)) * F.lit(BOOSTER_DECAY[k])
-        df = df.select("*", (v + s).alias(f"_nv{k}"))
+        df = df.select("*", guarded(v + s).alias(f"_nv{k}"))
         nv = F.col(f"_nv{k}")
         if k == 0:
             ng = F.when(_negated(lp[0], negators), nv * F.lit(N_SCALAR)).otherwise(nv)
@@ -267,12 +286,13 @@ def score_words(df: DataFrame, boosters: Mapping[str, float] = BOOSTERS, negator
                   .when(_eq(lp[2], "without") & (_eq(lp[1], "doubt") | _eq(lp[0], "doubt")), nv)
                   .when(_negated(lp[2], negators), nv * F.lit(N_SCALAR))
                   .otherwise(nv))
-        df = df.select("*", ng.alias(f"_ng{k}"))
+        df = df.select("*", guarded(ng).alias(f"_ng{k}"))
         res = F.col(f"_ng{k}")
         if k == 2:
-            df = _idioms(df, res, lw, lp, n1, n2, imap, bmap)
+            df = _idioms(df, res, lw, lp, n1, n2, idioms, boosters, guarded)
             res = F.col("_id")
-        df = df.select("*", F.when(word_k.isNotNull() & ~inp[k], res).otherwise(v).alias(f"_v{k + 1}"))
+        df = df.select("*", guarded(F.when(word_k.isNotNull() & ~inp[k], res).otherwise(v))
+                       .alias(f"_v{k + 1}"))
 
     # "least" before the word negates it, unless "at least" / "very least"
     v = F.col("_v3")
@@ -288,23 +308,23 @@ def score_words(df: DataFrame, boosters: Mapping[str, float] = BOOSTERS, negator
 
 
 def _idioms(df: DataFrame, v: Column, lw: Column, lp, n1: Column, n2: Column,
-            imap: Column, bmap: Column) -> DataFrame:
+            idioms: Mapping[str, float], boosters: Mapping[str, float], guarded) -> DataFrame:
     def cat(*cs):
         return F.concat_ws(" ", *cs)
 
     seqs = [cat(lp[0], lw), cat(lp[1], lp[0], lw), cat(lp[1], lp[0]),
             cat(lp[2], lp[1], lp[0]), cat(lp[2], lp[1])]
-    hit = F.coalesce(*[F.try_element_at(imap, q) for q in seqs], v)
-    df = df.select("*", hit.alias("_i1"))
+    hit = F.coalesce(*[_lookup(q, idioms) for q in seqs], v)
+    df = df.select("*", guarded(hit).alias("_i1"))
     i = F.col("_i1")
-    i = F.coalesce(F.when(n1.isNotNull(), F.try_element_at(imap, cat(lw, n1))), i)
-    df = df.select("*", i.alias("_i2"))
-    i = F.coalesce(F.when(n2.isNotNull(), F.try_element_at(imap, cat(lw, n1, n2))), F.col("_i2"))
+    i = F.coalesce(F.when(n1.isNotNull(), _lookup(cat(lw, n1), idioms)), i)
+    df = df.select("*", guarded(i).alias("_i2"))
+    i = F.coalesce(F.when(n2.isNotNull(), _lookup(cat(lw, n1, n2), idioms)), F.col("_i2"))
     add = None
     for g in (cat(lp[2], lp[1], lp[0]), cat(lp[2], lp[1]), cat(lp[1], lp[0])):
-        term = F.coalesce(F.try_element_at(bmap, g), F.lit(0.0))
+        term = F.coalesce(_lookup(g, boosters), F.lit(0.0))
         add = term if add is None else add + term
-    return df.select("*", (i + add).alias("_id"))
+    return df.select("*", guarded(i + add).alias("_id"))
 
 
 def but_weight() -> Column:
@@ -353,7 +373,14 @@ def lexicon_hits(posts: DataFrame, key: str, text: str, lexicon: DataFrame) -> D
 
 def avg_sentiment_by(scored: DataFrame, by: str = "station", score_col: str = "compound",
                      places: int = 4) -> DataFrame:
-    """A4: mean score and post count per group (partial aggregation first)."""
+    """A4: mean score and post count per group (partial aggregation first).
+
+    Scores carry ``places`` decimals, so they are summed exactly as integers
+    of ``10**-places`` and divided once: the mean does not depend on the
+    order in which partitions are summed (a float sum would).
+    """
+    scale = 10 ** places
+    units = F.round(F.col(score_col) * F.lit(float(scale))).cast("long")
+    mean = (F.sum(units) / F.count(score_col)) / F.lit(float(scale))
     return (scored.groupBy(by)
-            .agg(F.round(F.avg(score_col), places).alias("avg_sentiment"),
-                 F.count(F.lit(1)).alias("n_posts")))
+            .agg(mean.alias("avg_sentiment"), F.count(F.lit(1)).alias("n_posts")))

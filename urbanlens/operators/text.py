@@ -41,8 +41,10 @@ def word_count(df: DataFrame, tokens_col: str, word_col: str = "token",
     tokens is collapsed before the shuffle.
     """
     keys = list(by or [])
-    exploded = df.select(*keys, F.explode(F.col(tokens_col)).alias(word_col))
-    return (exploded.where(F.col(word_col) != F.lit(""))
+    # explode_outer: a plain explode makes Catalyst add a size(tokens) > 0
+    # filter below the projection, which evaluates the token expression twice
+    exploded = df.select(*keys, F.explode_outer(F.col(tokens_col)).alias(word_col))
+    return (exploded.where(F.col(word_col).isNotNull() & (F.col(word_col) != F.lit("")))
             .groupBy(*keys, word_col).agg(F.count(F.lit(1)).alias(count_col)))
 
 

@@ -15,7 +15,10 @@ from urbanlens.operators import topics as top_ops
 def topic_tokens(posts: DataFrame, text_col: str = "tweets", out_col: str = "tokens",
                  keep: tuple[str, ...] = ()) -> DataFrame:
     """Clean, lower, collapse, tokenize, drop stop words."""
-    tokens = tf.remove_stop_words(tf.tokenize(tf.topic_text(text_col)))
+    # tokens are lower case already, so the stop list is matched as is
+    tokens = tf.remove_stop_words(tf.tokenize(tf.topic_text(text_col)),
+                                  tuple(w.lower() for w in tf.ENGLISH_STOP_WORDS),
+                                  case_sensitive=True)
     return posts.select(*keep, tokens.alias(out_col))
 
 

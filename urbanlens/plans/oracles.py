@@ -162,7 +162,8 @@ w AS (SELECT post_id, list_transform(list_filter(string_split_regex({CLEAN('twee
 u AS (SELECT post_id, (generate_subscripts(l, 1) - 1)::INTEGER AS pos, unnest(l) AS token FROM w)
 SELECT post_id, pos, token, lex.v AS valence FROM u JOIN lex ON lower(u.token) = lex.t""")
 oracle("sentiment_score", _sent())
-oracle("avg_sentiment_by_source", f"""SELECT station, round(avg(compound), 4) AS avg_sentiment,
+_MEAN = "(sum(round(compound * 10000.0)::BIGINT) / count(compound)) / 10000.0"
+oracle("avg_sentiment_by_source", f"""SELECT station, {_MEAN} AS avg_sentiment,
   count(*) AS n_posts FROM ({_sent(('station',))}) GROUP BY station""")
 oracle("sentiment_job", f"""SELECT s.post_id, s.date, s.station, p.tweets, s.compound AS sentiment
 FROM ({_sent(('date', 'station'))}) s
@@ -294,5 +295,5 @@ oracle("take_pages_while", f"SELECT page_no FROM {KEPT_PAGES}")
 oracle("listings_job", f"SELECT * FROM {LISTINGS}")
 oracle("avg_price_by_station", f"SELECT * FROM {HOUSING}")
 oracle("station_view", f"""SELECT h.station, h.avg_price, h.n_listings, m.avg_sentiment, m.n_posts
-FROM {HOUSING} h LEFT JOIN (SELECT station, round(avg(compound), 4) AS avg_sentiment, count(*) AS n_posts
+FROM {HOUSING} h LEFT JOIN (SELECT station, {_MEAN} AS avg_sentiment, count(*) AS n_posts
   FROM ({_sent(('station',))}) GROUP BY station) m ON lower(trim(h.station)) = lower(trim(m.station))""")
