@@ -297,3 +297,21 @@ oracle("avg_price_by_station", f"SELECT * FROM {HOUSING}")
 oracle("station_view", f"""SELECT h.station, h.avg_price, h.n_listings, m.avg_sentiment, m.n_posts
 FROM {HOUSING} h LEFT JOIN (SELECT station, {_MEAN} AS avg_sentiment, count(*) AS n_posts
   FROM ({_sent(('station',))}) GROUP BY station) m ON lower(trim(h.station)) = lower(trim(m.station))""")
+
+# ---- load, lineage ---------------------------------------------------------------
+
+oracle("batch_number", """SELECT o_orderkey, strftime(o_orderdate, '%Y%m%d')::BIGINT AS batch_nr,
+  strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS stamp FROM orders""")
+_B = f"strftime(d, '%Y%m%d')"
+_POSTS_PATH = f"'s3://{Q.BUCKET}/posts/' || {_B} || '.parquet'"
+_OUTS = f"'s3://{Q.BUCKET}/sentiment/' || {_B} || '/, s3://{Q.BUCKET}/topics/' || {_B} || '/'"
+oracle("lineage_rows", f"""WITH days AS (SELECT CAST(ts AS DATE) AS d, date_trunc('second', max(ts)) AS t
+  FROM events GROUP BY 1)
+SELECT {_B}::BIGINT AS batch_nr, 1 AS job_nr, t AS timestamp, 'get_twitter_data' AS step_airflow,
+  'External: posts API' AS source, {_POSTS_PATH} AS destination FROM days
+UNION ALL SELECT {_B}::BIGINT, 2, t, 'all_spark_jobs', {_POSTS_PATH}, {_OUTS} FROM days
+UNION ALL SELECT {_B}::BIGINT, 3, t, 'save_result_to_postgres_db', {_OUTS},
+  'db: {Q.DB}.sentiment, {Q.DB}.topics' FROM days""")
+oracle("cast_on_load", f"""SELECT p.tweets, s.date, s.station, s.compound::DECIMAL(10,4) AS sentiment
+FROM ({_sent(('date', 'station'))}) s
+JOIN (SELECT post_id, {CLEAN('tweets')} AS tweets FROM {POSTS}) p ON s.post_id = p.post_id""")

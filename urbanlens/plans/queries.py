@@ -406,3 +406,29 @@ def q_station_view(spark, sf):
     mood = S.avg_sentiment_by(_scored(spark, sf, carry=("station",)), "station")
     return L.station_view(housing, mood).select("station", "avg_price", "n_listings",
                                                 "avg_sentiment", "n_posts")
+
+
+# ---- load, lineage ---------------------------------------------------------------
+BUCKET = "bucket"
+DB = "london_schema"
+
+
+@query("batch_number")
+def q_batch_number(spark, sf):
+    from urbanlens.sources.io import batch_number, stamp
+    return B.table(spark, sf, "orders").select("o_orderkey", batch_number("o_orderdate").alias("batch_nr"),
+                                               stamp("o_orderdate").alias("stamp"))
+
+
+@query("lineage_rows")
+def q_lineage_rows(spark, sf):
+    from urbanlens.sources.io import lineage_for_batches
+    return lineage_for_batches(B.table(spark, sf, "events"), "ts", BUCKET, DB)
+
+
+@query("cast_on_load")
+def q_cast_on_load(spark, sf):
+    from urbanlens.sources.io import cast_on_load
+    scored = jobs.sentiment_job(B.posts(spark, sf), _lexicon(spark), boosters=TEST_BOOSTERS,
+                                negators=TEST_NEGATORS, places=4)
+    return cast_on_load(scored, "decimal(10,4)").select("tweets", "date", "station", "sentiment")
