@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -73,6 +74,33 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_conversations(format_trees(chains(rows.unionByName(hostile)))).drop("branch")
 
 
+_SQL["op9_chat"] = r"""
+WITH m AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+control(s) AS (VALUES ('<|im_start|>'), ('<|im_end|>'), ('<|endoftext|>'), ('<|startoftext|>'), ('<s>'), ('</s>'),
+  ('[INST]'), ('[/INST]'), ('<<SYS>>'), ('<</SYS>>')),
+marked AS (SELECT *, length(text) + (length(text) - length(replace(text, '\', '')))
+    + (SELECT sum((length(text) - length(replace(text, s, ''))) // length(s)) FROM control) AS n_text,
+    length(role) + (length(role) - length(replace(role, '\', ''))) + (length(role) - length(replace(role, chr(10), '')))
+    + (SELECT sum((length(role) - length(replace(role, s, ''))) // length(s)) FROM control) AS n_role FROM m)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(n_text + n_role + length('<|im_start|>' || chr(10) || '<|im_end|>' || chr(10)))::BIGINT AS formatted_chars
+FROM marked GROUP BY conv_id
+"""
+
+
+#: Folder of the public tokenizer files: a parameter of the environment.
+TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
+
+
+@query
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from urbanlens.llm.bpe import digests
+    return digests(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")
+
+
 def registry() -> dict[str, Query]:
     return dict(_REGISTRY)
 
