@@ -6,6 +6,7 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -101,6 +102,13 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")
 
 
+@query
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from urbanlens.llm.simhash import near_duplicates
+    found = near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=2)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("code"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def registry() -> dict[str, Query]:
     return dict(_REGISTRY)
 
