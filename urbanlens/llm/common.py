@@ -53,3 +53,20 @@ def held_out(doc_id: Column) -> Column:
 def spread(df: DataFrame, *key: str) -> DataFrame:
     """Deal rows over the session's shuffle partitions by the hash of ``key``."""
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *key)
+
+
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once per row: inside a lambda an expression would be computed for every element."""
+    return F.transform(F.array(value), body)[0]
+
+
+def words(text: Column) -> Column:
+    """Lower-case words of a text, split at white space; an empty array for a null or blank text."""
+    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[\s\x{85}\x{a0}\x{2000}-\x{200a}\x{2028}\x{2029}\x{3000}]+"), lambda w: w != "")
+
+
+def shingle_hashes(word_array: Column, n: int) -> Column:
+    """A 64-bit hash of every run of ``n`` words, in order, repeats included; a shorter sequence is one run, none has none."""
+    runs = let(F.transform(word_array, lambda w: F.xxhash64(w)), lambda h: F.transform(
+        F.sequence(F.lit(1), F.greatest(F.size(h) - (n - 1), F.lit(1))), lambda i: F.xxhash64(F.slice(h, i, n))))
+    return F.when(F.size(word_array) > 0, runs).otherwise(F.array().cast("array<bigint>"))

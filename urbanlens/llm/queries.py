@@ -109,6 +109,12 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("code"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query
+def op10_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from urbanlens.llm.sketch import compare_with_edits
+    return compare_with_edits(table(spark, sf_dir, "documents"), shingle=5)
+
+
 def registry() -> dict[str, Query]:
     return dict(_REGISTRY)
 
