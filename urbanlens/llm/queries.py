@@ -134,6 +134,12 @@ FROM p JOIN q ON item_id = q.id WHERE n_shared / n_item >= 0.8
 """
 
 
+@query
+def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from urbanlens.llm.repeats import removal_digests
+    return removal_digests(table(spark, sf_dir, "documents"), least=400)
+
+
 def registry() -> dict[str, Query]:
     return dict(_REGISTRY)
 
