@@ -140,6 +140,13 @@ def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removal_digests(table(spark, sf_dir, "documents"), least=400)
 
 
+@query
+def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from urbanlens.llm.langid import identify, train
+    docs = table(spark, sf_dir, "documents")
+    return identify(docs, train(docs))
+
+
 def registry() -> dict[str, Query]:
     return dict(_REGISTRY)
 
