@@ -147,6 +147,13 @@ def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, train(docs))
 
 
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from urbanlens.llm.toxicity import score, train
+    docs = table(spark, sf_dir, "documents")
+    return score(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
 def registry() -> dict[str, Query]:
     return dict(_REGISTRY)
 
