@@ -25,6 +25,7 @@ import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import Column, DataFrame
@@ -211,3 +212,15 @@ def digests(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str
             rows.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()))
         return pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
     return docs.select(F.col(id_col), f(F.col(text_col)).alias("d")).select(id_col, "d.*")
+
+
+def tokenize(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text", keep: list[str] = ()) -> DataFrame:
+    """``id``, the columns ``keep``, ``n_tokens, token_ids, ids_sha256, decoded_sha256``: the stored form of a tokenized corpus."""
+    @pandas_udf("n_tokens long, token_ids array<int>, ids_sha256 string, decoded_sha256 string")
+    def f(s: pd.Series) -> pd.DataFrame:
+        bpe, rows = load(path), []
+        for t in s:
+            ids, text = bpe.packed(t)
+            rows.append((len(ids) // 4, np.frombuffer(ids, "<i4"), hashlib.sha256(ids).hexdigest(), hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()))
+        return pd.DataFrame(rows, columns=["n_tokens", "token_ids", "ids_sha256", "decoded_sha256"])
+    return docs.select(F.col(id_col), *keep, f(F.col(text_col)).alias("d")).select(id_col, *keep, "d.*")
