@@ -65,17 +65,19 @@ class MaxConv:
 
 
 class Adam:
-    def __init__(self, parameters: list[np.ndarray], rate: float):
+    def __init__(self, parameters: list[np.ndarray], rate: float, shares: list[float] = ()):
+        """``shares``: parts of the rate for the first parameters; the others learn at the full rate."""
         self.p, self.rate, self.t = parameters, rate, 0
+        self.shares = [*shares, *[1.0] * (len(parameters) - len(shares))]
         self.m, self.v = [np.zeros_like(p) for p in parameters], [np.zeros_like(p) for p in parameters]
 
     def step(self, gradients: list[np.ndarray]) -> None:
         self.t += 1
         scale = self.rate * (1 - 0.999 ** self.t) ** 0.5 / (1 - 0.9 ** self.t)
-        for p, g, m, v in zip(self.p, gradients, self.m, self.v, strict=True):
+        for p, g, m, v, share in zip(self.p, gradients, self.m, self.v, self.shares, strict=True):
             m += 0.1 * (g - m)
             v += 0.001 * (g * g - v)
-            p -= scale * m / (np.sqrt(v) + 1e-8)
+            p -= share * scale * m / (np.sqrt(v) + 1e-8)
 
 
 def windows(ids: np.ndarray, length: int) -> np.ndarray:
