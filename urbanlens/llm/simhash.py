@@ -98,6 +98,7 @@ def gray_rank(c: Column) -> Column:
 def links(codes: DataFrame, distance: int = 2, node_size: int = 2048) -> DataFrame:
     """Pairs ``(a, b)``, a < b, of the distinct longs ``code`` that differ in 1 to ``distance`` bits."""
     masks = cut(0, distance + 1)
+    node_size = max(node_size, 1 << distance)  # with as few free bits as ``distance`` all members are linked: no cut is needed
     rows = codes.select("code", F.explode(F.array(*(F.lit(_long(m)) for m in masks))).alias("mask"))
     rows = rows.withColumn("pattern", F.col("code").bitwiseAND(F.col("mask")))
     found, depth = [], 0
