@@ -12,25 +12,35 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from urbanlens.functions import listings as lf
 from urbanlens.operators import ranking
 
 
+def tag(name: str, css_class: str) -> str:
+    """Pattern of an opening tag with a class among its attributes, in any order and with either quote."""
+    return rf"""<{name}\b(?=[^>]*\sclass\s*=\s*["'](?:[^"']*\s)?{css_class}(?:\s[^"']*)?["'])[^>]*>"""
+
+
+def element(name: str, css_class: str) -> str:
+    """Pattern of an element without an element of its own name inside; group 1 is its contents, over line ends."""
+    return rf"(?is){tag(name, css_class)}(.*?)</{name}\s*>"
+
+
 @dataclass(frozen=True)
 class CardPatterns:
     """Regular expressions locating each field (group 1 is the value)."""
-    card_open: str = '<div class="listing-card">'
-    link: str = '<a class="card-link" href="([^"]*)"'
-    address: str = '<p class="card-address">([^<]*)</p>'
-    price: str = '<p class="card-price">([^<]*)</p>'
-    transport: str = '<div class="card-transport">(.*?)</div>'
-    icon: str = 'data-testid="([^"]*)"'
-    transport_text: str = '<p class="card-text">([^<]*)</p>'
-    feature: str = '<div class="card-feature">([^<]*)</div>'
-    next_page: str = '<a class="page-next"'
+    card_open: str = "(?is)" + tag("div", "listing-card")
+    link: str = r"""(?is)<a\b(?=[^>]*\sclass\s*=\s*["'](?:[^"']*\s)?card-link(?:\s[^"']*)?["'])(?=[^>]*?\shref\s*=\s*["']([^"']*)["'])"""
+    address: str = element("p", "card-address")
+    price: str = element("p", "card-price")
+    transport: str = element("div", "card-transport")
+    icon: str = r"""(?is)\sdata-testid\s*=\s*["']([^"']*)["']"""
+    transport_text: str = element("p", "card-text")
+    feature: str = element("div", "card-feature")
+    next_page: str = "(?is)" + tag("a", "page-next")
 
 
 DEFAULT_PATTERNS = CardPatterns()
@@ -48,14 +58,15 @@ def take_pages_while(pages: DataFrame, has_nav, page_col: str = "page_no",
     The stop page is a scalar subquery (``min`` over the pages lacking the
     link), so pages are filtered in place: no window, no shuffle of pages.
     Later pages are dropped even if they have the link; with no stop page
-    every page is kept. ``max_pages`` bounds page numbers (1-based count).
+    every page is kept. ``max_pages``, a caller's bound and off by default, keeps the
+    pages numbered up to it, as pages are numbered from 1.
     """
     flag = has_nav if not isinstance(has_nav, str) else F.col(has_nav)
     src = pages
     if max_pages is not None:
-        src = src.where(F.col(page_col) < F.lit(max_pages))
-    stop = src.where(~flag).agg(F.min(page_col)).scalar()
-    return src.where(stop.isNull() | (F.col(page_col) < stop))
+        src = src.where(F.col(page_col) <= F.lit(max_pages))
+    stop = src.where(~flag).agg(F.min(page_col).cast("long")).scalar()
+    return src.where(F.col(page_col) < F.coalesce(stop, F.lit((1 << 63) - 1)))
 
 
 def extract_cards(pages: DataFrame, patterns: CardPatterns = DEFAULT_PATTERNS,
@@ -76,19 +87,19 @@ def card_fields(cards: DataFrame, patterns: CardPatterns = DEFAULT_PATTERNS) ->
     transport = F.regexp_extract(c, patterns.transport, 1)
     return cards.select(
         "page_no", "card_no",
-        F.regexp_extract(c, patterns.link, 1).alias("href"),
-        F.regexp_extract(c, patterns.address, 1).alias("address"),
-        F.regexp_extract(c, patterns.price, 1).alias("price_text"),
+        lf.decode_entities(F.regexp_extract(c, patterns.link, 1)).alias("href"),
+        lf.element_text(F.regexp_extract(c, patterns.address, 1)).alias("address"),
+        lf.element_text(F.regexp_extract(c, patterns.price, 1)).alias("price_text"),
         F.regexp_extract(c, patterns.transport, 0).alias("transport_block"),
         F.regexp_extract(transport, patterns.icon, 1).alias("first_icon"),
-        F.regexp_extract(transport, patterns.transport_text, 1).alias("transport_text"),
-        F.regexp_extract_all(c, F.lit(patterns.feature), F.lit(1)).alias("features"),
+        lf.element_text(F.regexp_extract(transport, patterns.transport_text, 1)).alias("transport_text"),
+        F.transform(F.regexp_extract_all(c, F.lit(patterns.feature), F.lit(1)), lf.element_text).alias("features"),
     )
 
 
 def listings_from_pages(pages: DataFrame, site_prefix: str = "https://listings.example/",
                         patterns: CardPatterns = DEFAULT_PATTERNS,
-                        page_col: str = "page_no", max_pages: int | None = 300) -> DataFrame:
+                        page_col: str = "page_no", max_pages: int | None = None) -> DataFrame:
     """K4: the nine listing columns, in the original order of checks.
 
     pages -> take-while pagination -> cards -> price and first-icon filters
@@ -124,6 +135,17 @@ def extract_links(pages: DataFrame, key: str = "page_id", html_col: str = "html"
     return pages.select(key, F.posexplode(hrefs).alias("pos", "href"))
 
 
+def folded(name) -> Column:
+    """A station's name without edge blanks and in lower case, as J2 compares names."""
+    return F.lower(F.trim(F.col(name) if isinstance(name, str) else name))
+
+
+def _price_sums(near: DataFrame, places: int) -> list[Column]:
+    # summed exactly, divided once: the mean does not depend on how partitions are summed
+    total = F.sum(F.col("price").cast("decimal(20,4)")).cast("double")
+    return [F.round(total / F.count("price"), places).alias("avg_price"), F.count(F.lit(1)).alias("n_listings")]
+
+
 def avg_price_by_station(listings: DataFrame, km: float = 1.0, places: int = 4) -> DataFrame:
     """A3: mean price and count per station over listings closer than ``km``.
 
@@ -131,17 +153,20 @@ def avg_price_by_station(listings: DataFrame, km: float = 1.0, places: int = 4)
     """
     from urbanlens.functions.geo import miles_to_km
     near = listings.where(miles_to_km(F.col("distance")) < F.lit(km))
-    return (near.groupBy(F.col("subway_station").alias("station"))
-            .agg(F.round(F.avg("price"), places).alias("avg_price"),
-                 F.count(F.lit(1)).alias("n_listings")))
+    return near.groupBy(F.col("subway_station").alias("station")).agg(*_price_sums(near, places))
 
 
-def station_view(housing: DataFrame, mood: DataFrame, key: str = "station") -> DataFrame:
-    """Station housing ⟕ station mood on the trimmed, case-folded name.
+def station_view(listings: DataFrame, scored: DataFrame, km: float = 1.0, score_col: str = "compound",
+                 places: int = 4) -> DataFrame:
+    """J2 + K6: per station ``(station, avg_price, n_listings, avg_sentiment, n_posts)``.
 
-    Both inputs are already aggregated per station (small, one row each), so
-    this is a join of two station-sized tables.
+    Names are folded *before* both aggregates, so spellings of one station are one row on either side; the name shown is the smallest
+    trimmed spelling among the listings. Then two station-sized tables are joined; stations without posts keep their prices.
     """
-    h = housing.withColumn("_k", F.lower(F.trim(F.col(key))))
-    m = mood.withColumn("_k", F.lower(F.trim(F.col(key)))).drop(key)
-    return h.join(m, "_k", "left").drop("_k")
+    from urbanlens.functions.geo import miles_to_km
+    from urbanlens.operators.sentiment import avg_sentiment_by
+    near = listings.where(miles_to_km(F.col("distance")) < F.lit(km))
+    housing = near.groupBy(folded("subway_station").alias("_k")).agg(
+        F.min(F.trim("subway_station")).alias("station"), *_price_sums(near, places))
+    mood = avg_sentiment_by(scored.withColumn("_k", folded("station")), "_k", score_col, places)
+    return housing.join(mood, "_k", "left").drop("_k")

@@ -31,14 +31,17 @@ def top_n_per_group(df: DataFrame, by: str | Sequence[str], order: Sequence[str
 def dedup_first(df: DataFrame, key: str | Sequence[str], order: Sequence[str]) -> DataFrame:
     """A5: one row per key, the first in ``order`` (first seen wins).
 
-    ``min_by`` over a struct is an aggregate with a partial step before the
-    shuffle, so a key with millions of copies is reduced map-side; unlike
-    ``dropDuplicates`` the survivor is deterministic.
+    ``row_number() = 1`` gets a map-side ``WindowGroupLimit``, so a key with millions of
+    copies leaves each partition once. String keys are compared by their SHA-256:
+    sorting and shuffling use 64 characters, not whole texts, and a text that the
+    caller does not select is never shuffled. Null keys are one key.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    rest = [c for c in df.columns if c not in keys]
-    best = F.min_by(F.struct(*[F.col(c) for c in rest]), F.struct(*[F.col(c) for c in order]))
-    return df.groupBy(*keys).agg(best.alias("_best")).select(*keys, *[F.col(f"_best.{c}").alias(c) for c in rest])
+    kinds = dict(df.dtypes)
+    narrow = {f"_key{i}": F.sha2(F.col(c), 256) if kinds[c] == "string" else F.col(c) for i, c in enumerate(keys)}
+    w = Window.partitionBy(*narrow).orderBy(*_order(order))
+    kept = df.withColumns(narrow).withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
+    return kept.select(*keys, *[c for c in df.columns if c not in keys])
 
 
 def first_n(df: DataFrame, n: int | None, order: Sequence[str | Column]) -> DataFrame:

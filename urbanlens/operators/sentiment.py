@@ -27,7 +27,6 @@ from pyspark.sql import functions as F
 
 from urbanlens.functions._util import as_col
 from urbanlens.functions.text import split_words
-from urbanlens.operators.sizing import checked_broadcast, row_count_at_most
 
 # --- fixed values (published model constants) --------------------------------
 B_INCR = 0.293
@@ -148,10 +147,11 @@ def normalize(score: Column, alpha: float = NORM_ALPHA) -> Column:
 
 def lexicon_table(lexicon: DataFrame, token_col: str = "token",
                   valence_col: str = "valence") -> DataFrame:
-    """One valence per lower-cased token (max of duplicates)."""
-    return (lexicon.select(F.lower(F.col(token_col)).alias("lx_token"),
-                           F.col(valence_col).cast("double").alias("lx_valence"))
-            .groupBy("lx_token").agg(F.max("lx_valence").alias("lx_valence")))
+    """One valence per lower-cased token; a token with two valences fails the job."""
+    rows = lexicon.select(F.lower(F.col(token_col)).alias("lx_token"), F.col(valence_col).cast("double").alias("v"))
+    both = F.raise_error(F.concat(F.lit("two valences of one lexicon token: "), F.col("lx_token"))).cast("double")
+    return (rows.groupBy("lx_token").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
+            .select("lx_token", F.when(F.col("lo") != F.col("hi"), both).otherwise(F.col("hi")).alias("lx_valence")))
 
 
 def post_words(posts: DataFrame, key: str, text: str, carry: Sequence[str] = ()) -> DataFrame:
@@ -200,26 +200,28 @@ def post_words(posts: DataFrame, key: str, text: str, carry: Sequence[str] = ())
              "c.w", "c.p1", "c.p2", "c.p3", "c.n1", "c.n2")
 
 
-def lexicon_join(words: DataFrame, lexicon: DataFrame, max_lexicon_rows: int = 2_000_000,
-                 word_col: str = "w") -> DataFrame:
-    """Valence ``v0`` of each word and, for hits, lexicon flags of neighbours.
+def is_anchor() -> Column:
+    """The one row that every post has among its words: the first word, or the row of a post without words."""
+    return F.col("pos").isNull() | (F.col("pos") == 0)
 
-    All lookups are broadcast hash joins (the lexicon is size-checked first);
-    neighbour keys are null unless the word itself hit, so misses cost one
-    probe only.
-    """
-    lex = lexicon_table(lexicon)
-    small = row_count_at_most(lex, max_lexicon_rows)
 
-    def side(df):
-        return F.broadcast(df) if small else df
+def lexicon_join(words: DataFrame, lexicon: DataFrame, word_col: str = "w") -> DataFrame:
+    """Words with a valence ``v0`` and lexicon flags of their neighbours, and each post's anchor row.
 
-    out = (words.join(side(lex), F.lower(F.col(word_col)) == lex["lx_token"], "left")
-           .withColumnRenamed("lx_valence", "v0").drop("lx_token"))
+    The lexicon is met first; only hits and one row per post go on, so
+    neighbour look-ups and rules don't touch the other words. Spark broadcasts
+    the lexicon when its size in bytes allows. Rows that look nothing up have
+    a key of their own each: they never gather in one partition.
+    """
+    lex = lexicon_table(lexicon)
+    out = (words.join(lex, F.lower(F.col(word_col)) == lex["lx_token"], "left")
+           .withColumnRenamed("lx_valence", "v0").drop("lx_token")
+           .where(F.col("v0").isNotNull() | is_anchor()))
+    nothing = F.concat(F.lit("\u0000"), F.xxhash64(*words.columns).cast("string"))
     for nb, flag in (("p1", "in1"), ("p2", "in2"), ("p3", "in3"), ("n1", "inn1")):
         k = lex.select(F.col("lx_token").alias(f"_k_{flag}"), F.lit(True).alias(flag))
-        probe = F.when(F.col("v0").isNotNull(), F.lower(F.col(nb)))
-        out = (out.join(side(k), probe == k[f"_k_{flag}"], "left").drop(f"_k_{flag}")
+        probe = F.coalesce(F.when(F.col("v0").isNotNull(), F.lower(F.col(nb))), nothing)
+        out = (out.join(k, probe == k[f"_k_{flag}"], "left").drop(f"_k_{flag}")
                .withColumn(flag, F.coalesce(F.col(flag), F.lit(False))))
     return out
 
@@ -344,14 +346,19 @@ def sentiment_score(posts: DataFrame, key: str, text: str, lexicon: DataFrame,
 
     ``compound`` is rounded to ``places`` (4, as the model reports it);
     ``sentiment`` is the two-place display value of the original job. Empty
-    text scores 0.0 and null text gives null. ``key`` must identify a post.
+    text scores 0.0 and null text gives null. ``key`` must identify a post:
+    a key that is null or that two posts share fails the job.
     """
     if key not in posts.columns:
         raise ValueError(f"sentiment_score needs a post key column, {key!r} not found")
     words = post_words(posts, key, text, carry)
     scored = score_words(lexicon_join(words, lexicon), boosters, negators, idioms)
     scored = scored.withColumn("s", F.col("s") * but_weight())
-    sums = scored.groupBy(key, *carry, "null_text", "amp").agg(F.sum("s").alias("sum_s"))
+    sums = scored.groupBy(key).agg(
+        F.sum("s").alias("sum_s"), F.sum(is_anchor().cast("int")).alias("n_posts"),
+        *[F.first(c).alias(c) for c in (*carry, "null_text", "amp")])
+    wrong = F.raise_error(F.concat(F.lit(f"{key} does not identify a post: "), F.coalesce(F.col(key).cast("string"), F.lit("null"))))
+    sums = sums.withColumn("sum_s", F.when(F.col(key).isNull() | (F.col("n_posts") > 1), wrong.cast("double")).otherwise(F.col("sum_s")))
     s = F.col("sum_s")
     amplified = (F.when(s > 0, s + F.col("amp")).when(s < 0, s - F.col("amp"))
                  .otherwise(s))
@@ -366,7 +373,7 @@ def sentiment_score(posts: DataFrame, key: str, text: str, lexicon: DataFrame,
 def lexicon_hits(posts: DataFrame, key: str, text: str, lexicon: DataFrame) -> DataFrame:
     """``(key, pos, token, valence)`` for every word found in the lexicon."""
     words = post_words(posts, key, text)
-    lex = checked_broadcast(lexicon_table(lexicon))
+    lex = lexicon_table(lexicon)
     return (words.join(lex, F.lower(F.col("w")) == lex["lx_token"], "inner")
             .select(key, "pos", F.col("w").alias("token"), F.col("lx_valence").alias("valence")))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,7 +21,12 @@ def keyword_match(text, word: str):
     Words are runs of ``[a-z0-9]`` after lower-casing; no ``\\b`` (engines
     disagree on it next to accented letters).
     """
-    return F.array_contains(F.split(F.lower(as_col(text)), "[^a-z0-9]+"), word.lower())
+    w = word.lower()
+    if not re.fullmatch("[a-z0-9]+", w):
+        raise ValueError(f"a keyword is one word of letters and digits, not {word!r}")
+    low = F.lower(as_col(text))
+    # the cheap test first: most texts don't hold the letters at all
+    return low.contains(w) & low.rlike(rf"(?:\A|[^a-z0-9]){w}(?:[^a-z0-9]|\z)")
 
 
 def filter_keyword(df: DataFrame, text_col: str, word: str) -> DataFrame:
@@ -58,14 +65,14 @@ def concat_by(df: DataFrame, key: str, text: str, order_col: str,
     ``chunk = floor(order_col / chunk_rows)``. ``order_col`` must be an
     integral, unique column, which bounds every chunk to ``chunk_rows`` rows.
     Joining the chunk texts of a key in chunk order with ``sep`` gives the
-    whole concatenation. Null keys form their own group.
+    whole concatenation. Null keys form their own group. Null texts add nothing,
+    and a chunk of null texts alone stays, as an empty string with no rows.
     """
     chunk = F.floor(F.col(order_col) / F.lit(chunk_rows)).cast("long")
     pieces = F.sort_array(F.collect_list(F.struct(F.col(order_col).alias("o"),
                                                   F.col(text).alias("t"))))
-    return (df.where(F.col(text).isNotNull())
-            .groupBy(key, chunk.alias("chunk"))
-            .agg(F.count(F.lit(1)).alias("n_rows"),
+    return (df.groupBy(key, chunk.alias("chunk"))
+            .agg(F.count(text).alias("n_rows"),
                  F.concat_ws(sep, F.transform(pieces, lambda p: p["t"])).alias(out_col)))
 
 

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from urbanlens.functions.stem import stem_udf
-from urbanlens.operators.sizing import checked_broadcast
 
 # --- fixed values -----------------------------------------------------------
 # Words dropped from the weekly topic list after the top-5 cut.
@@ -18,14 +17,13 @@ TOP_K = 5
 
 
 def stem_join(counts: DataFrame, stems: DataFrame, word_col: str = "token",
-              stem_col: str = "stem", max_broadcast_rows: int = 5_000_000) -> DataFrame:
+              stem_col: str = "stem") -> DataFrame:
     """Attach a stem to each distinct word from a ``(token, stem)`` table.
 
-    Words missing from the table keep themselves as stem. The stem table is
-    broadcast only when a bounded count proves it small.
+    Words missing from the table keep themselves as stem. Spark broadcasts the
+    stem table when its size in bytes allows, and shuffles both sides otherwise.
     """
     table = stems.select(F.col("token").alias("_st_token"), F.col("stem").alias("_st_stem"))
-    table = checked_broadcast(table, max_broadcast_rows)
     joined = counts.join(table, counts[word_col] == table["_st_token"], "left")
     return (joined.withColumn(stem_col, F.coalesce(F.col("_st_stem"), F.col(word_col)))
             .drop("_st_token", "_st_stem"))

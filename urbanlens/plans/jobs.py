@@ -89,8 +89,36 @@ def collect_posts(posts: DataFrame, stations: DataFrame, km: float = 1.0,
         src = tops.filter_language(src, "lang", lang)
     if keyword is not None:
         src = tops.filter_keyword(src, "tweets", keyword)
-    near = geo.radius_join(src.select("post_id", "tweets", "date", "lat", "lon"),
+    near = geo.radius_join(src.select("post_id", "date", "lat", "lon"),
                            centers.select("Station", "Latitude", "Longitude"), km=km)
     top = ranking.top_n_per_group(near, "Station", [F.desc("date"), F.asc("post_id")],
                                   per_station, rank_col=None)
-    return top.select("post_id", "tweets", "date", F.col("Station").alias("station"))
+    # texts join the few that are left; ``post_id`` identifies a post
+    return top.join(src.select("post_id", "tweets"), "post_id").select("post_id", "tweets", "date", F.col("Station").alias("station"))
+
+
+def station_view(listings: DataFrame, scored: DataFrame, km: float = 1.0) -> DataFrame:
+    """K6: housing prices within ``km`` of each station beside the mood of its posts."""
+    from urbanlens.operators import listings as L
+
+    return L.station_view(listings, scored, km)
+
+
+def load_results(spark, sentiment_path: str, topics_path: str, db: str, now: dt.datetime, listings_path: str | None = None) -> None:
+    """K5: append the newest sentiment and topic batches (and listings) to the result tables, then one lineage row.
+
+    Rows whose date or score can't be read stop the load before anything is written.
+    """
+    from urbanlens.sources import io
+
+    io.ensure_tables(spark, db)
+    scored = io.cast_on_load(io.read_latest(spark, sentiment_path), strict=True)
+    topics = io.read_latest(spark, topics_path)
+    io.append_table(scored, f"{db}.sentiment")
+    io.append_table(topics, f"{db}.topics")
+    sources, targets = [sentiment_path, topics_path], [f"{db}.sentiment", f"{db}.topics"]
+    if listings_path:
+        io.append_table(io.read_listings(spark, listings_path), f"{db}.listings")
+        sources.append(listings_path)
+        targets.append(f"{db}.listings")
+    io.append_table(io.lineage_row(spark, io.JOB_LOAD, io.STEP_LOAD, ", ".join(sources), "db: " + ", ".join(targets), now), f"{db}.data_lineage")

@@ -252,9 +252,9 @@ CARDS = f"""(SELECT page_no, card_no,
    regexp_extract_all(card, '<div class="card-feature">([^<]*)</div>', 1) AS features
  FROM (SELECT page_no, (generate_subscripts(cs, 1) - 1)::INTEGER AS card_no, unnest(cs) AS card
        FROM (SELECT page_no, string_split_regex(html, '<div class="listing-card">')[2:] AS cs FROM {{pages}})))"""
-KEPT_PAGES = f"""(SELECT * FROM {CARD_PAGES} WHERE page_no < 300 AND (
-   (SELECT min(page_no) FROM {CARD_PAGES} WHERE page_no < 300 AND NOT coalesce(regexp_matches(html, '<a class="page-next"'), false)) IS NULL
-   OR page_no < (SELECT min(page_no) FROM {CARD_PAGES} WHERE page_no < 300 AND NOT coalesce(regexp_matches(html, '<a class="page-next"'), false))))"""
+KEPT_PAGES = f"""(SELECT * FROM {CARD_PAGES} WHERE
+   (SELECT min(page_no) FROM {CARD_PAGES} WHERE NOT coalesce(regexp_matches(html, '<a class="page-next"'), false)) IS NULL
+   OR page_no < (SELECT min(page_no) FROM {CARD_PAGES} WHERE NOT coalesce(regexp_matches(html, '<a class="page-next"'), false)))"""
 _DPARTS = "string_split(transport_text, ' miles ')"
 LISTINGS = f"""(SELECT ad_id, {sql_str(Q.SITE_PREFIX)} || regexp_replace(href, '^/+', '') AS link,
    TRY_CAST(nullif(regexp_replace(price_text, '[^0-9.]', '', 'g'), '') AS DOUBLE) AS price,
@@ -295,8 +295,12 @@ oracle("take_pages_while", f"SELECT page_no FROM {KEPT_PAGES}")
 oracle("listings_job", f"SELECT * FROM {LISTINGS}")
 oracle("avg_price_by_station", f"SELECT * FROM {HOUSING}")
 oracle("station_view", f"""SELECT h.station, h.avg_price, h.n_listings, m.avg_sentiment, m.n_posts
-FROM {HOUSING} h LEFT JOIN (SELECT station, {_MEAN} AS avg_sentiment, count(*) AS n_posts
-  FROM ({_sent(('station',))}) GROUP BY station) m ON lower(trim(h.station)) = lower(trim(m.station))""")
+FROM (SELECT lower(trim(name)) AS k, min(trim(name)) AS station, round(avg(price), 4) AS avg_price, count(*) AS n_listings
+  FROM (SELECT *, CASE WHEN ad_id::BIGINT % 3 = 0 THEN upper(subway_station) || ' ' ELSE subway_station END AS name
+        FROM {LISTINGS} WHERE distance * 1.609344 < {Q.LISTING_KM}) GROUP BY 1) h
+LEFT JOIN (SELECT lower(trim(name)) AS k, {_MEAN} AS avg_sentiment, count(*) AS n_posts
+  FROM (SELECT *, CASE WHEN post_id % 2 = 0 THEN ' ' || upper(station) ELSE station END AS name FROM ({_sent(('station',))}))
+  GROUP BY 1) m ON h.k = m.k""")
 
 # ---- load, lineage ---------------------------------------------------------------
 

@@ -384,7 +384,7 @@ def q_first_icon_filter(spark, sf):
 def q_take_pages_while(spark, sf):
     from urbanlens.operators import listings as L
     pages = _card_pages(spark, sf)
-    return L.take_pages_while(pages, L.has_next_link("html"), max_pages=300).select("page_no")
+    return L.take_pages_while(pages, L.has_next_link("html")).select("page_no")
 
 
 @query("listings_job")
@@ -400,12 +400,12 @@ def q_avg_price_by_station(spark, sf):
 
 @query("station_view")
 def q_station_view(spark, sf):
-    from urbanlens.operators import listings as L
-    from urbanlens.operators import sentiment as S
-    housing = L.avg_price_by_station(_listings(spark, sf), LISTING_KM)
-    mood = S.avg_sentiment_by(_scored(spark, sf, carry=("station",)), "station")
-    return L.station_view(housing, mood).select("station", "avg_price", "n_listings",
-                                                "avg_sentiment", "n_posts")
+    # spellings of a name differ in case and blanks on both sides
+    listings = _listings(spark, sf).withColumn("subway_station", F.when(
+        F.col("ad_id").cast("long") % 3 == 0, F.concat(F.upper("subway_station"), F.lit(" "))).otherwise(F.col("subway_station")))
+    scored = _scored(spark, sf, carry=("station",)).withColumn("station", F.when(
+        F.col("post_id") % 2 == 0, F.concat(F.lit(" "), F.upper("station"))).otherwise(F.col("station")))
+    return jobs.station_view(listings, scored, LISTING_KM)
 
 
 # ---- load, lineage ---------------------------------------------------------------

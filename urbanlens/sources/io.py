@@ -65,16 +65,19 @@ def read_latest(spark: SparkSession, path: str) -> DataFrame:
     part files). The batch whose newest file was modified last wins; ties
     go to the greater folder name. Only that folder's files are then read.
     """
-    files = (spark.read.parquet(f"{path.rstrip('/')}/*")
-             .select(F.col("_metadata.file_path").alias("f"),
-                     F.col("_metadata.file_modification_time").alias("t"))
-             .distinct()
-             .withColumn("d", F.regexp_extract("f", "^(.*)/[^/]+$", 1)))
-    newest = files.groupBy("d").agg(F.max("t").alias("t")) \
-        .orderBy(F.desc("t"), F.desc("d")).limit(1).first()
+    # the folder's listing names files, not rows: empty batches count, blanks in names stay as they are
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    newest = None
+    for folder in fs.listStatus(root) if fs.exists(root) else ():
+        if folder.isDirectory():
+            times = [f.getModificationTime() for f in fs.listStatus(folder.getPath())
+                     if f.isFile() and f.getPath().getName().endswith(".parquet")]
+            if times:
+                newest = max(newest or (0, ""), (max(times), folder.getPath().toString()))
     if newest is None:
         raise FileNotFoundError(f"no batch under {path}")
-    return spark.read.parquet(newest["d"])
+    return spark.read.parquet(newest[1])
 
 
 # ---- sinks --------------------------------------------------------------------
@@ -91,12 +94,15 @@ def write_listings_csv(df: DataFrame, path: str) -> None:
 
 
 def ensure_tables(spark: SparkSession, db: str, location: str | None = None) -> None:
-    """Create the database and the three result tables if missing."""
+    """Create the database and the four result tables if missing."""
     loc = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}{loc}")
     spark.sql(f"""CREATE TABLE IF NOT EXISTS {db}.sentiment
         (tweets STRING, date TIMESTAMP, station STRING, sentiment DECIMAL(5,2)) USING parquet""")
     spark.sql(f"""CREATE TABLE IF NOT EXISTS {db}.topics (date TIMESTAMP, topics STRING) USING parquet""")
+    spark.sql(f"""CREATE TABLE IF NOT EXISTS {db}.listings
+        (ad_id STRING, link STRING, price DOUBLE, bedrooms INT, bathrooms INT, living_rooms INT,
+         address STRING, distance DOUBLE, subway_station STRING) USING parquet""")
     spark.sql(f"""CREATE TABLE IF NOT EXISTS {db}.data_lineage
         (batch_nr BIGINT, job_nr INT, timestamp TIMESTAMP, step_airflow STRING,
          source STRING, destination STRING) USING parquet""")
@@ -138,11 +144,19 @@ def lineage_row(spark: SparkSession, job_nr: int, step: str, source: str, destin
     return spark.createDataFrame([row], S.LINEAGE)
 
 
-def cast_on_load(scored: DataFrame, decimal_type: str = "decimal(5,2)") -> DataFrame:
-    """sentiment (number or numeric text) -> decimal, date text -> timestamp."""
-    return scored.select(
-        F.col("tweets"), F.col("date").try_cast("timestamp").alias("date"), F.col("station"),
-        F.col("sentiment").try_cast(decimal_type).alias("sentiment"))
+def cast_on_load(scored: DataFrame, decimal_type: str = "decimal(5,2)", strict: bool = False) -> DataFrame:
+    """sentiment (number or numeric text) -> decimal, date text -> timestamp.
+
+    What can't be read becomes NULL; with ``strict`` it fails the job instead.
+    """
+    def read(name: str, kind: str) -> Column:
+        c = F.col(name).try_cast(kind)
+        if strict:
+            bad = F.raise_error(F.concat(F.lit(f"unreadable {name}: "), F.col(name).cast("string")))
+            c = F.when(c.isNull() & F.col(name).isNotNull(), bad.cast(kind)).otherwise(c)
+        return c.alias(name)
+
+    return scored.select("tweets", read("date", "timestamp"), "station", read("sentiment", decimal_type))
 
 
 def lineage_for_batches(events: DataFrame, ts_col: str, bucket: str, db: str) -> DataFrame:

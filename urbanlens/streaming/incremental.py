@@ -3,9 +3,10 @@
 The original pipeline is a weekly batch with no catch-up and one active run.
 The same jobs can run incrementally: new post files dropped in a folder are
 picked up by a file stream, each micro-batch goes through the batch job
-(``foreachBatch``) and is appended to the result path. Progress lives in a
-checkpoint under the shared ``spark.checkpoint.dir``, so a restarted query
-(or a lost executor) neither skips nor repeats a file.
+(``foreachBatch``) and is written to a folder of its own. Progress lives in a
+checkpoint under the shared ``spark.checkpoint.dir``; a batch that is run again
+after a crash overwrites its own folder, so nothing is skipped or doubled.
+For jobs without state between batches, whose rows don't depend on other batches.
 """
 
 from __future__ import annotations
@@ -30,14 +31,14 @@ def stream_posts(spark: SparkSession, path: str, schema: T.StructType,
 
 def run_incremental(stream: DataFrame, job: Callable[[DataFrame], DataFrame], out_path: str,
                     name: str, available_now: bool = True) -> StreamingQuery:
-    """Apply a batch ``job`` to every micro-batch and append its rows to ``out_path``.
+    """Apply a batch ``job`` to every micro-batch and write its rows to ``out_path/batch_id=<n>``.
 
     ``available_now`` processes everything present, then stops (the weekly
     run); otherwise the query keeps running. The checkpoint folder is
     ``<spark.checkpoint.dir>/<name>``.
     """
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        job(batch).write.mode("append").parquet(out_path)
+        job(batch).write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch_id={batch_id}")
 
     writer = (stream.writeStream.foreachBatch(write_batch)
               .option("checkpointLocation", checkpoint_subdir(stream.sparkSession, name))
