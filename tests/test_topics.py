@@ -1,6 +1,9 @@
 import datetime as dt
+import random
 
-from urbanlens.functions.stem import stem_word
+from porter2_plain import stem_word
+
+from urbanlens.functions.stem import STEP2, STEP3, STEP4, stem_words
 from urbanlens.operators import topics as T
 from urbanlens.plans import jobs
 
@@ -19,11 +22,15 @@ def test_porter2_pairs():
         assert stem_word(w) == s, w
 
 
-def test_stem_udf_matches_python(spark):
-    df = spark.createDataFrame([(w,) for w in PAIRS], "token string")
-    from urbanlens.functions.stem import stem_udf
-    got = {r.token: r.s for r in df.select("token", stem_udf("token").alias("s")).collect()}
-    assert got == PAIRS
+def test_expressions_stem_letter_by_letter(spark):
+    rnd = random.Random(1)
+    ends = [e for e, _ in (*STEP2, *STEP3)] + list(STEP4) + ["s", "es", "ies", "ied", "ed", "ing", "eed", "eedly", "ingly", "y", "e", "ll", "'s", "'", "'s'", "us", "ss", "tt", "iz", ""]
+    words = [*PAIRS, "", "a", "is", "'tis", "yy", "syzygy", "sayyid", "gener", "communal", "arsenic", "inning", "succeed", "skies", "éclair", "naïveness", None]
+    words += ["".join(rnd.choice("aeiouybcdlstwx'") for _ in range(rnd.randint(0, 6))) + rnd.choice(ends) + rnd.choice(ends) for _ in range(4000)]
+    df = spark.createDataFrame([(w,) for w in words], "token string")
+    got = {r.token: r.stem for r in stem_words(df).collect()}
+    assert {w: got[w] for w in PAIRS} == PAIRS
+    assert {w: s for w, s in got.items() if s != stem_word(w)} == {}
 
 
 def test_top_topics_ties_and_exclusion(spark):

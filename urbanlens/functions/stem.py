@@ -1,19 +1,14 @@
-"""English Snowball (Porter2) stemming as a small per-token helper.
+"""English Snowball (Porter2) stemming as Spark expressions.
 
-The stemmer library used by the original topic job is not available here, so
-the published Porter2 rules are written out below. The helper is only ever
-run through :func:`stem_udf`, an Arrow-batched pandas UDF, and the topic job
-applies it to the *distinct counted vocabulary*, never to every occurrence.
+The published Porter2 rules (snowballstem.org, BSD licence), one projection per step over three columns: the word with its
+consonant ``y`` marked as ``Y``, and the starts of its regions R1 and R2. All of it is built-in expressions; the topic job
+applies it to the distinct counted words.
 """
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from urbanlens.functions._util import as_col
 
 # --- fixed values (published Porter2 definitions) ---------------------------
 VOWELS = frozenset("aeiouy")
@@ -48,150 +43,79 @@ STEP4 = ("ement", "ance", "ence", "able", "ible", "ment", "ant", "ent", "ism",
          "ate", "iti", "ous", "ive", "ize", "ion", "al", "er", "ic")
 # ----------------------------------------------------------------------------
 
-
-def _is_vowel(ch: str) -> bool:
-    return ch in VOWELS
-
-
-def _region_start(w: str, start: int) -> int:
-    """Index after the first non-vowel that follows a vowel, from ``start``."""
-    for i in range(max(start, 1), len(w)):
-        if not _is_vowel(w[i]) and _is_vowel(w[i - 1]):
-            return i + 1
-    return len(w)
-
-
-def _short_syllable_at_end(w: str) -> bool:
-    n = len(w)
-    if n == 2:
-        return _is_vowel(w[0]) and not _is_vowel(w[1])
-    if n >= 3:
-        return (not _is_vowel(w[-3]) and _is_vowel(w[-2])
-                and not _is_vowel(w[-1]) and w[-1] not in "wxY")
-    return False
-
-
-def _longest(w: str, suffixes):
-    for entry in suffixes:
-        suf = entry[0] if isinstance(entry, tuple) else entry
-        if w.endswith(suf):
-            return entry
-    return None
-
-
-def stem_word(word: str | None) -> str | None:
-    """Porter2 stem of one lower-cased token (None stays None)."""
-    if word is None:
-        return None
-    w = word.lower()
-    if len(w) <= 2:
-        return w
-    if w in EXCEPTIONS:
-        return EXCEPTIONS[w]
-    if w.startswith("'"):
-        w = w[1:]
-    # mark consonant y as Y
-    chars = list(w)
-    for i, ch in enumerate(chars):
-        if ch == "y" and (i == 0 or chars[i - 1] in VOWELS):
-            chars[i] = "Y"
-    w = "".join(chars)
-
-    p1 = next((len(p) for p in R1_PREFIXES if w.startswith(p)), None)
-    if p1 is None:
-        p1 = _region_start(w, 1)
-    p2 = _region_start(w, p1 + 1)
-
-    # step 0: possessives
-    for suf in ("'s'", "'s", "'"):
-        if w.endswith(suf):
-            w = w[: -len(suf)]
-            break
-
-    # step 1a
-    if w.endswith("sses"):
-        w = w[:-2]
-    elif w.endswith("ied") or w.endswith("ies"):
-        w = w[:-2] if len(w) > 4 else w[:-1]
-    elif w.endswith("us") or w.endswith("ss"):
-        pass
-    elif w.endswith("s"):
-        if any(_is_vowel(c) for c in w[:-2]):
-            w = w[:-1]
-    if w in AFTER_1A:
-        return w
-
-    # step 1b
-    suf = _longest(w, ("eedly", "ingly", "edly", "eed", "ing", "ed"))
-    if suf in ("eed", "eedly"):
-        if len(w) - len(suf) >= p1:
-            w = w[: -len(suf)] + "ee"
-    elif suf is not None:
-        stem = w[: -len(suf)]
-        if any(_is_vowel(c) for c in stem):
-            w = stem
-            if w.endswith(("at", "bl", "iz")):
-                w += "e"
-            elif w.endswith(DOUBLES):
-                w = w[:-1]
-            elif p1 >= len(w) and _short_syllable_at_end(w):
-                w += "e"
-
-    # step 1c
-    if len(w) > 2 and w[-1] in "yY" and not _is_vowel(w[-2]):
-        w = w[:-1] + "i"
-
-    # step 2
-    hit = _longest(w, STEP2)
-    if hit is not None:
-        suf, rep = hit
-        if len(w) - len(suf) >= p1:
-            if suf == "ogi":
-                if w[:-3].endswith("l"):
-                    w = w[:-3] + rep
-            elif suf == "li":
-                if len(w) >= 3 and w[-3] in LI_ENDINGS:
-                    w = w[:-2]
-            else:
-                w = w[: -len(suf)] + rep
-
-    # step 3
-    hit = _longest(w, STEP3)
-    if hit is not None:
-        suf, rep = hit
-        if len(w) - len(suf) >= p1:
-            if suf == "ative":
-                if len(w) - len(suf) >= p2:
-                    w = w[: -len(suf)]
-            else:
-                w = w[: -len(suf)] + rep
-
-    # step 4
-    suf = _longest(w, STEP4)
-    if suf is not None and len(w) - len(suf) >= p2:
-        if suf == "ion":
-            if len(w) >= 4 and w[-4] in "st":
-                w = w[:-3]
-        else:
-            w = w[: -len(suf)]
-
-    # step 5
-    if w.endswith("e"):
-        if len(w) - 1 >= p2:
-            w = w[:-1]
-        elif len(w) - 1 >= p1 and not _short_syllable_at_end(w[:-1]):
-            w = w[:-1]
-    elif w.endswith("ll") and len(w) - 1 >= p2:
-        w = w[:-1]
-
-    return w.replace("Y", "y")
-
-
-@F.pandas_udf(T.StringType())
-def _stem_series(tokens: pd.Series) -> pd.Series:
-    return tokens.map(stem_word, na_action="ignore")
-
-
-def stem_udf(token) -> Column:
-    """Porter2 stem of a string column, Arrow-batched."""
-    return _stem_series(as_col(token))
+_V, _C = "[aeiouy]", "[^aeiouy]"
+_REGION = f"(?s)^.*?{_V}{_C}"
+_SHORT = f"(?s)(?:^{_V}{_C}|{_C}{_V}[^aeiouywxY])\\z"
+
+
+def _ending(w: Column, endings) -> Column:
+    """The longest of the endings that the word has, else an empty string."""
+    return F.regexp_extract(w, f"(?:{'|'.join(endings)})\\z", 0)
+
+
+def _cut(w: Column, n) -> Column:
+    """The word without its last ``n`` letters."""
+    return F.substring(w, F.lit(1), F.length(w) - n)
+
+
+def _length_or(text: Column, otherwise: Column) -> Column:
+    return F.when(text != "", F.length(text)).otherwise(otherwise)
+
+
+def _mapped(ending: Column, table) -> Column:
+    return F.element_at(F.create_map(*[F.lit(x) for pair in table for x in pair]), ending)
+
+
+def stem_words(df: DataFrame, word_col: str = "token", out_col: str = "stem") -> DataFrame:
+    """``df`` with the Porter2 stem of each word (null stays null); ``df`` itself is not shuffled."""
+    word, w, p1, p2, end, base = (F.col(c) for c in ("_word", "_w", "_p1", "_p2", "_end", "_base"))
+
+    def step(d: DataFrame, value: Column) -> DataFrame:
+        return d.withColumn("_w", value)
+
+    def find(d: DataFrame, endings) -> DataFrame:
+        return d.withColumn("_end", _ending(w, endings)).withColumn("_base", _cut(w, F.length(end)))
+
+    d = df.withColumn("_word", F.lower(F.col(word_col)))
+    marked = F.regexp_replace(F.regexp_replace(F.regexp_replace(word, "^'", ""), "^y", "Y"), f"({_V})y", "$1Y")
+    d = step(d, marked)
+    prefix = F.regexp_extract(w, f"^(?:{'|'.join(R1_PREFIXES)})", 0)
+    d = d.withColumn("_p1", _length_or(prefix, _length_or(F.regexp_extract(w, _REGION, 0), F.length(w))))
+    rest = F.regexp_extract(F.substring(w, p1 + 1, F.length(w)), _REGION, 0)
+    d = d.withColumn("_p2", F.when(rest != "", p1 + F.length(rest)).otherwise(F.length(w)))
+    # 0: possessives; 1a: plurals
+    d = step(d, F.regexp_replace(w, "(?:'s'|'s|')\\z", ""))
+    d = step(d, F.when(w.endswith("sses"), _cut(w, 2))
+             .when(w.rlike("ie[ds]\\z"), F.when(F.length(w) > 4, _cut(w, 2)).otherwise(_cut(w, 1)))
+             .when(w.rlike("[us]s\\z"), w)
+             .when(w.rlike(f"(?s){_V}.+s\\z"), _cut(w, 1)).otherwise(w))
+    d = d.withColumn("_done", F.when(F.length(word) <= 2, word).when(word.isin(list(EXCEPTIONS)), _mapped(word, EXCEPTIONS.items()))
+                     .when(w.isin(list(AFTER_1A)), w))
+    # 1b: past tense and gerunds
+    d = find(d, ("eedly", "ingly", "edly", "eed", "ing", "ed"))
+    mended = (F.when(base.rlike("(?:at|bl|iz)\\z"), F.concat(base, F.lit("e")))
+              .when(base.rlike(f"(?:{'|'.join(DOUBLES)})\\z"), _cut(base, 1))
+              .when((p1 >= F.length(base)) & base.rlike(_SHORT), F.concat(base, F.lit("e"))).otherwise(base))
+    d = step(d, F.when(end.startswith("eed"), F.when(F.length(base) >= p1, F.concat(base, F.lit("ee"))).otherwise(w))
+             .when((end != "") & base.rlike(_V), mended).otherwise(w))
+    # 1c: final y
+    d = step(d, F.regexp_replace(w, f"(?s)^(.+{_C})[yY]\\z", "$1i"))
+    # 2 and 3: suffixes in R1
+    d = find(d, [e for e, _ in STEP2])
+    d = step(d, F.when((end == "") | (F.length(base) < p1), w)
+             .when(end == "ogi", F.when(base.endswith("l"), F.concat(base, F.lit("og"))).otherwise(w))
+             .when(end == "li", F.when(base.rlike(f"[{''.join(sorted(LI_ENDINGS))}]\\z"), base).otherwise(w))
+             .otherwise(F.concat(base, _mapped(end, STEP2))))
+    d = find(d, [e for e, _ in STEP3])
+    d = step(d, F.when((end == "") | (F.length(base) < p1), w)
+             .when((end == "ative") & (F.length(base) < p2), w)
+             .otherwise(F.concat(base, _mapped(end, STEP3))))
+    # 4: suffixes in R2; 5: final e and l
+    d = find(d, STEP4)
+    d = step(d, F.when((end == "") | (F.length(base) < p2), w)
+             .when((end == "ion") & ~base.rlike("[st]\\z"), w).otherwise(base))
+    d = d.withColumn("_base", _cut(w, 1))
+    d = step(d, F.when(w.endswith("e"), F.when((F.length(base) >= p2) | ((F.length(base) >= p1) & ~base.rlike(_SHORT)), base).otherwise(w))
+             .when(w.endswith("ll") & (F.length(base) >= p2), base).otherwise(w))
+    d = d.withColumn("_stem", F.when(word.isNotNull(), F.coalesce("_done", F.translate(w, "Y", "y"))))
+    return d.select(*[F.col(c) for c in df.columns if c != out_col], F.col("_stem").alias(out_col))

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from urbanlens.functions.stem import stem_udf
+from urbanlens.functions.stem import stem_words
 
 # --- fixed values -----------------------------------------------------------
 # Words dropped from the weekly topic list after the top-5 cut.
@@ -33,13 +33,13 @@ def stem_vocabulary(counts: DataFrame, word_col: str = "token", stem_col: str =
                     stems: DataFrame | None = None) -> DataFrame:
     """stem of each distinct counted word.
 
-    Either joins a ready ``(token, stem)`` table (J4) or runs the Arrow
-    Porter2 UDF. ``counts`` is already one row per word, so the UDF sees each
-    distinct word once, however often it occurs.
+    Either joins a ready ``(token, stem)`` table (J4) or applies the Porter2
+    expressions. ``counts`` is already one row per word, so each distinct
+    word is stemmed once, however often it occurs.
     """
     if stems is not None:
         return stem_join(counts, stems, word_col, stem_col)
-    return counts.withColumn(stem_col, stem_udf(F.col(word_col)))
+    return stem_words(counts, word_col, stem_col)
 
 
 def counts_by_stem(counts: DataFrame, word_col: str = "token", count_col: str = "cnt",

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from urbanlens.functions import text as tf
-from urbanlens.functions.stem import stem_udf
+from urbanlens.functions.stem import stem_words
 from urbanlens.operators import text as tops
 from urbanlens.operators import topics as top_ops
 from urbanlens.plans import bindings as B
@@ -149,7 +149,7 @@ def q_stem_join(spark, sf):
 @query("stem_vocab")
 def q_stem_vocab(spark, sf):
     counts = jobs.word_counts(_docs(spark, sf), "text")
-    return counts.select("token", stem_udf("token").alias("stem"))
+    return stem_words(counts.select("token"))
 
 
 @query("topic_job")
