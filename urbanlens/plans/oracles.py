@@ -7,9 +7,13 @@ files the Spark queries read. Column names and types follow the Spark side.
 
 from __future__ import annotations
 
-from urbanlens.functions.text import CLEAN_PATTERN, ENGLISH_STOP_WORDS
+from urbanlens.functions.text import ENGLISH_STOP_WORDS  # held against Spark's own list in the tests
 from urbanlens.plans import bindings as B
 from urbanlens.plans import queries as Q
+from urbanlens.plans.oracle_stem import stem_ctes
+
+# Fixed value, stated a second time: mention, any other character, URL.
+CLEAN_PATTERN = r"(@[A-Za-z0-9]+)|([^0-9A-Za-z \t])|(\w+:\/\/\S+)"
 
 _ORACLES: dict[str, str] = {}
 
@@ -129,6 +133,15 @@ oracle("topic_job", f"""WITH c AS (
 st AS (SELECT coalesce(s_stem, token) AS token, sum(cnt)::BIGINT AS cnt
   FROM c LEFT JOIN {INLINE_STEMS} ON c.token = s.s_token GROUP BY 1),
 top AS (SELECT * FROM (SELECT * FROM st ORDER BY cnt DESC, token LIMIT 5) WHERE token NOT IN ('london'))
+SELECT DATE '{Q.RUN_DATE.isoformat()}' AS date,
+  coalesce(string_agg(token, ', ' ORDER BY cnt DESC, token), '') AS topics FROM top""")
+oracle("stem_vocab", f"""WITH {stem_ctes(WORD_COUNTS)} SELECT token, stem FROM stemmed""")
+oracle("topic_job_porter2", f"""WITH c AS MATERIALIZED (
+  SELECT token, count(*) AS cnt FROM (SELECT unnest({TOPIC_TOKENS('tweets')}) AS token FROM {POSTS})
+  WHERE token <> '' GROUP BY token),
+{stem_ctes('c')},
+st AS (SELECT stem AS token, sum(cnt)::BIGINT AS cnt FROM c JOIN stemmed USING (token) GROUP BY 1),
+top AS (SELECT * FROM (SELECT * FROM st ORDER BY cnt DESC, token LIMIT 5) WHERE token NOT IN ('london'))
 SELECT DATE '{Q.RUN_DATE.isoformat()}' AS date,
   coalesce(string_agg(token, ', ' ORDER BY cnt DESC, token), '') AS topics FROM top""")
 oracle("concat_by_source", f"""SELECT source, chunk, n_rows, md5(t) AS text_md5, length(t)::INTEGER AS text_len
