@@ -185,3 +185,16 @@ def test_load_results(spark):
     time_later = spark.createDataFrame([("t", "not a date", "Bank", "0.25")], "tweets string, date string, station string, sentiment string")
     with pytest.raises(Exception, match="unreadable date"):
         io.cast_on_load(time_later, strict=True).collect()
+
+
+def test_default_lexicon_tells_good_from_bad(spark):
+    from urbanlens.operators.lexicon import default_lexicon
+    posts = spark.createDataFrame([(1, "what a lovely quiet station"), (2, "the worst delay ever"), (3, "a train")], "id long, t string")
+    got = {r.id: r.compound for r in S.sentiment_score(posts, "id", "t", default_lexicon(spark)).collect()}
+    assert got[1] > 0.3 and got[2] < -0.3 and got[3] == 0
+
+
+def test_topics_by_station(spark):
+    posts = spark.createDataFrame([("Running trains run", "a"), ("london london", "b"), ("tube", "b"), ("x", None)], "tweets string, station string")
+    got = {r.station: r.topics for r in jobs.topic_job_by(posts, dt.date(2024, 1, 8)).collect()}
+    assert got == {"a": "run, train", "b": "tube", None: "x"}

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from urbanlens.functions.stem import stem_words
+from urbanlens.operators import ranking
 
 # --- fixed values -----------------------------------------------------------
 # Words dropped from the weekly topic list after the top-5 cut.
@@ -43,13 +44,26 @@ def stem_vocabulary(counts: DataFrame, word_col: str = "token", stem_col: str =
 
 
 def counts_by_stem(counts: DataFrame, word_col: str = "token", count_col: str = "cnt",
-                   stems: DataFrame | None = None, out_col: str = "token") -> DataFrame:
-    """Re-count by stem: ``count(stem) = sum(count(token))`` over its words."""
+                   stems: DataFrame | None = None, out_col: str = "token", by: str | None = None) -> DataFrame:
+    """Re-count by stem: ``count(stem) = sum(count(token))`` over its words (per ``by`` if given)."""
     stemmed = stem_vocabulary(counts, word_col, "_stem", stems)
-    return (stemmed.groupBy(F.col("_stem").alias(out_col))
+    return (stemmed.groupBy(*([by] if by else []), F.col("_stem").alias(out_col))
             .agg(F.sum(count_col).alias(count_col)))
 
 
+def topics_per_group(counts: DataFrame, by: str, k: int = TOP_K, exclude=DEFAULT_EXCLUDE, word_col: str = "token",
+                     count_col: str = "cnt", sep: str = ", ", out_col: str = "topics") -> DataFrame:
+    """T1 + P11 + A7 for every group: ``(by, topics)``; excluded words go after the cut.
+
+    ``row_number() <= k`` gets a map-side ``WindowGroupLimit``; at most ``k`` rows of a group are gathered. A group
+    all of whose words are excluded keeps an empty string.
+    """
+    top = ranking.top_n_per_group(counts, by, [F.desc(count_col), F.asc(word_col)], k)
+    word = F.when(~F.col(word_col).isin(list(exclude or ())), F.col(word_col))
+    ranked = F.sort_array(F.collect_list(F.struct(F.col("rn"), word.alias("w"))))
+    return top.groupBy(by).agg(F.concat_ws(sep, F.transform(ranked, lambda x: x["w"])).alias(out_col))
+
+
 def top_topics(counts: DataFrame, k: int = TOP_K, exclude=DEFAULT_EXCLUDE,
                exclude_when: str = "after", word_col: str = "token",
                count_col: str = "cnt") -> DataFrame:
@@ -85,7 +99,11 @@ def topics_string(top: DataFrame, word_col: str = "token", count_col: str = "cnt
     return top.agg(joined.alias(out_col))
 
 
+def run_date(now: dt.datetime | dt.date) -> dt.date:
+    """the day of the run."""
+    return now.date() if isinstance(now, dt.datetime) else now
+
+
 def topics_row(top: DataFrame, now: dt.datetime | dt.date, **kwargs) -> DataFrame:
     """F10 + A7: ``(date, topics)`` with the run date passed in, never read."""
-    day = now.date() if isinstance(now, dt.datetime) else now
-    return topics_string(top, **kwargs).select(F.lit(day).alias("date"), "topics")
+    return topics_string(top, **kwargs).select(F.lit(run_date(now)).alias("date"), "topics")

@@ -45,6 +45,13 @@ def topic_job(posts: DataFrame, now: dt.datetime | dt.date, text_col: str = "twe
     return top_ops.topics_row(top, now, reference_format=reference_format)
 
 
+def topic_job_by(posts: DataFrame, now: dt.datetime | dt.date, by: str = "station", text_col: str = "tweets",
+                 stems: DataFrame | None = None, k: int = top_ops.TOP_K, exclude=top_ops.DEFAULT_EXCLUDE) -> DataFrame:
+    """K2 for every station: ``(date, <by>, topics)``, the ``k`` most frequent stems of its posts."""
+    counts = top_ops.counts_by_stem(word_counts(posts, text_col, by=[by]), stems=stems, by=by)
+    return top_ops.topics_per_group(counts, by, k, exclude).select(F.lit(top_ops.run_date(now)).alias("date"), by, "topics")
+
+
 def sentiment_job(posts: DataFrame, lexicon: DataFrame, key: str = "post_id",
                   text_col: str = "tweets", boosters=None, negators=None, idioms=None,
                   places: int = 2) -> DataFrame:

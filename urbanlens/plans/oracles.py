@@ -144,6 +144,14 @@ st AS (SELECT stem AS token, sum(cnt)::BIGINT AS cnt FROM c JOIN stemmed USING (
 top AS (SELECT * FROM (SELECT * FROM st ORDER BY cnt DESC, token LIMIT 5) WHERE token NOT IN ('london'))
 SELECT DATE '{Q.RUN_DATE.isoformat()}' AS date,
   coalesce(string_agg(token, ', ' ORDER BY cnt DESC, token), '') AS topics FROM top""")
+oracle("topic_job_by_station", f"""WITH c AS MATERIALIZED (
+  SELECT station, token, count(*) AS cnt FROM (SELECT station, unnest({TOPIC_TOKENS('tweets')}) AS token FROM {POSTS})
+  WHERE token <> '' GROUP BY ALL),
+{stem_ctes('c')},
+st AS (SELECT station, stem AS token, sum(cnt)::BIGINT AS cnt FROM c JOIN stemmed USING (token) GROUP BY ALL),
+top AS (SELECT *, row_number() OVER (PARTITION BY station ORDER BY cnt DESC, token) AS rn FROM st QUALIFY rn <= 5)
+SELECT DATE '{Q.RUN_DATE.isoformat()}' AS date, station,
+  coalesce(string_agg(token, ', ' ORDER BY rn) FILTER (token NOT IN ('london')), '') AS topics FROM top GROUP BY station""")
 oracle("concat_by_source", f"""SELECT source, chunk, n_rows, md5(t) AS text_md5, length(t)::INTEGER AS text_len
 FROM (SELECT source, floor(doc_id / {Q.CONCAT_CHUNK_ROWS})::BIGINT AS chunk, count(*) AS n_rows,
         string_agg(text, ' ' ORDER BY doc_id) AS t

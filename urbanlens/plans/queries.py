@@ -162,6 +162,11 @@ def q_topic_job_porter2(spark, sf):
     return jobs.topic_job(B.posts(spark, sf), RUN_DATE)
 
 
+@query("topic_job_by_station")
+def q_topic_job_by_station(spark, sf):
+    return jobs.topic_job_by(B.posts(spark, sf), RUN_DATE, "station")
+
+
 @query("concat_by_source")
 def q_concat_by_source(spark, sf):
     out = tops.concat_by(_docs(spark, sf), "source", "text", "doc_id",
