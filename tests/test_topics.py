@@ -56,4 +56,8 @@ def test_topic_job_fewer_words(spark):
 def test_topic_plan_two_exchanges(spark):
     posts = spark.createDataFrame([("a b c",)], "tweets string")
     plan = jobs.topic_job(posts, dt.date(2024, 1, 1))._jdf.queryExecution().executedPlan().toString()
-    assert "TakeOrderedAndProject" in plan
+    assert "TakeOrderedAndProject" in plan and "Python" not in plan and "Arrow" not in plan
+    # words, then stems; the string of the five words is gathered by a third, of one row
+    assert plan.count("Exchange hashpartitioning") == 2 and plan.count("Exchange SinglePartition") <= 1
+    keys = [line.split("hashpartitioning(")[1].split("#")[0] for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert keys == ["_stem", "token"]
