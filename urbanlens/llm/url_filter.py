@@ -105,5 +105,6 @@ def judge_urls(pages: DataFrame, rules: DataFrame, *, id_col: str = "page_id", u
     exact = possible.join(F.broadcast(listed) if small_rules else listed, "rule")
     best = exact.groupBy("host", "path").agg(F.max_by(F.struct("rule", "rule_verdict"), F.length("rule")).alias("best"))
     best = materialize(best.select("host", "path", "best.rule", "best.rule_verdict"), "url-verdicts")
-    return rows.join(best, ["host", "path"], "left").select(
+    # a row for each URL that a rule fits: a table that grows with the pages is never broadcast
+    return rows.join(best.hint("merge"), ["host", "path"], "left").select(
         id_col, "host", "path", "rule", F.coalesce("rule_verdict", F.lit(default)).alias("verdict"))
