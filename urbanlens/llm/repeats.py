@@ -10,9 +10,9 @@ place is out of the question, so texts that can share such a string are first br
    passage occurs, is settled by a count with map-side combine.
 3. *Variants.* Anchors that occur with several different segments (one edit near a copy, a passage amid new text) send one text of each
    segment to a task. Several anchors' segments, those of one document merged where they overlap, make one index; matching statistics of
-   at least ``least`` are repeated strings. An anchor with more than ``most`` different segments is split first: a window that contains it
-   reaches over one of its ends by half the free length, so the anchor grows by that half to the left or the right, in both ways, until the
-   group fits or the anchor is the whole window. No group is larger than a task's bound and no window is lost.
+   at least ``least`` are repeated strings. An anchor with more than ``most`` different segments is split first: its windows are dealt into
+   four runs by where they start, the windows of a run share a longer string than the anchor, and that is the run's anchor; so on
+   until the group fits or the anchor is the whole window. No group is larger than a task's bound and no window is lost.
 4. Spans are merged by document and cut from the bytes.
 
 Edge cases: null texts are empty and keep null text; texts shorter than ``least`` have no repeats; rows that repeat id and text are two
@@ -31,12 +31,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
-from urbanlens.llm.common import discard, is_empty, materialize
+from urbanlens.llm.common import discard, is_empty, materialize, returning_memory
 from urbanlens.llm.run_index import RunIndex
 
+#: Bytes of an anchor at most (a third of a repeated string otherwise), and different segments that an index takes.
 ANCHOR, MOST = 128, 1024
 #: Bytes of text that a task scans at once, and that one index holds.
-_PIECE, _INDEX = 1 << 20, 1 << 20
+_PIECE, _INDEX = 1 << 19, 1 << 19
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _KEY = ["doc_id", "text_hash"]
 
@@ -128,7 +129,7 @@ def anchor_table(docs: DataFrame, least: int, k: int) -> DataFrame:
         if held:
             yield scan(*map(list, zip(*group, strict=True)))
 
-    return docs.select("doc_id", "text_hash", F.col("text").cast("binary").alias("text")).mapInArrow(run, schema)
+    return docs.select("doc_id", "text_hash", F.col("text").cast("binary").alias("text")).mapInArrow(returning_memory(run), schema)
 
 
 def _indexed(rows: DataFrame, least: int) -> DataFrame:
@@ -178,30 +179,33 @@ def _indexed(rows: DataFrame, least: int) -> DataFrame:
             yield spans(rest)
 
     return dealt.withColumn("no_id", F.col("doc_id").isNull()).withColumn("doc_id", F.coalesce("doc_id", F.lit(0))).mapInPandas(
-        run, "doc_id long, text_hash long, first long, last long")
-
-
-def _halves(rows: DataFrame, least: int) -> DataFrame:
-    """Each segment twice, with its anchor grown by half the free length to the left and to the right, where the segment reaches so far."""
-    free = F.lit(least) - F.col("k")
-    half = F.ceil(free / 2).cast("int")
-    rest = free - half
-    size = F.length("bytes")
-    left = F.struct((F.col("k") + half).alias("k"), (F.col("offset") - free).alias("from"), (F.col("offset") - half).alias("offset"), (F.col("offset") - half + least).alias("to"))
-    right = F.struct((F.col("k") + rest + F.when(free > 0, 1).otherwise(0)).alias("k"), (F.col("offset") - half + 1).alias("from"), F.col("offset").alias("offset"), (F.col("offset") + least).alias("to"))
-    out = rows.select("doc_id", "text_hash", "start", "bytes", "known", F.explode(F.array(left, right)).alias("h"))
-    out = out.filter((F.col("h.offset") >= 0) & (F.col("h.offset") + F.col("h.k") <= size))
-    begin, end = F.greatest(F.col("h.from"), F.lit(0)), F.least(F.col("h.to"), size)
-    out = out.select("doc_id", "text_hash", (F.col("start") + begin).alias("start"), F.substring("bytes", begin + 1, end - begin).alias("bytes"), "known",
-                     F.col("h.k").alias("k"), (F.col("h.offset") - begin).alias("offset")).filter(F.length("bytes") >= least)
-    out = out.select("*", F.xxhash64(F.substring("bytes", F.col("offset") + 1, F.col("k"))).alias("group"), F.xxhash64("bytes", "offset").alias("segment"))
-    # growing left then right, and right then left, can end at the same place
-    return out.groupBy("group", "segment", *_KEY, "start", "k", "offset").agg(F.max("known").alias("known"), F.first("bytes").alias("bytes"))
-
-
-def repeated_spans(docs: DataFrame, least: int = 400, k: int = ANCHOR, most: int = MOST) -> DataFrame:
+        returning_memory(run), "doc_id long, text_hash long, first long, last long")
+
+
+#: Into how many runs the windows of a large group are split at each turn.
+_RUNS = 4
+
+
+def _split(rows: DataFrame, least: int) -> DataFrame:
+    """Each segment once for every run of its windows: windows that start within a run share more bytes than the anchor, all
+    that lie between the last one's start and the first one's end. Those bytes are the run's anchor."""
+    free = F.lit(least) - F.col("k")  # windows start from ``offset - free`` to ``offset``
+    run = F.ceil((free + 1) / _RUNS).cast("int")
+    first = F.col("offset") - free + F.col("i") * run
+    last = F.least(first + run - 1, F.col("offset"))
+    out = rows.select("doc_id", "text_hash", "start", "bytes", "known", "k", "offset", F.explode(F.array(*map(F.lit, range(_RUNS)))).alias("i"))
+    out = out.withColumns({"a": F.greatest(first, F.lit(0)), "b": F.least(last, F.length("bytes") - least)}).filter("a <= b")
+    # the anchor is that of the whole run, even if the text begins or ends within it
+    out = out.withColumns({"low": first, "high": last}).filter("high >= 0 and low + %d <= length(bytes) and low <= high" % least)
+    out = out.select("doc_id", "text_hash", (F.col("start") + F.col("a")).alias("start"), "known", (least - (F.col("high") - F.col("low"))).alias("k"),
+                     (F.col("high") - F.col("a")).alias("offset"), F.substring("bytes", F.col("a") + 1, F.col("b") - F.col("a") + least).alias("bytes"))
+    return out.select("*", F.xxhash64(F.substring("bytes", F.col("offset") + 1, F.col("k"))).alias("group"), F.xxhash64("bytes", "offset").alias("segment"),
+                      F.xxhash64(*_KEY, "start").alias("place"))
+
+
+def repeated_spans(docs: DataFrame, least: int = 400, k: int | None = None, most: int = MOST) -> DataFrame:
     """``doc_id, text_hash, first, last``: byte ranges, not yet merged, of every repeated string. ``docs``: ``doc_id, text_hash, text``."""
-    k = min(k, least)
+    k = k or max(1, min(ANCHOR, least // 3))
     table = materialize(anchor_table(docs, least, k), "repeats-anchors")
     segments = materialize(table.groupBy("anchor", "segment").agg(F.count("*").alias("n"), F.first("doc_id").alias("doc_id"), F.first("text_hash").alias("text_hash"),
                            F.first("at").alias("at"), F.first("before").alias("before"), F.first("after").alias("after")), "repeats-segments")
@@ -220,26 +224,27 @@ def repeated_spans(docs: DataFrame, least: int = 400, k: int = ANCHOR, most: int
     rows = materialize(found.select("doc_id", "text_hash", "w.group", "w.start", "w.offset", "w.known", "w.n_segments", F.lit(k).alias("k"),
                        F.substring("data", (F.col("w.start") + 1).cast("int"), F.col("w.size")).alias("bytes")), "repeats-texts")
     part = ["group", *_KEY, "start", "bytes", "known"]
-    spans.append(materialize(_indexed(rows.filter(F.col("n_segments") <= most).select(*part), least), "repeats-spans"))
+    bounded = [rows.filter(F.col("n_segments") <= most).select(*part)]
     rows = rows.filter(F.col("n_segments") > most)
     while not is_empty(rows):
-        halves = materialize(_halves(rows, least), "repeats-halves")
-        counts = materialize(halves.groupBy("group", "segment").agg(F.count("*").alias("n"), F.max("known").alias("any_known"),
-                             F.first(F.struct("doc_id", "text_hash", "start")).alias("place")), "repeats-segments")
-        again = counts.filter("n > 1 or any_known").select("group", "segment")
-        spans.append(materialize(halves.filter("not known").join(again, ["group", "segment"], "left_semi").select(
-            "doc_id", "text_hash", F.col("start").alias("first"), (F.col("start") + F.length("bytes")).alias("last")), "repeats-copies"))
-        sized = counts.groupBy("group").agg(F.count("*").alias("n_segments")).filter("n_segments > 1")
-        one = counts.select("group", "segment", "place", ((F.col("n") > 1) | F.col("any_known")).alias("repeats")).join(sized, "group")
-        rows = materialize(halves.withColumn("place", F.struct("doc_id", "text_hash", "start")).join(
-            one.withColumnsRenamed({"place": "chosen"}), ["group", "segment"]).filter(F.col("place").eqNullSafe(F.col("chosen"))).drop("known", "place", "chosen")
-            .withColumnRenamed("repeats", "known").dropDuplicates(["group", "segment"]), "repeats-texts")
-        discard(halves)
-        spans.append(materialize(_indexed(rows.filter(F.col("n_segments") <= most).select(*part), least), "repeats-spans"))
+        parts = materialize(_split(rows, least), "repeats-parts")
+        # one place can come here from two anchors: only different places are a repetition
+        counts = materialize(parts.groupBy("group", "segment").agg(F.min("place").alias("place"), (
+            (F.min("place") != F.max("place")) | F.max("known")).alias("repeats")), "repeats-segments")
+        spans.append(parts.filter("not known").join(counts.filter("repeats").select("group", "segment"), ["group", "segment"], "left_semi").select(
+            "doc_id", "text_hash", F.col("start").alias("first"), (F.col("start") + F.length("bytes")).alias("last")))
+        sized = materialize(counts.groupBy("group").agg(F.count("*").alias("n_segments")).filter("n_segments > 1"), "repeats-groups")
+        rows = materialize(parts.drop("known").join(counts.join(sized, "group"), ["group", "segment", "place"]).withColumnRenamed("repeats", "known"), "repeats-texts")
+        bounded.append(rows.filter(F.col("n_segments") <= most).select(*part))
         rows = rows.filter(F.col("n_segments") > most)
-    out = spans[0]
-    for s in spans[1:]:
-        out = out.unionByName(s)
+    spans.append(_indexed(_union(bounded), least))
+    return _union(spans)
+
+
+def _union(tables: list[DataFrame]) -> DataFrame:
+    out = tables[0]
+    for t in tables[1:]:
+        out = out.unionByName(t)
     return out
 
 
