@@ -34,8 +34,8 @@ from pyspark.sql.pandas.functions import pandas_udf
 
 #: Unicode White_Space: what the pattern ``\s`` of the vocabulary file means.
 SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
-#: Entries of each cache.
-_CACHED = 1 << 18
+#: Entries of the caches of words and of chunks.
+_WORDS_KEPT, _CHUNKS_KEPT = 1 << 17, 1 << 16
 _LONG = 1 << 20
 
 
@@ -123,7 +123,7 @@ class WordBPE:
             ids = self.merge(word)
             out = (_pack(ids), " ".join([self.strings[i] for i in ids]))
             if len(word) < 64:
-                if len(self._seen_words) >= _CACHED:
+                if len(self._seen_words) >= _WORDS_KEPT:
                     self._seen_words.clear()
                 self._seen_words[word] = out
         return out
@@ -136,7 +136,7 @@ class WordBPE:
         parts = [p for p in map(self._word, words) if p[0]]
         out = (b"".join([p[0] for p in parts]), " ".join([p[1] for p in parts]))
         if len(chunk) < 64:
-            if len(self._seen_chunks) >= _CACHED:
+            if len(self._seen_chunks) >= _CHUNKS_KEPT:
                 self._seen_chunks.clear()
             self._seen_chunks[chunk] = out
         return out

@@ -50,9 +50,22 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 3 == 1, F.lit(True))
 
 
-def spread(df: DataFrame, *key: str) -> DataFrame:
-    """Deal rows over the session's shuffle partitions by the hash of ``key``."""
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *key)
+def returning_memory(run):
+    """A ``mapInArrow``/``mapInPandas`` function that, when its task ends, hands freed memory back to the system.
+
+    Python workers are used again by later tasks and stages, and an allocator keeps what a task's arrays took.
+    """
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            import ctypes
+            import gc
+            gc.collect()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+    return wrapped
 
 
 def let(value: Column, body) -> Column:

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from urbanlens.llm.common import held_out
+from urbanlens.llm.common import held_out, returning_memory
 from urbanlens.llm.conv import Adam, MaxConv, softmax, windows
 
 WINDOW, WIDTHS, FILTERS, DIM = 256, (2, 4, 6), 16, 8
@@ -138,4 +138,4 @@ def identify(docs: DataFrame, net: ByteNet | None, *, id_col: str = "doc_id", te
                         pred[i], score[i] = net.languages[k], float(s)
                 yield pa.RecordBatch.from_arrays([batch["id"].cast(pa.int64()), batch["held_out"], pa.array(pred, pa.string()), pa.array(score, pa.float64())], schema=schema)
 
-    return rows.mapInArrow(run, "id long, held_out boolean, lang_pred string, score double").withColumnRenamed("id", id_col)
+    return rows.mapInArrow(returning_memory(run), "id long, held_out boolean, lang_pred string, score double").withColumnRenamed("id", id_col)
