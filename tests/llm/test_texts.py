@@ -7,6 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from urbanlens.llm import bpe, decontam, repeats, simhash, sketch
 from urbanlens.llm.run_index import RunIndex
 
@@ -281,3 +282,37 @@ def test_remove_repeats(spark, rows):
     out = {r.doc_id: r.text for r in repeats.remove_repeats(df).collect()}
     assert out == {1: "ab", 2: "", 3: None, None: "short"} and repeats.remove_repeats(df).columns == df.columns
     assert repeats.removal_digests(docs_of(rows, [])).count() == 0
+
+
+def test_repeated_passages_of_short_words(spark, rows):
+    rnd = random.Random(9)
+    short = [a + b for a in "abcdefgh" for b in "aeiou"] + ["the", "and", "for", "ünd"]
+
+    def passage(n):
+        return " ".join(rnd.choice(short) for _ in range(n))
+
+    def noise(n):
+        return " ".join("".join(rnd.choice("klmnopqrst") for _ in range(9)) for _ in range(n))
+    shared, fifty = passage(51), passage(50)
+    assert 101 <= len(shared.encode()) < 256
+    texts = [f"{noise(40)} {shared} {noise(30)}", f"{noise(3)} ({shared}, {noise(60)}", f"{noise(20)} {fifty} {noise(20)}", f"{fifty} {noise(9)}", "\u3000".join(["ab"] * 52), None, ""]
+    df = docs_of(rows, list(enumerate(texts)))
+    out = {r.doc_id: r.text for r in repeats.remove_repeats(df, least=256, words=51).collect()}
+    assert out[0] == texts[0].replace(shared, "") and out[1] == texts[1].replace(shared, "")
+    assert (out[2], out[3]) == (texts[2], texts[3])  # fifty words are not more than fifty
+    assert out[4] == "" and out[5] is None and out[6] == ""
+    stage = {r.doc_id: r.text for r in corpus_pipeline.repeats(spark, df, "").collect()}
+    assert stage == out
+
+
+def test_short_passages_against_brute_force():
+    rnd = random.Random(10)
+    for _ in range(300):
+        text = "".join(rnd.choice(["a", "é", "(b", "c.", "--", "—", "longerword", " ", " ", " ", "\xa0", "\u2003 ", "\n"]) for _ in range(rnd.randint(0, 60)))
+        found = [(m.start(), m.end()) for m in re.finditer(r"\S+", text) if re.search(r"\w", m[0])]
+        want = set()
+        for (a, b), (c, d) in zip(found, found[3:]):
+            heads, tails = {a, a + re.search(r"\w", text[a:b]).start()}, {d, c + max(m.end() for m in re.finditer(r"\w", text[c:d]))}
+            want |= {(len(text[:x].encode()), len(text[:y].encode())) for x in heads for y in tails if len(text[x:y].encode()) < 14}
+        got = list(repeats.short_passages(text.encode(), 4, 14))
+        assert sorted(got) == sorted(want)

@@ -15,6 +15,10 @@ place is out of the question, so texts that can share such a string are first br
    until the group fits or the anchor is the whole window. No group is larger than a task's bound and no window is lost.
 4. Spans are merged by document and cut from the bytes.
 
+With ``words``, passages of that many words go too if they have fewer than ``least`` bytes: every such run of words is written with its
+hash (few texts have any), and the places of a hash that occurs again are spans like the others. Words stand between white space and
+have a letter, mark or digit (a bar between cells is no word); punctuation at a passage's ends may differ.
+
 Edge cases: null texts are empty and keep null text; texts shorter than ``least`` have no repeats; rows that repeat id and text are two
 places of the same string, so all of it goes; rows without id are told apart by their text; texts of any length are read in
 overlapping pieces; an empty table gives no rows; other columns are ignored (and kept by ``remove_repeats``).
@@ -27,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
@@ -40,6 +45,13 @@ ANCHOR, MOST = 128, 1024
 _PIECE, _INDEX = 1 << 19, 1 << 19
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _KEY = ["doc_id", "text_hash"]
+#: White space of one byte, of several (Unicode White_Space), and what isn't a letter, mark or digit at a word's ends.
+_SPACE = np.isin(np.arange(256), list(b"\t\n\x0b\x0c\r "))
+_PLAIN = np.array([b < 128 and chr(b).isalnum() for b in range(256)])
+_WIDE_SPACE = regex.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
+_CORE = regex.compile(r"[\p{L}\p{M}\p{N}](?:.*[\p{L}\p{M}\p{N}])?", regex.S)
+#: Rows of passages that a task holds at once.
+_PASSAGES = 1 << 16
 
 
 class _Powers:
@@ -241,6 +253,69 @@ def repeated_spans(docs: DataFrame, least: int = 400, k: int | None = None, most
     return _union(spans)
 
 
+def _core(word: bytes) -> tuple[int, int]:
+    """Bytes before and after a word's letters, marks and digits."""
+    m = _CORE.search(t := word.decode("utf-8", "surrogatepass"))
+    return len(text_bytes(t[:m.start()])), len(text_bytes(t[m.end():]))
+
+
+def short_passages(data: bytes, words: int, least: int) -> Iterator[tuple[int, int]]:
+    """Ranges of all runs of ``words`` words that have fewer than ``least`` bytes, with and without punctuation at either end."""
+    space = _SPACE[np.frombuffer(data, np.uint8)]
+    for m in _WIDE_SPACE.finditer(data):
+        space[m.start():m.end()] = True
+    edge = np.diff(np.r_[True, space, True].astype(np.int8))
+    starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+
+    def near() -> np.ndarray:  # a passage has one byte of either end word at least
+        return np.flatnonzero(starts[words - 1:] - ends[:max(0, len(ends) - words + 1)] + 2 < least)
+    if not len(near()):
+        return
+    # of the few texts that go on, what is no word is left out
+    is_word = np.add.reduceat(_PLAIN[np.frombuffer(data, np.uint8)].astype(np.int64), starts) > 0
+    for i in np.flatnonzero(~is_word).tolist():
+        is_word[i] = bool(_CORE.search(data[starts[i]:ends[i]].decode("utf-8", "surrogatepass")))
+    starts, ends = starts[is_word], ends[is_word]
+    for i in near().tolist():
+        a, b, c, d = int(starts[i]), int(ends[i]), int(starts[i + words - 1]), int(ends[i + words - 1])
+        before, after = _core(data[a:b])[0], _core(data[c:d])[1]
+        for x in {a, a + before}:
+            for y in {d, d - after}:
+                if y - x < least:
+                    yield x, y
+
+
+def repeated_passages(docs: DataFrame, words: int, least: int) -> DataFrame:
+    """``doc_id, text_hash, first, last`` of every run of ``words`` words under ``least`` bytes that also stands elsewhere."""
+    import pyarrow as pa
+    out = pa.schema([("passage", pa.int64()), ("doc_id", pa.int64()), ("text_hash", pa.int64()), ("first", pa.int64()), ("last", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from xxhash import xxh3_64_intdigest as digest
+
+        def batch(rows: list[tuple]) -> pa.RecordBatch:
+            passage, doc_id, text_hash, first, last = zip(*rows, strict=True)
+            return pa.RecordBatch.from_arrays([pa.array(np.array(passage, np.uint64).view(np.int64)), *(pa.array(c, pa.int64()) for c in (doc_id, text_hash, first, last))], schema=out)
+
+        rows = []
+        for b in batches:
+            for doc_id, text_hash, text in zip(b["doc_id"].to_pylist(), b["text_hash"].to_pylist(), b["text"], strict=True):
+                t = text.as_buffer().to_pybytes() if text.is_valid else b""
+                for first, last in short_passages(t, words, least):
+                    rows.append((digest(t[first:last]), doc_id, text_hash, first, last))
+                    if len(rows) >= _PASSAGES:
+                        yield batch(rows)
+                        rows = []
+        if rows:
+            yield batch(rows)
+
+    table = docs.select("doc_id", "text_hash", F.col("text").cast("binary").alias("text")).mapInArrow(
+        returning_memory(run), "passage long, doc_id long, text_hash long, first long, last long")
+    table = materialize(table, "repeats-passages")
+    again = materialize(table.groupBy("passage").agg(F.count("*").alias("n")).filter("n > 1").select("passage"), "repeats-again")
+    return table.join(again, "passage", "left_semi").select("doc_id", "text_hash", "first", "last")
+
+
 def _union(tables: list[DataFrame]) -> DataFrame:
     out = tables[0]
     for t in tables[1:]:
@@ -267,10 +342,13 @@ def cut(data: bytes, runs: list[list[int]]) -> bytes:
     return b"".join([*parts, data[at:]])
 
 
-def _with_spans(docs: DataFrame, id_col: str, text_col: str, least: int) -> DataFrame:
+def _with_spans(docs: DataFrame, id_col: str, text_col: str, least: int, words: int | None = None) -> DataFrame:
     """``docs`` with ``_first`` and ``_last``: starts and ends of every row's repeated ranges."""
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
-    spans = repeated_spans(own, least).groupBy(*_KEY).agg(F.sort_array(F.collect_set(F.struct("first", "last"))).alias("s"))
+    spans = repeated_spans(own, least)
+    if words:
+        spans = spans.unionByName(repeated_passages(own, words, least))
+    spans = spans.groupBy(*_KEY).agg(F.sort_array(F.collect_set(F.struct("first", "last"))).alias("s"))
     spans = materialize(spans.select(F.col("doc_id").alias("_span_id"), F.col("text_hash").alias("_span_hash"), F.col("s.first").alias("_first"), F.col("s.last").alias("_last")), "repeats-by-text")
     return docs.join(spans.hint("shuffle_hash"), docs[id_col].cast("long").eqNullSafe(F.col("_span_id")) & (F.xxhash64(docs[text_col]) == F.col("_span_hash")), "left")
 
@@ -298,7 +376,7 @@ def kept_text(text: Column, first: Column, last: Column) -> Column:
     return f(text, first, last)
 
 
-def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", least: int = 400) -> DataFrame:
-    """``docs`` with the repeated bytes cut from its texts."""
-    rows = _with_spans(docs, id_col, text_col, least)
+def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", least: int = 400, words: int | None = None) -> DataFrame:
+    """``docs`` with the repeated bytes cut from its texts; ``words``: passages of so many words go even if they have fewer than ``least`` bytes."""
+    rows = _with_spans(docs, id_col, text_col, least, words)
     return rows.select(*(kept_text(docs[c], F.col("_first"), F.col("_last")).alias(c) if c == text_col else docs[c] for c in docs.columns))
