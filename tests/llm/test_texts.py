@@ -204,6 +204,33 @@ def test_sketch_odd_ids_and_merge(spark, rows):
     assert merged[2].hashes == []
 
 
+def test_sketch_of_a_short_text_in_a_long_one(spark, rows):
+    rnd = random.Random(11)
+
+    def text(n):
+        return " ".join("".join(rnd.choice("abcdefghij") for _ in range(6)) for _ in range(n))
+    data = []
+    for i in range(12):
+        short = text(45 if i < 6 else 300)
+        data += [(2 * i, short), (2 * i + 1, f"{text(1500)} {short if i % 2 else ''} {text(1500)}")]
+    data += [(100, "same " * 3000), (101, text(40)), (102, ""), (103, text(3000)), (104, None)]
+    got = {r.doc_id: r for r in sketch.compare_with_edits(docs_of(rows, data)).collect()}
+    assert [got[2 * i].near_next for i in range(12)] == [float(i % 2) for i in range(12)]
+    assert got[101].near_next == 0.0 and got[102].near_next == 0.0 and got[103].near_next == 0.0
+    pairs = docs_of(rows, data).selectExpr("doc_id AS k", "text").withColumn("s", sketch.sketch("text"))
+    pairs = pairs.alias("a").join(pairs.alias("b")).selectExpr("a.k AS a", "b.k AS b", "a.s AS x", "b.s AS y")
+    found = {(r.a, r.b): r for r in pairs.select("a", "b", sketch.containment(pairs.x, pairs.y).alias("c"), sketch.similarity(pairs.x, pairs.y).alias("j"),
+                                                 "x", "y").collect()}
+    for i in range(0, 12, 2):  # no text of these lies in the other one
+        assert found[2 * i, 2 * i + 1].c in (None, 0.0)
+    for r in found.values():
+        at = max(r.x.scale, r.y.scale)
+        kept = [h for h in r.x.hashes if h < (1 << 62) // at]
+        assert (r.c is None) == (not kept and bool(r.x.hashes or r.x.scale > 1))
+    assert found[102, 104].c == 1.0 and found[102, 104].j == 1.0 and found[102, 101].c == 0.0 and found[102, 101].j == 0.0
+    assert any(found[2 * i, 2 * i + 1].c is None for i in range(6))  # sketches alone can't tell
+
+
 # --- repeats
 
 def brute(texts, least):

@@ -3,14 +3,16 @@
 A sketch keeps every distinct shingle hash that falls below a fixed fraction, one in ``scale``, of the hash range. Whether a shingle is kept
 depends on its hash alone, so sketches of parts merge by union, equal texts have equal sketches, and ``|A & B| / |A|`` estimates
 what part of A is in B even when B is thousands of times longer. Of a short text one in 64 would keep nothing: by its number of
-words alone it uses one in 8 or all, and two sketches are compared (or merged) at the smaller of their fractions, which a
-sketch reaches by dropping hashes.
+words alone it uses one in 8 or all. Two sketches are compared (or merged) at the smaller of their fractions, which a
+sketch reaches by dropping hashes; where that leaves nothing to compare, the result is null (unknown). What part of a short text is in a long
+one is therefore asked of the long *text*: ``sketch_beside`` looks up all hashes that A kept, whatever B's own fraction.
 
 ``neighbours`` puts every document beside the next one by ascending id without a global window: ids (not texts) are range-sorted,
 each range finds its successors, and the ranges' first ids, one row per partition, close the gaps. Texts then move twice: each
 document to its own id, and to its predecessor's.
 
-Edge cases: null and blank texts have the empty sketch (likeness 1 to another empty one, 0 to any other); texts of fewer
+Edge cases: null and blank texts have the empty sketch (likeness 1 to another empty one, 0 to any other); a long text of few different
+shingles may keep no hash (its likeness is unknown); texts of fewer
 words than a shingle are one shingle; rows that repeat an id follow one another's successor, and of them the smallest text is
 the one that precedes; a null id sorts first; a single document is its own successor; other columns are ignored.
 """
@@ -31,18 +33,33 @@ def _limit(scale: Column) -> Column:
     return F.call_function("div", F.lit(_RANGE), scale)
 
 
-def _sketch_of_words(w: Column, n: int) -> Column:
+def _hashes(w: Column, n: int) -> Column:
+    return F.transform(shingle_hashes(w, n), lambda h: F.shiftrightunsigned(h, 2))
+
+
+def _sketch_of(w: Column, hashes: Column) -> Column:
     scale = F.lit(SCALES[-1])
     for s in reversed(SCALES[:-1]):
         scale = F.when(F.size(w) >= LEAST * s, F.lit(s)).otherwise(scale)
-    kept = let(_limit(scale), lambda limit: F.filter(
-        F.transform(shingle_hashes(w, n), lambda h: F.shiftrightunsigned(h, 2)), lambda h: h < limit))
+    kept = let(_limit(scale), lambda limit: F.filter(hashes, lambda h: h < limit))
     return F.struct(scale.alias("scale"), F.array_sort(F.array_distinct(kept)).alias("hashes"))
 
 
 def sketch(text: Column, n: int = 5) -> Column:
     """``struct<scale int, hashes array<bigint>>``, hashes distinct and ascending, from shingles of ``n`` words."""
-    return let(words(text), lambda w: _sketch_of_words(w, n))
+    return let(words(text), lambda w: _sketch_of(w, _hashes(w, n)))
+
+
+def sketch_beside(text: Column, a: Column, n: int = 5) -> Column:
+    """The sketch of ``text`` and, as ``part``, the estimate of what part of A's shingles the text has; null if sketch A has no hash of a text with words.
+
+    A's hashes are looked up among all of the text's where its sketch holds a smaller fraction than A.
+    """
+    def beside(hashes: Column, s: Column) -> Column:
+        found = F.size(F.array_intersect(a["hashes"], F.when(a["scale"] < s["scale"], hashes).otherwise(s["hashes"]))).cast("double")
+        part = F.when(F.size(a["hashes"]) > 0, found / F.size(a["hashes"])).when(_blank(a), _blank(s).cast("double"))
+        return F.struct(s["scale"].alias("scale"), s["hashes"].alias("hashes"), part.alias("part"))
+    return let(words(text), lambda w: let(_hashes(w, n), lambda hashes: let(_sketch_of(w, hashes), lambda s: beside(hashes, s))))
 
 
 def sketch_text(s: Column) -> Column:
@@ -56,14 +73,19 @@ def _compare(a: Column, b: Column, ratio) -> Column:
     return let(both, lambda p: let(F.size(F.array_intersect(p["x"], p["y"])).cast("double"), lambda n: ratio(n, F.size(p["x"]), F.size(p["y"]))))
 
 
+def _blank(s: Column) -> Column:
+    """A sketch of no shingles at all: one that keeps every hash and has none."""
+    return (s["scale"] == SCALES[-1]) & (F.size(s["hashes"]) == 0)
+
+
 def containment(a: Column, b: Column) -> Column:
-    """Estimate of the part of A's shingles that B has."""
-    return _compare(a, b, lambda n, x, y: F.when(x > 0, n / x).when(F.size(a["hashes"]) + y == 0, F.lit(1.0)).otherwise(F.lit(0.0)))
+    """Estimate of the part of A's shingles that B has; null if A keeps no hash at the common fraction."""
+    return _compare(a, b, lambda n, x, y: F.when(x > 0, n / x).when(_blank(a), _blank(b).cast("double")))
 
 
 def similarity(a: Column, b: Column) -> Column:
-    """Estimate of the Jaccard similarity of A's and B's shingles."""
-    return _compare(a, b, lambda n, x, y: F.when(x + y > 0, n / (x + y - n)).otherwise(F.lit(1.0)))
+    """Estimate of the Jaccard similarity of A's and B's shingles; null if neither keeps a hash at the common fraction."""
+    return _compare(a, b, lambda n, x, y: F.when(x + y > 0, n / (x + y - n)).when(_blank(a) | _blank(b), (_blank(a) & _blank(b)).cast("double")))
 
 
 def merge_sketches(parts: DataFrame, key: str, sketch_col: str = "sketch") -> DataFrame:
@@ -106,10 +128,10 @@ def compare_with_edits(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     rows = neighbours(docs, id_col=id_col, text_col=text_col)
     rows = rows.select("id", n.cast("long").alias("n_chars"), "text", "next_text",
                        F.concat(F.substring("text", F.lit(1), n - half), F.substring("next_text", F.lit(1), half)).alias("edited"))
-    rows = rows.select(F.col("id").alias(id_col), "n_chars", F.sha2("edited", 256).alias("edited_sha256"), F.array(
-        F.struct(sketch(F.col("text"), shingle).alias("a"), sketch(F.col("edited"), shingle).alias("e"), sketch(F.col("next_text"), shingle).alias("x"))).alias("s"))
+    rows = rows.select(F.col("id").alias(id_col), "n_chars", F.sha2("edited", 256).alias("edited_sha256"), F.array(let(sketch(F.col("text"), shingle), lambda a: F.struct(
+        a.alias("a"), sketch_beside(F.col("edited"), a, shingle).alias("e"), sketch_beside(F.col("next_text"), a, shingle).alias("x")))).alias("s"))
     rows = rows.select(id_col, "n_chars", "edited_sha256", F.explode("s").alias("s"))  # sketches are computed once, below this step
     a, e, x = F.col("s.a"), F.col("s.e"), F.col("s.x")
     return rows.select(id_col, "n_chars", "edited_sha256", sketch_text(a).alias("fingerprint"), sketch_text(e).alias("edited_fingerprint"),
-                       containment(a, e).alias("near_edited"), containment(a, x).alias("near_next"),
+                       e["part"].alias("near_edited"), x["part"].alias("near_next"),
                        similarity(a, e).alias("jaccard_edited"), similarity(a, x).alias("jaccard_next"))
