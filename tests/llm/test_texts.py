@@ -163,6 +163,37 @@ def test_contained_empty(spark, rows):
     assert decontam.find_contained(docs_of(rows, []), spark.createDataFrame([(1, "a")], "item_id long, text string")).count() == 0
 
 
+def test_common_phrase_joins_no_pairs(spark, rows, monkeypatch, tmp_path):
+    """A phrase that all items and documents hold brings none of them together."""
+    rnd = random.Random(12)
+
+    def own(n):
+        return " ".join("".join(rnd.choice("abcdefgh") for _ in range(7)) for _ in range(n))
+    phrase = "read the following and answer"
+    items = [(i, f"{phrase} {own(30)}") for i in range(50)]
+    docs = [(d, f"{own(20)} {phrase} {own(20)}") for d in range(60)] + [(99, f"{own(5)} {items[7][1]} {own(5)}")]
+    sizes = {}
+
+    def counted(df, name):
+        out = materialize(df, name)
+        sizes[name] = out.count()
+        return out
+    materialize = decontam.materialize
+    monkeypatch.setattr(decontam, "materialize", counted)
+    read = []
+    join = type(docs_of(rows, docs)).join
+
+    def counting(self, *args, **options):
+        out = join(self, *args, **options)
+        if {"id", "text_hash", "item_id", "hash"} <= set(out.columns):
+            read.append(out.count())
+        return out
+    monkeypatch.setattr(type(docs_of(rows, docs)), "join", counting)
+    found = decontam.find_contained(docs_of(rows, docs), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert [(r.doc_id, r.item_id, r.containment) for r in found] == [(99, 7, 1.0)]
+    assert sizes["decontam-hits"] >= 61 and max(read) < 100  # not 61 documents x 50 items
+
+
 # --- sketches
 
 def test_sketches_of_edits(spark, rows):

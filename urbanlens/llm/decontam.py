@@ -9,6 +9,8 @@ here the *items* are sketched and whole documents are looked up:
   phrase common to all items picks no document). Any document that contains the item has all but m of the item's sketch: more than half of it.
   So the containment estimated on the sketch never loses a document, and few others pass it.
 * Documents too small for an item never meet it.
+* A document that holds ``least`` of a sketch holds one of all but ``least - 1`` of its hashes: only by those that fewest items share are documents and
+  items brought together, so that a phrase common to many items doesn't join all of them with all documents that have it.
 * What passes is verified by counting all of the item's shingles that the document has.
 
 Scale: one pass over the texts, no shuffle of texts: their shingle hashes meet the items' hashes in a broadcast join when the counted items
@@ -45,7 +47,7 @@ def item_shingles(items: DataFrame, *, id_col: str, text_col: str, shingle: int)
 
 
 def sketches(shingles: DataFrame, threshold: float) -> DataFrame:
-    """``item_id, hash, least``: each item's sketch, and how many of it a document that contains the item has at least."""
+    """``item_id, hash, least, lead``: each item's sketch, how many of it a document that contains the item has at least, and which it has one of at least."""
     need = lambda q: F.ceil(q * F.lit(threshold) - 1e-9)
     upper = F.pow(F.lit(2), F.floor(F.log2("q")) + 1) - 1  # of the item's size partition
     width = (upper - need(upper)) * 2 + 1
@@ -53,8 +55,8 @@ def sketches(shingles: DataFrame, threshold: float) -> DataFrame:
     order = Window.partitionBy("item_id").orderBy("n_items", "hash")
     ranked = shingles.join(shared, "hash").withColumn("place", F.row_number().over(order))
     kept = F.least(width, F.col("q"))
-    return ranked.filter(F.col("place") <= kept).select(
-        "item_id", "hash", F.greatest(kept - (F.col("q") - need(F.col("q"))), F.lit(1)).cast("int").alias("least"))
+    least = F.greatest(kept - (F.col("q") - need(F.col("q"))), F.lit(1)).cast("int")
+    return ranked.filter(F.col("place") <= kept).select("item_id", "hash", least.alias("least"), (F.col("place") <= kept - least + 1).alias("lead"))
 
 
 def find_contained(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id",
@@ -70,12 +72,17 @@ def find_contained(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id",
     hits = rows.join(side(listed), "hash").filter(F.col("n_doc") >= F.col("least_q") * threshold - 1e-9)
     hits = materialize(hits.select("id", "text_hash", "n_doc", "hash"), "decontam-hits")
     key = ["id", "text_hash", "item_id"]
-    sketched = hits.join(side(sketches(shingles, threshold)), "hash").groupBy(*key).agg(F.countDistinct("hash").alias("n"), F.first("least").alias("least"))
-    possible = materialize(sketched.filter("n >= least").select(*key), "decontam-possible")
-    matched = hits.join(side(shingles), "hash").select(*key, "hash", "q")
-    c = possible.select(*(F.col(k).alias(f"c_{k}") for k in key))
-    exact = matched.join(c, F.col("id").eqNullSafe(F.col("c_id")) & (F.col("text_hash") == F.col("c_text_hash")) & (F.col("item_id") == F.col("c_item_id")), "left_semi")
-    counted = exact.groupBy(*key).agg(F.countDistinct("hash").alias("n_shared"), F.first("q").cast("long").alias("n_item"))
+    sketched = materialize(sketches(shingles, threshold), "decontam-sketches")
+    pairs = hits.join(side(sketched.filter("lead")), "hash").select(*key).distinct()
+
+    def held(wanted: DataFrame) -> DataFrame:
+        """The rows ``id, text_hash, item_id, hash`` whose hash the document has: only pairs in question are spread out."""
+        h = hits.select(*(F.col(k).alias(f"h_{k}") for k in ("id", "text_hash", "hash")))
+        return wanted.join(h, F.col("id").eqNullSafe(F.col("h_id")) & (F.col("text_hash") == F.col("h_text_hash")) & (F.col("hash") == F.col("h_hash")), "left_semi")
+    possible = held(materialize(pairs, "decontam-pairs").join(side(sketched), "item_id"))
+    possible = possible.groupBy(*key).agg(F.count("*").alias("n"), F.first("least").alias("least")).filter("n >= least").select(*key)
+    exact = held(materialize(possible, "decontam-possible").join(side(shingles), "item_id"))
+    counted = exact.groupBy(*key).agg(F.count("*").alias("n_shared"), F.first("q").cast("long").alias("n_item"))
     counted = counted.withColumn("containment", F.col("n_shared") / F.col("n_item"))
     return counted.filter(F.col("containment") >= threshold).withColumnsRenamed({"id": id_col, "item_id": item_id_col})
 
