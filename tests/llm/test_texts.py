@@ -50,6 +50,19 @@ def test_bpe_columns_and_empty(spark, rows):
     assert bpe.digests(docs_of(rows, []), VOCABULARY).count() == 0
 
 
+def test_decoded_digest_is_of_the_ids(monkeypatch):
+    model, text = bpe.WordBPE(VOCABULARY), "some text and some more words " * 30
+    ids = model.packed(text)
+    want = hashlib.sha256(model.decode(model.encode(text)).encode()).hexdigest()
+    assert model.digests(ids) == (len(ids) // 4, hashlib.sha256(ids).hexdigest(), want)
+    monkeypatch.setattr(bpe, "_DECODED", 7)
+    assert model.digests(ids)[2] == want and model.digests(b"")[2] == hashlib.sha256(b"").hexdigest()
+    other = ids[:-4] + model.packed("other")[:4]  # a fault in the ids shows, and one in decoding too
+    assert model.digests(other)[2] != want
+    model.strings[model.encode("some")[0]] = "?"
+    assert model.digests(model.packed(text))[2] != want
+
+
 # --- SimHash
 
 def fingerprint(text, k=3):

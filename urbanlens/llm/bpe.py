@@ -2,7 +2,8 @@ r"""Byte-pair encoding with word ends, and decoding.
 
 A word is a doubly linked list of symbols; a heap holds ``(merge rank, position)`` of adjacent pairs. The best pair is
 merged in place, its new neighbours are pushed, and entries whose symbols have changed since are skipped when they come up. Ties of rank go
-to the left. Decoding concatenates vocabulary strings, one space between tokens (the vocabulary file names no decoder).
+to the left. Decoding reads the ids that encoding gave and concatenates vocabulary strings, one space between tokens (the vocabulary file
+names no decoder); digests of decoded texts are of what comes from the ids.
 
 Which steps come before the merges (special strings, NFC, white space, lower case, word pattern, byte alphabet) is read from
 the vocabulary file's format and done here as the file states it. Text between white space is independent of its
@@ -22,7 +23,7 @@ import heapq
 import json
 import struct
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -37,6 +38,8 @@ SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 #: Entries of the caches of words and of chunks.
 _WORDS_KEPT, _CHUNKS_KEPT = 1 << 17, 1 << 16
 _LONG = 1 << 20
+#: Ids that are decoded at once.
+_DECODED = 1 << 16
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -70,8 +73,8 @@ class WordBPE:
         self._special = regex.compile("|".join(map(regex.escape, longest))) if longest else None
         self._words = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"].replace(r"\s", SPACE))
         self._chunk = regex.compile(f"[^{SPACE}]+")
-        self._seen_words: dict[str, tuple[bytes, str]] = {}
-        self._seen_chunks: dict[str, tuple[bytes, str]] = {}
+        self._seen_words: dict[str, bytes] = {}
+        self._seen_chunks: dict[str, bytes] = {}
 
     @staticmethod
     def _check(spec: dict) -> None:
@@ -117,39 +120,37 @@ class WordBPE:
                     heapq.heappush(heap, rank * n + at)
         return [s for s in symbol if s >= 0]
 
-    def _word(self, word: str) -> tuple[bytes, str]:
+    def _word(self, word: str) -> bytes:
         out = self._seen_words.get(word)
         if out is None:
-            ids = self.merge(word)
-            out = (_pack(ids), " ".join([self.strings[i] for i in ids]))
+            out = _pack(self.merge(word))
             if len(word) < 64:
                 if len(self._seen_words) >= _WORDS_KEPT:
                     self._seen_words.clear()
                 self._seen_words[word] = out
         return out
 
-    def _encoded(self, chunk: str) -> tuple[bytes, str]:
-        """Ids (little-endian, 32 bits) and decoded string of normalised text without white space."""
+    def _encoded(self, chunk: str) -> bytes:
+        """Ids (little-endian, 32 bits) of normalised text without white space."""
         words = self._words.findall(chunk)
         if len(words) == 1:
             return self._word(words[0])
-        parts = [p for p in map(self._word, words) if p[0]]
-        out = (b"".join([p[0] for p in parts]), " ".join([p[1] for p in parts]))
+        out = b"".join(map(self._word, words))
         if len(chunk) < 64:
             if len(self._seen_chunks) >= _CHUNKS_KEPT:
                 self._seen_chunks.clear()
             self._seen_chunks[chunk] = out
         return out
 
-    def _parts(self, text: str) -> Iterator[tuple[bytes, str]]:
+    def _parts(self, text: str) -> Iterator[bytes]:
         at = 0
         for m in self._special.finditer(text) if self._special else ():
             yield from self._plain(text[at:m.start()])
-            yield _pack([self.special[m[0]]]), m[0]
+            yield _pack([self.special[m[0]]])
             at = m.end()
         yield from self._plain(text[at:])
 
-    def _plain(self, text: str) -> Iterator[tuple[bytes, str]]:
+    def _plain(self, text: str) -> Iterator[bytes]:
         if not text:
             return
         text = unicodedata.normalize("NFC", text)
@@ -157,24 +158,26 @@ class WordBPE:
         text = text.replace("Σ", "σ").lower()
         word, seen = self._seen_words.get, self._seen_chunks.get
         for chunk in self._chunk.findall(text) if len(text) < _LONG else (m[0] for m in self._chunk.finditer(text)):
-            part = word(chunk) or seen(chunk) or self._encoded(chunk)
-            if part[0]:
-                yield part
+            yield word(chunk) or seen(chunk) or self._encoded(chunk)
 
     def encode(self, text: str | None) -> list[int]:
-        data = self.packed(text)[0]
+        data = self.packed(text)
         return list(struct.unpack(f"<{len(data) // 4}I", data))
 
-    def decode(self, ids: list[int]) -> str:
-        return " ".join(self.strings[i] for i in ids)
+    def decode(self, ids: Iterable[int]) -> str:
+        return " ".join(map(self.strings.__getitem__, ids))
 
-    def packed(self, text: str | None) -> tuple[bytes, str]:
-        """Ids as little-endian 32-bit integers and the decoded text, in one pass."""
-        ids, strings = [], []
-        for a, b in self._parts(text or ""):
-            ids.append(a)
-            strings.append(b)
-        return b"".join(ids), " ".join(strings)
+    def packed(self, text: str | None) -> bytes:
+        """Ids as little-endian 32-bit integers."""
+        return b"".join(self._parts(text or ""))
+
+    def digests(self, ids: bytes) -> tuple[int, str, str]:
+        """Number and SHA-256 of packed ids, and SHA-256 of the text that they decode to."""
+        decoded = hashlib.sha256()
+        for at in range(0, len(ids), 4 * _DECODED):
+            part = self.decode(np.frombuffer(ids[at:at + 4 * _DECODED], "<u4").tolist())
+            decoded.update((" " * (at > 0) + part).encode("utf-8", "surrogatepass"))
+        return len(ids) // 4, hashlib.sha256(ids).hexdigest(), decoded.hexdigest()
 
 
 def _pack(ids: list[int]) -> bytes:
@@ -208,8 +211,7 @@ def digests(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str
     def f(s: pd.Series) -> pd.DataFrame:
         bpe, rows = load(path), []
         for t in s:
-            ids, text = bpe.packed(t)
-            rows.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()))
+            rows.append(bpe.digests(bpe.packed(t)))
         return pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
     return docs.select(F.col(id_col), f(F.col(text_col)).alias("d")).select(id_col, "d.*")
 
@@ -220,7 +222,7 @@ def tokenize(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: st
     def f(s: pd.Series) -> pd.DataFrame:
         bpe, rows = load(path), []
         for t in s:
-            ids, text = bpe.packed(t)
-            rows.append((len(ids) // 4, np.frombuffer(ids, "<i4"), hashlib.sha256(ids).hexdigest(), hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()))
+            n, *hashes = bpe.digests(ids := bpe.packed(t))
+            rows.append((n, np.frombuffer(ids, "<i4"), *hashes))
         return pd.DataFrame(rows, columns=["n_tokens", "token_ids", "ids_sha256", "decoded_sha256"])
     return docs.select(F.col(id_col), *keep, f(F.col(text_col)).alias("d")).select(id_col, *keep, "d.*")
