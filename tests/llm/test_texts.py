@@ -176,7 +176,22 @@ def test_contained_empty(spark, rows):
     assert decontam.find_contained(docs_of(rows, []), spark.createDataFrame([(1, "a")], "item_id long, text string")).count() == 0
 
 
-def test_common_phrase_joins_no_pairs(spark, rows, monkeypatch, tmp_path):
+def test_short_items_inside_long_texts(spark, rows, tmp_path):
+    rnd = random.Random(13)
+    items = [(1, "Zebra, yak; wombat!"), (2, "quokka"), (3, "one two three four"), (4, prose(rnd, 20)), (5, None)]
+    texts = [f"{prose(rnd, 400)} zebra yak wombat {prose(rnd, 100)}", f"zebra yak {prose(rnd, 30)} wombat", "the quokka", "quokka", f"{prose(rnd, 9)} one two three four",
+             "two three four one", "zebra YAK wombat", f"x {items[3][1]} y", None, "", "one two three four five"]
+    item_rows = spark.createDataFrame(items, "item_id long, text string")
+    docs = docs_of(rows, list(enumerate(texts)))
+    found = {(r.doc_id, r.item_id, r.n_shared, r.n_item) for r in decontam.find_contained(docs, item_rows, short_runs=True).collect()}
+    q = len({tuple(items[3][1].replace(",", "").split()[i:i + 5]) for i in range(16)})
+    assert found == {(0, 1, 1, 1), (2, 2, 1, 1), (3, 2, 1, 1), (4, 3, 1, 1), (6, 1, 1, 1), (7, 4, q, q), (10, 3, 1, 1)}
+    item_rows.write.parquet(str(tmp_path / "benchmark.parquet"))
+    kept = corpus_pipeline.decontamination(spark, docs, str(tmp_path)).collect()
+    assert {r.doc_id for r in kept} == {1, 5, 8, 9}
+
+
+def test_common_phrase_joins_no_pairs(spark, rows, monkeypatch):
     """A phrase that all items and documents hold brings none of them together."""
     rnd = random.Random(12)
 

@@ -20,7 +20,8 @@ hold the same passage by the thousand give rows in proportion to what they conta
 Words are runs of letters, marks and digits in lower case, so that punctuation doesn't hide a passage.
 
 Edge cases: null and blank texts and items contain nothing and are contained in nothing; a text of fewer words than a shingle is one
-shingle; equal items are found each; rows that repeat id and text give one row per item; rows without id are told
+shingle, which only a text of just these words has unless ``short_runs`` is set: then documents are also cut into runs of each number of words below a
+shingle's that some item has, and a short item is found wherever its words stand in a row; equal items are found each; rows that repeat id and text give one row per item; rows without id are told
 apart by their text; empty tables give no rows; other columns are ignored.
 """
 
@@ -36,8 +37,16 @@ def plain_words(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{M}\p{N}]+"), lambda w: w != "")
 
 
-def distinct_shingles(text: Column, n: int) -> Column:
-    return let(plain_words(text), lambda w: F.array_distinct(shingle_hashes(w, n)))
+def distinct_shingles(text: Column, n: int, shorter: list[int] = ()) -> Column:
+    """Hashes of the runs of ``n`` words, and of those of each number of words in ``shorter``."""
+    return let(plain_words(text), lambda w: F.array_distinct(F.concat(shingle_hashes(w, n), *(
+        F.when(F.size(w) > k, shingle_hashes(w, k)).otherwise(F.array().cast("array<bigint>")) for k in shorter))))
+
+
+def short_lengths(items: DataFrame, *, text_col: str, shingle: int) -> list[int]:
+    """The numbers of words below a shingle's that items have: ``shingle - 1`` numbers at most."""
+    n = items.select(F.size(plain_words(F.col(text_col))).alias("n"))
+    return sorted(r.n for r in n.filter((F.col("n") > 0) & (F.col("n") < shingle)).distinct().collect())
 
 
 def item_shingles(items: DataFrame, *, id_col: str, text_col: str, shingle: int) -> DataFrame:
@@ -60,14 +69,15 @@ def sketches(shingles: DataFrame, threshold: float) -> DataFrame:
 
 
 def find_contained(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id",
-                   item_text_col: str = "text", shingle: int = 5, threshold: float = 0.8) -> DataFrame:
+                   item_text_col: str = "text", shingle: int = 5, threshold: float = 0.8, short_runs: bool = False) -> DataFrame:
     """``id, text_hash, item_id, n_shared, n_item, containment`` for every item that a document contains."""
     shingles = materialize(item_shingles(items, id_col=item_id_col, text_col=item_text_col, shingle=shingle).distinct(), "decontam-items")
     listed = materialize(shingles.groupBy("hash").agg(F.min("q").alias("least_q")), "decontam-hashes")
     n_rows = shingles.count()
     small = n_rows * 64 <= BROADCAST_BYTES
     side = (lambda t: F.broadcast(t)) if small else (lambda t: t)
-    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), distinct_shingles(F.col(text_col), shingle).alias("hashes"))
+    shorter = short_lengths(items, text_col=item_text_col, shingle=shingle) if short_runs else []
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), distinct_shingles(F.col(text_col), shingle, shorter).alias("hashes"))
     rows = rows.select("id", "text_hash", F.size("hashes").alias("n_doc"), F.explode("hashes").alias("hash"))
     hits = rows.join(side(listed), "hash").filter(F.col("n_doc") >= F.col("least_q") * threshold - 1e-9)
     hits = materialize(hits.select("id", "text_hash", "n_doc", "hash"), "decontam-hits")
