@@ -59,7 +59,7 @@ def test_decoded_digest_is_of_the_ids(monkeypatch):
     assert model.digests(ids)[2] == want and model.digests(b"")[2] == hashlib.sha256(b"").hexdigest()
     other = ids[:-4] + model.packed("other")[:4]  # a fault in the ids shows, and one in decoding too
     assert model.digests(other)[2] != want
-    model.strings[model.encode("some")[0]] = "?"
+    model.spelled[model.encode("some")[0]] = b" ?"
     assert model.digests(model.packed(text))[2] != want
 
 
