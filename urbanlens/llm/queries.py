@@ -154,6 +154,27 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs, train(docs, table(spark, sf_dir, "labels")))
 
 
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from urbanlens.llm.negatives import mine
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine(table(spark, sf_dir, "embeddings").withColumn("label", label), F.col("vec_id") % 50 == 0)
+
+
+_SQL["op13_hard_negatives"] = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT a.vec_id AS anchor_id, o.vec_id AS id, a.label = o.label AS same, list_sum(list_transform(list_zip(a.e, o.e), lambda z: z[1] * z[2]))::BIGINT AS score
+  FROM v a JOIN v o ON a.vec_id <> o.vec_id AND a.vec_id % 50 = 0),
+pos AS (SELECT * FROM p WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+n AS (SELECT pos.anchor_id, pos.id AS positive_id, neg.id AS negative_id, pos.score AS positive_score, neg.score AS negative_score,
+    row_number() OVER (PARTITION BY pos.anchor_id, pos.id ORDER BY neg.score DESC, neg.id)::INTEGER AS rank
+  FROM pos JOIN p neg ON pos.anchor_id = neg.anchor_id AND NOT neg.same AND 50 * pos.score <= 100 * neg.score AND 100 * neg.score <= 95 * pos.score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+"""
+
+
 def registry() -> dict[str, Query]:
     return dict(_REGISTRY)
 
