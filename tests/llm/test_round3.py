@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from urbanlens.llm import negatives
+from urbanlens.llm import negatives, queries, trie
 
 VECTORS = "vec_id long, embedding array<float>, label int"
 
@@ -74,3 +74,101 @@ def test_best_breaks_ties_to_the_left_at_any_size():
             got[r].append((-s, c))
         for r in range(20):
             assert sorted(got[r]) == sorted((-int(scores[r, c]), c) for c in np.flatnonzero(wanted[r]))[:4]
+
+
+# --- conversation prefix trie
+
+TURNS = "conv_id long, turn long, role string, text string"
+
+
+def trie_of(data, rebuild=False):
+    """All prefixes of all conversations, by hand."""
+    own = defaultdict(list)
+    for c, turn, role, text in data:
+        if c is not None:
+            own[c].append(((turn is not None, turn or 0), role or "", text or ""))
+    convs = {c: [(r, t) for _, r, t in sorted(v)] for c, v in own.items()}
+    if rebuild:
+        h = {c: zlib.crc32(str(c).encode()) % 9 for c in convs}
+        convs = {c: convs.get(c - c % 5, [])[:h[c]] + v[h[c]:] for c, v in convs.items()}
+    members = defaultdict(list)
+    for c, v in convs.items():
+        for d in range(len(v) + 1):
+            members[tuple(v[:d])].append(c)
+    children = defaultdict(int)
+    for p in members:
+        if p:
+            children[p[:-1]] += 1
+    leaves, saved = defaultdict(int), defaultdict(int)
+    for p, who in members.items():
+        for d in range(len(p) + 1):
+            leaves[p[:d]] += p not in children
+            saved[p[:d]] += (len(who) - 1) * len(p[-1][1].encode()) if p else 0
+    digest = lambda p: hashlib.sha256(",".join(map(str, sorted(c for c in members[p] if len(convs[c]) == len(p)))).encode()).hexdigest()
+    return sorted((min(who), len(p), min(members[p[:-1]]) if p else None, len(who), children.get(p, 0), leaves[p], saved[p], digest(p)) for p, who in members.items())
+
+
+def talk(rnd, c, prefix=(), more=4, pool=3):
+    turns = [*prefix, *((rnd.choice(["user", "assistant", None]), rnd.choice(["a", "bb", "é", None, "ccc"][:pool])) for _ in range(rnd.randint(0, more)))]
+    return [(c, i if i else None, r, t) for i, (r, t) in enumerate(turns)]
+
+
+@pytest.mark.parametrize("case", ["small", "hot", "long"])
+def test_prefix_trie_equals_brute_force(spark, rows, case):
+    rnd = random.Random(case)
+    data = [r for c in range(120) for r in talk(rnd, c, more=6)]
+    if case == "hot":  # a third of the conversations are copies, a third begin alike
+        same = [("user", "hello"), ("assistant", "hi there"), ("user", "bye")]
+        data += [(c, i, *t) for c in range(200, 280) for i, t in enumerate(same)] + [r for c in range(300, 380) for r in talk(rnd, c, same[:2], 3, 5)]
+        data += [(None, 0, "user", "no id"), *data[:9], (-4, None, None, None), (-4, None, "user", ""), (-9, 1, "user", "x" * 50_000)]
+    if case == "long":
+        path = [("user", str(i % 7)) for i in range(300)]
+        data = [(c, i, *t) for c in range(40) for i, t in enumerate(path[:rnd.randint(1, 300)] + [("user", str(rnd.randint(0, 2)))] * rnd.randint(0, 2))]
+    turns = materialized(trie.numbered_turns(rows(data, TURNS)))
+    got = trie.prefix_nodes(turns, turns.select("conv_id"))
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(trie_of(data), key=str)
+
+
+def materialized(df):
+    from urbanlens.llm.common import materialize
+    return materialize(df, "test")
+
+
+def test_rebuilt_conversations(spark, rows):
+    rnd = random.Random(5)
+    data = [r for c in rnd.sample(range(200), 90) for r in (talk(rnd, c, more=9, pool=5) or [(c, 1, "user", "x")])]
+    got = trie.prefix_nodes(*queries.rebuilt_turns(rows(data, TURNS)), batches=(0.2, 0.5, 0.7, 1))
+    want = trie_of(data, rebuild=True)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+    ends = {r[7] for r in want if r[1] == 0}
+    assert ends != {hashlib.sha256(b"").hexdigest()}  # some have no turns
+
+
+def test_trie_without_turns(spark, rows):
+    none = trie.numbered_turns(rows([], TURNS))
+    assert trie.prefix_nodes(none, none.select("conv_id")).count() == 0
+    ids = rows([(7,), (3,), (3,)], "conv_id long")
+    assert [tuple(r) for r in trie.prefix_nodes(none, ids).collect()] == [(3, 0, None, 2, 0, 1, 0, hashlib.sha256(b"3,7").hexdigest())]
+
+
+def test_fat_search_finds_every_exit(spark, rows):
+    """Paths of one half are searched in the trie of the other: as many turns are found as the best of the others shares."""
+    rnd = random.Random(2)
+    path = [("user", str(i % 5)) for i in range(60)]
+    data = [(c, i, *t) for c in range(60) for i, t in enumerate(path[:rnd.randint(1, 60)] + [("user", rnd.choice("012"))] * rnd.randint(0, 3))]
+    paths = materialized(trie.paths(trie.numbered_turns(rows(data, TURNS))))
+    sizes = materialized(paths.groupBy(F.col("conv_id").alias("rep")).agg(F.max("d").alias("n")))
+    edges = trie.insert(sizes.filter("rep % 2 = 0"), None, paths, 64)
+    out = {r.rep: (r.x, r.edge) for r in trie.exits(sizes.filter("rep % 2 = 1"), edges, paths, 64).collect()}
+    seqs = defaultdict(list)
+    for c, _, r, t in data:
+        seqs[c].append((r, t))
+    shared = lambda a, b: next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+    nodes = {r.d for r in edges.select("key.d").collect()}
+    for c in range(1, 60, 2):
+        assert out[c][0] == max(shared(seqs[c], seqs[o]) for o in range(0, 60, 2))
+        assert out[c][1] is None or out[c][1].d > out[c][0] and out[c][0] > 0
+    assert len(nodes) > 10
+    pairs = spark.createDataFrame([(a, b) for a in range(70) for b in range(a + 1, 90)], "a long, b long")
+    for r in pairs.select("a", "b", trie.two_fattest(F.col("a"), F.col("b")).alias("f")).collect():
+        assert r.f == max(range(r.a + 1, r.b + 1), key=lambda x: x & -x)

@@ -175,6 +175,48 @@ SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score
 """
 
 
+def rebuilt_turns(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The turns and the ids of conversations that begin like conversation ``c - c % 5``: its first h turns, then c's own after its first h."""
+    from urbanlens.llm.common import materialize
+    from urbanlens.llm.trie import numbered_turns
+    turns = materialize(numbered_turns(rows), "trie-turns")
+    h, base = F.crc32(F.col("conv_id").cast("string")) % 9, F.col("conv_id") - F.col("conv_id") % 5
+    sizes = turns.groupBy("conv_id").agg(F.max("pos").alias("n"))
+    convs = sizes.select("conv_id", h.alias("h"), base.alias("base"))
+    taken = convs.join(sizes.select(F.col("conv_id").alias("base"), "n"), "base", "left").select("conv_id", "h", "base", F.least("h", F.coalesce("n", F.lit(0))).alias("taken"))
+    taken = materialize(taken, "trie-taken")
+    head = turns.filter("pos <= 8").withColumnRenamed("conv_id", "base").join(taken, "base").filter("pos <= taken")
+    tail = turns.join(taken, "conv_id").filter("pos > h").withColumn("pos", F.col("pos") - F.col("h") + F.col("taken"))
+    columns = ["conv_id", "pos", "h1", "h2", "n_bytes"]
+    return head.select(*columns).unionByName(tail.select(*columns)), taken.select("conv_id")
+
+
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from urbanlens.llm.trie import prefix_nodes
+    return prefix_nodes(*rebuilt_turns(table(spark, sf_dir, "conversations")))
+
+
+_SQL["op11_prefix_trie"] = r"""
+WITH m AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT c, list({'role': role, 'text': text} ORDER BY pos) AS turns FROM m GROUP BY c),
+crc AS (SELECT c, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''), lambda s: ascii(s)::BIGINT)),
+    lambda acc, byte: list_reduce([xor(acc, byte), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END))) % 9 AS h FROM own),
+r AS (SELECT own.c, list_concat(coalesce(b.turns[1:h], []), own.turns[h + 1:]) AS turns FROM own JOIN crc USING (c) LEFT JOIN own b ON b.c = own.c - own.c % 5),
+p AS (SELECT c, len(turns) AS n, unnest(range(0, len(turns) + 1)) AS depth, turns FROM r),
+g AS (SELECT turns[1:depth] AS prefix, depth, min(c) AS conv_id, count(*) AS n_convs, coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (n = depth), '') AS ends
+  FROM p GROUP BY turns[1:depth], depth),
+k AS (SELECT prefix[1:depth - 1] AS prefix, depth - 1 AS depth, count(*) AS ways FROM g WHERE depth > 0 GROUP BY ALL),
+f AS (SELECT g.*, coalesce(ways, 0) AS n_children, CASE WHEN g.depth > 0 THEN (n_convs - 1) * strlen(prefix[-1].text) ELSE 0 END AS saved FROM g LEFT JOIN k USING (prefix, depth)),
+s AS (SELECT a.prefix, a.depth, count(*) FILTER (b.n_children = 0) AS n_leaves, sum(b.saved) AS saved_tokens
+  FROM f a JOIN f b ON b.depth >= a.depth AND b.prefix[1:a.depth] = a.prefix GROUP BY a.prefix, a.depth)
+SELECT f.conv_id, f.depth::BIGINT AS depth, u.conv_id AS parent_conv_id, f.n_convs, f.n_children, n_leaves, saved_tokens::BIGINT AS saved_tokens, sha256(f.ends) AS ends_sha256
+FROM f JOIN s USING (prefix, depth) LEFT JOIN g u ON f.depth > 0 AND u.depth = f.depth - 1 AND u.prefix = f.prefix[1:f.depth - 1]
+"""
+
+
 def registry() -> dict[str, Query]:
     return dict(_REGISTRY)
 
