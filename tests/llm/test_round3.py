@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from urbanlens.llm import negatives, queries, trie
+from urbanlens.llm import negatives, pii, queries, trie
 
 VECTORS = "vec_id long, embedding array<float>, label int"
 
@@ -172,3 +172,109 @@ def test_fat_search_finds_every_exit(spark, rows):
     pairs = spark.createDataFrame([(a, b) for a in range(70) for b in range(a + 1, 90)], "a long, b long")
     for r in pairs.select("a", "b", trie.two_fattest(F.col("a"), F.col("b")).alias("f")).collect():
         assert r.f == max(range(r.a + 1, r.b + 1), key=lambda x: x & -x)
+
+
+# --- personal data
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+",
+            "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def by_patterns(text):
+    """The base spans as the patterns say it."""
+    out = []
+    for k, (kind, pattern) in enumerate(PATTERNS.items()):
+        for m in re.finditer(pattern, text):
+            digits = [int(x) for x in m[0] if x in "0123456789"]
+            doubled = [x if i % 2 == 0 else x * 2 - 9 * (x > 4) for i, x in enumerate(reversed(digits))]
+            if kind == "email" or kind == "ip" and all(int(p) <= 255 for p in m[0].split(".")) or \
+                    kind == "card" and 14 <= len(digits) <= 19 and sum(doubled) % 10 == 0 or kind == "phone" and 10 <= len(digits) <= 15:
+                out.append((m.start(), k, m.end()))
+    return sorted(out)
+
+
+def test_base_spans_equal_the_patterns():
+    rnd = random.Random(4)
+    found = defaultdict(int)
+    for _ in range(60_000):
+        t = "".join(rnd.choice(["1", "25", "4", "0", "-", " ", ".", "+", "@", "a.b", "(", ")", "é", "4111111111111111", "x", "@h.c", "+1 (22) "]) for _ in range(rnd.randint(1, 14)))
+        want = by_patterns(t)
+        assert pii.base_spans(t) == want, t
+        for _, k, _ in want:
+            found[k] += 1
+    assert len(found) == 4 and min(found.values()) > 300
+    for t in ("", "1" * 200_000, "a" * 200_000 + "@", "1." * 100_000, "+1" + "(" * 100_000, "1 " * 200_000, "é😀a@b.c é", "x@y.z@y.z@y.z"):
+        assert pii.base_spans(t) == by_patterns(t) if len(t) < 50 else pii.base_spans(t) is not None
+
+
+def test_windows_cover_every_trigger():
+    rnd = random.Random(6)
+    for _ in range(300):
+        t = "".join(rnd.choice("aaaaaaaaaaaaaaaaaaa 1@") if rnd.random() < 0.1 else "a" for _ in range(rnd.randint(0, 700)))
+        starts = list(pii.window_starts(t))
+        half = pii.WINDOW // 2
+        want = [s for s in range(0, max(1, len(t) - half), half) if re.search("[0-9@]", t[s:s + pii.WINDOW])]
+        assert starts == want, (t, starts, want)
+
+
+def test_reconciled_takes_the_best_set():
+    text = "on 10.20.30.40 and 4111 1111 1111 1111 or 988 555 2485 x"
+    ip, card, phone = text.index("10."), text.index("4111"), text.index("988")
+    found = [(ip, 1, ip + 11, 0.95), (ip, 1, ip + 11, 0.9), (card, 2, card + 19, 0.9), (card + 5, 3, card + 19, 0.85), (phone, 3, phone + 12, 0.99), (phone, 3, phone + 12, 0.5), (0, 0, 5, 0.99)]
+    assert pii.reconciled(text, found, []) == [(ip, 1, ip + 11, 0.95), (card, 2, card + 19, 0.9), (phone, 3, phone + 12, 0.99)]
+    assert pii.reconciled(text, found, [(card, 3, card + 30)]) == [(ip, 1, ip + 11, 0.95)]
+    assert pii.reconciled(text, found, [(0, 0, 1)], sure=0.96) == [(phone, 3, phone + 12, 0.99)]
+
+
+def personal(rnd, kind):
+    n = lambda k: "".join(rnd.choice("0123456789") for _ in range(k))
+    if kind == 2:
+        head = "4" + n(14)
+        return head + next(d for d in "0123456789" if pii.luhn(head + d))
+    return (f"{rnd.choice(['ann', 'bob.c', 'x'])}.{n(2)}@mail{n(1)}.example.{rnd.choice(['com', 'org'])}", ".".join(str(rnd.randint(0, 255)) for _ in range(4)), "",
+            f"+1 ({n(3)}) 555-{n(4)}")[kind]
+
+
+def test_tagger_finds_and_adds(spark, rows):
+    """Learnt from the patterns' spans: finds them by itself in other texts, adds what the patterns miss, leaves other numbers alone."""
+    rnd = random.Random(8)
+    words = lambda: " ".join("".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(2, 9))) for _ in range(rnd.randint(1, 40)))
+    other = lambda: rnd.choice(["password=" + "%018x" % rnd.getrandbits(72), "version 3.", "AKIA%08X" % rnd.getrandbits(32), "BY-NC 4.0", "in 1987"])
+    data = [(i, f"{words()} {personal(rnd, i % 5) if i % 5 < 4 else other()} {words()}") for i in range(1000)]
+    tagger = pii.train(rows(data, DOCS), docs_read=800, steps=250)
+    fresh = [(i, f"{words()} {personal(rnd, i % 4)} {words()}") for i in range(300)]
+    right = total = 0
+    for _, t in fresh:
+        base, alone = pii.base_spans(t), []
+        starts = list(pii.window_starts(t))
+        for at, path, sure in zip(starts, *tagger.decode(np.stack([pii.classes(t[s:s + pii.WINDOW]) for s in starts]).astype(np.intp)), strict=True):
+            alone += [(at + s, k, at + e, p) for s, k, e, p in pii.window_spans(path, sure) if (s or not at) and (e < pii.WINDOW or at + pii.WINDOW >= len(t))]
+        right += len({s[:3] for s in pii.reconciled(t, alone, [])} & set(base))
+        total += len(base)
+    assert total > 280 and right / total > 0.9
+    phone, card = personal(rnd, 3), personal(rnd, 2)
+    glued = f"{words()} {phone} {card} {words()}"
+    odd = [(1, glued), (2, None), (3, ""), (4, other() + " " + words()), (5, "w " * 100_000 + personal(rnd, 0) + " w" * 5000), (None, personal(rnd, 1)), (4, "again 1")]
+    got = pii.find(rows(odd, DOCS), tagger)
+    assert got.columns == ["doc_id", "spans"]
+    found = sorted(((r.doc_id, r.spans) for r in got.collect()), key=str)
+    by_id = {i: s for i, s in found if i != 4}
+    assert [(s.kind, s.base) for s in by_id[1]] == [("phone", True), ("card", False)]
+    assert by_id[2] == by_id[3] == [] and [s for i, s in found if i == 4] == [[], []]
+    assert [(s.kind, s.start) for s in by_id[5]] == [("email", 200_000)] and [s.kind for s in by_id[None]] == ["ip"]
+    assert pii.train(rows([], DOCS)) is None and pii.train(rows([(1, "no digits")], DOCS)) is None
+    assert [[s.kind for s in r.spans] for r in pii.find(rows(odd[:1], DOCS), None).collect()] == [["phone"]]
+
+
+def test_pii_query_on_the_table(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    got = queries.registry()["op12_pii"](spark, sf).collect()
+    assert sorted(r.doc_id for r in got) == sorted(docs)
+    for r in got:
+        base = by_patterns(docs[r.doc_id])
+        names = [f"{list(PATTERNS)[k]}:{s}:{e}" for s, k, e in base]
+        assert r.base_sha256 == hashlib.sha256(",".join(names).encode()).hexdigest()
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == i for _, k, _ in base) for i in range(4)]
+        assert set(names) <= set(filter(None, r.spans.split(","))) and r.n_added == len(list(filter(None, r.spans.split(",")))) - len(names)

@@ -217,6 +217,16 @@ FROM f JOIN s USING (prefix, depth) LEFT JOIN g u ON f.depth > 0 AND u.depth = f
 """
 
 
+@query
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from urbanlens.llm.pii import KINDS, count_of, find, spelled, train
+    docs = table(spark, sf_dir, "documents")
+    found = find(docs, train(docs))
+    base = F.filter("spans", lambda s: s["base"])
+    return found.select("doc_id", *(count_of(base, k).alias(f"n_{k}") for k in KINDS), F.sha2(spelled(base), 256).alias("base_sha256"), spelled(F.col("spans")).alias("spans"),
+                        (F.size("spans") - F.size(base)).cast("long").alias("n_added"))
+
+
 def registry() -> dict[str, Query]:
     return dict(_REGISTRY)
 
