@@ -72,6 +72,15 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return posts_from_documents(table(spark, sf_dir, "documents"))
 
 
+def scored_text_from_documents(documents: DataFrame) -> DataFrame:
+    """documents -> scored posts as a load reads them, dates and scores as text, some of them unreadable."""
+    k = F.col("doc_id")
+    date = F.when(k % 19 == 0, F.lit("yesterday")).otherwise(
+        F.date_format(F.timestamp_seconds(F.lit(POSTS_EPOCH_SECONDS) + k * F.lit(3600)), "yyyy-MM-dd HH:mm:ss"))
+    score = F.when(k % 13 == 0, F.lit("n/a")).when(k % 17 == 0, F.lit("1234.5")).otherwise(F.format_string("%.2f", (k % 201 - 100) / F.lit(100.0)))
+    return documents.select(k.alias("post_id"), F.col("text").alias("tweets"), date.alias("date"), F.col("source").alias("station"), score.alias("sentiment"))
+
+
 # --- listing bindings (from ``part``) ---------------------------------------
 # fixed values of the synthetic listing cards
 CARDS_PER_PAGE = 25

@@ -111,21 +111,29 @@ def station_view(listings: DataFrame, scored: DataFrame, km: float = 1.0) -> Dat
     return L.station_view(listings, scored, km)
 
 
-def load_results(spark, sentiment_path: str, topics_path: str, db: str, now: dt.datetime, listings_path: str | None = None) -> None:
-    """K5: append the newest sentiment and topic batches (and listings) to the result tables, then one lineage row.
+def load_results(spark, sentiment_path: str, topics_path: str, db: str, now: dt.datetime, listings_path: str | None = None,
+                 bad_rows: str = "stop") -> None:
+    """K5: load the newest sentiment and topic batches (and listings) as one batch of the result tables, marked by a lineage row.
 
-    Rows whose date or score can't be read stop the load before anything is written.
+    The batch is the day of ``now``: loading it again, after a failure or not, leaves each row once. Rows whose date or score can't
+    be read stop the load before anything is written, or, with ``bad_rows="set_aside"``, go to the table ``rejected`` with the reasons.
     """
-    from urbanlens.sources import io
+    from urbanlens.sources import io, loads
 
     io.ensure_tables(spark, db)
-    scored = io.cast_on_load(io.read_latest(spark, sentiment_path), strict=True)
-    topics = io.read_latest(spark, topics_path)
-    io.append_table(scored, f"{db}.sentiment")
-    io.append_table(topics, f"{db}.topics")
-    sources, targets = [sentiment_path, topics_path], [f"{db}.sentiment", f"{db}.topics"]
+    scored, frames = io.read_latest(spark, sentiment_path), {}
+    if bad_rows == "set_aside":
+        checked = loads.checked_on_load(scored, {"date": "timestamp", "sentiment": "decimal(5,2)"})
+        frames["sentiment"] = loads.accepted(checked)
+        bad = loads.rejected(checked, "tweets", "station")
+        frames["rejected"] = bad.select(F.lit(sentiment_path).alias("origin"), F.to_json(F.struct("tweets", "date", "station", "sentiment")).alias("row"), "reasons")
+    else:
+        frames["sentiment"] = io.cast_on_load(scored, strict=True)
+    frames["topics"] = io.read_latest(spark, topics_path)
+    sources = [sentiment_path, topics_path]
     if listings_path:
-        io.append_table(io.read_listings(spark, listings_path), f"{db}.listings")
+        frames["listings"] = io.read_listings(spark, listings_path)
         sources.append(listings_path)
-        targets.append(f"{db}.listings")
-    io.append_table(io.lineage_row(spark, io.JOB_LOAD, io.STEP_LOAD, ", ".join(sources), "db: " + ", ".join(targets), now), f"{db}.data_lineage")
+    targets = ", ".join(f"{db}.{name}" for name in frames)
+    mark = io.lineage_row(spark, io.JOB_LOAD, io.STEP_LOAD, ", ".join(sources), f"db: {targets}", now)
+    loads.load_batch(spark, db, int(now.strftime("%Y%m%d")), frames, mark)

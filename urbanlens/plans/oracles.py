@@ -11,6 +11,7 @@ from urbanlens.functions.text import ENGLISH_STOP_WORDS  # held against Spark's
 from urbanlens.plans import bindings as B
 from urbanlens.plans import queries as Q
 from urbanlens.plans.oracle_stem import stem_ctes
+from urbanlens.sources import io
 
 # Fixed value, stated a second time: mention, any other character, URL.
 CLEAN_PATTERN = r"(@[A-Za-z0-9]+)|([^0-9A-Za-z \t])|(\w+:\/\/\S+)"
@@ -332,11 +333,25 @@ _POSTS_PATH = f"'s3://{Q.BUCKET}/posts/' || {_B} || '.parquet'"
 _OUTS = f"'s3://{Q.BUCKET}/sentiment/' || {_B} || '/, s3://{Q.BUCKET}/topics/' || {_B} || '/'"
 oracle("lineage_rows", f"""WITH days AS (SELECT CAST(ts AS DATE) AS d, date_trunc('second', max(ts)) AS t
   FROM events GROUP BY 1)
-SELECT {_B}::BIGINT AS batch_nr, 1 AS job_nr, t AS timestamp, 'get_twitter_data' AS step_airflow,
+SELECT {_B}::BIGINT AS batch_nr, 1 AS job_nr, t AS timestamp, '{io.STEP_COLLECT}' AS step_airflow,
   'External: posts API' AS source, {_POSTS_PATH} AS destination FROM days
-UNION ALL SELECT {_B}::BIGINT, 2, t, 'all_spark_jobs', {_POSTS_PATH}, {_OUTS} FROM days
-UNION ALL SELECT {_B}::BIGINT, 3, t, 'save_result_to_postgres_db', {_OUTS},
+UNION ALL SELECT {_B}::BIGINT, 2, t, '{io.STEP_SPARK}', {_POSTS_PATH}, {_OUTS} FROM days
+UNION ALL SELECT {_B}::BIGINT, 3, t, '{io.STEP_LOAD}', {_OUTS},
   'db: {Q.DB}.sentiment, {Q.DB}.topics' FROM days""")
-oracle("cast_on_load", f"""SELECT p.tweets, s.date, s.station, s.compound::DECIMAL(10,4) AS sentiment
-FROM ({_sent(('date', 'station'))}) s
-JOIN (SELECT post_id, {CLEAN('tweets')} AS tweets FROM {POSTS}) p ON s.post_id = p.post_id""")
+_SCORED_TEXT = """(SELECT doc_id AS post_id, text AS tweets, source AS station,
+  CASE WHEN doc_id % 19 = 0 THEN 'yesterday' ELSE strftime(to_timestamp({epoch} + doc_id * 3600) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') END AS date,
+  CASE WHEN doc_id % 13 = 0 THEN 'n/a' WHEN doc_id % 17 = 0 THEN '1234.5' ELSE printf('%.2f', (doc_id % 201 - 100) / 100.0) END AS sentiment
+  FROM documents)""".format(epoch=B.POSTS_EPOCH_SECONDS)
+_TYPED = f"""(SELECT *, TRY_CAST(date AS TIMESTAMP) AS t, TRY_CAST(sentiment AS DECIMAL(5,2)) AS n FROM {_SCORED_TEXT})"""
+_BAD = "((date IS NOT NULL AND t IS NULL) OR (sentiment IS NOT NULL AND n IS NULL))"
+oracle("cast_on_load", f"SELECT post_id, t AS date, station, n AS sentiment FROM {_TYPED}")
+oracle("load_accepted", f"SELECT post_id, t AS date, station, n AS sentiment FROM {_TYPED} WHERE NOT {_BAD}")
+oracle("load_rejected", f"""SELECT post_id, date, sentiment, concat_ws('; ', CASE WHEN t IS NULL THEN 'date: not timestamp' END,
+  CASE WHEN n IS NULL THEN 'sentiment: not decimal(5,2)' END) AS reasons FROM {_TYPED} WHERE {_BAD}""")
+_BATCHES = " UNION ALL ".join(f"SELECT {b} AS batch_nr, {i} AS turn" for i, b in enumerate(Q.BATCHES))
+oracle("load_results", f"""SELECT batch_nr, md5(tweets) AS tweets_md5, t AS date, station, n AS sentiment
+  FROM {_TYPED} JOIN ({_BATCHES}) ON post_id % {len(Q.BATCHES)} = turn WHERE NOT {_BAD}""")
+oracle("load_counts", f"""WITH b AS ({_BATCHES})
+SELECT batch_nr, 'sentiment' AS table_name, count(*) AS n_rows FROM {_TYPED} JOIN b ON post_id % {len(Q.BATCHES)} = turn WHERE NOT {_BAD} GROUP BY 1
+UNION ALL SELECT batch_nr, 'rejected', count(*) FROM {_TYPED} JOIN b ON post_id % {len(Q.BATCHES)} = turn WHERE {_BAD} GROUP BY 1
+UNION ALL SELECT batch_nr, 'data_lineage', 1 FROM b""")

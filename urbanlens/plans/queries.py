@@ -415,7 +415,7 @@ def q_station_view(spark, sf):
 
 # ---- load, lineage ---------------------------------------------------------------
 BUCKET = "bucket"
-DB = "london_schema"
+DB = "results"
 
 
 @query("batch_number")
@@ -431,9 +431,63 @@ def q_lineage_rows(spark, sf):
     return lineage_for_batches(B.table(spark, sf, "events"), "ts", BUCKET, DB)
 
 
+def _scored_text(spark, sf):
+    return B.scored_text_from_documents(_docs(spark, sf))
+
+
+LOAD_KINDS = {"date": "timestamp", "sentiment": "decimal(5,2)"}
+
+
 @query("cast_on_load")
 def q_cast_on_load(spark, sf):
     from urbanlens.sources.io import cast_on_load
-    scored = jobs.sentiment_job(B.posts(spark, sf), _lexicon(spark), boosters=TEST_BOOSTERS,
-                                negators=TEST_NEGATORS, places=4)
-    return cast_on_load(scored, "decimal(10,4)").select("tweets", "date", "station", "sentiment")
+    # the key rides along in place of the text
+    rows = _scored_text(spark, sf).withColumn("tweets", F.col("post_id"))
+    return cast_on_load(rows).withColumnRenamed("tweets", "post_id")
+
+
+@query("load_accepted")
+def q_load_accepted(spark, sf):
+    from urbanlens.sources import loads
+    return loads.accepted(loads.checked_on_load(_scored_text(spark, sf).drop("tweets"), LOAD_KINDS))
+
+
+@query("load_rejected")
+def q_load_rejected(spark, sf):
+    from urbanlens.sources import loads
+    return loads.rejected(loads.checked_on_load(_scored_text(spark, sf).drop("tweets"), LOAD_KINDS), "post_id")
+
+
+#: Batches of the load queries; post ``k`` belongs to batch ``k % 2``.
+BATCHES = (20240108, 20240115)
+
+
+def _load(spark, sf) -> str:
+    """Load the batches, the first one twice, into tables of a new database in the scratch folder."""
+    import uuid
+
+    from urbanlens.sources import io, loads, scratch
+    db = f"load_{uuid.uuid4().hex}"
+    io.ensure_tables(spark, db, location=f"{scratch.folder(spark)}/{db}")
+    for turn in (0, 1, 0):
+        now = dt.datetime.strptime(f"{BATCHES[turn]} 06:00", "%Y%m%d %H:%M")
+        checked = loads.checked_on_load(_scored_text(spark, sf).where(F.pmod("post_id", F.lit(len(BATCHES))) == turn), LOAD_KINDS)
+        bad = loads.rejected(checked, "post_id")
+        bad = bad.select(F.lit("documents").alias("origin"), F.to_json(F.struct("post_id", "date", "sentiment")).alias("row"), "reasons")
+        loads.load_batch(spark, db, BATCHES[turn], {"sentiment": loads.accepted(checked), "rejected": bad},
+                         io.lineage_row(spark, io.JOB_LOAD, io.STEP_LOAD, "documents", f"db: {DB}", now))
+    return db
+
+
+@query("load_results")
+def q_load_results(spark, sf):
+    from urbanlens.sources import loads
+    return loads.loaded(spark, _load(spark, sf), "sentiment").select("batch_nr", F.md5("tweets").alias("tweets_md5"), "date", "station", "sentiment")
+
+
+@query("load_counts")
+def q_load_counts(spark, sf):
+    from urbanlens.sources import loads
+    db = _load(spark, sf)
+    return tops.union_batches(*[loads.loaded(spark, db, name).groupBy("batch_nr").agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"))
+                                for name in ("sentiment", "rejected", "data_lineage")])

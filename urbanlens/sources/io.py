@@ -18,7 +18,7 @@ BATCH_FORMAT = "yyyyMMdd"
 STAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 RUN_DATE_FORMAT = "yyyy-MM-dd"
 JOB_COLLECT, JOB_SPARK, JOB_LOAD = 1, 2, 3
-STEP_COLLECT, STEP_SPARK, STEP_LOAD = "get_twitter_data", "all_spark_jobs", "save_result_to_postgres_db"
+STEP_COLLECT, STEP_SPARK, STEP_LOAD = "collect_posts", "spark_jobs", "load_results"
 # ----------------------------------------------------------------------------
 
 
@@ -94,22 +94,24 @@ def write_listings_csv(df: DataFrame, path: str) -> None:
 
 
 def ensure_tables(spark: SparkSession, db: str, location: str | None = None) -> None:
-    """Create the database and the four result tables if missing."""
+    """Create the database and the result tables if missing; each batch is a partition (see :mod:`urbanlens.sources.loads`)."""
     loc = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}{loc}")
-    spark.sql(f"""CREATE TABLE IF NOT EXISTS {db}.sentiment
-        (tweets STRING, date TIMESTAMP, station STRING, sentiment DECIMAL(5,2)) USING parquet""")
-    spark.sql(f"""CREATE TABLE IF NOT EXISTS {db}.topics (date TIMESTAMP, topics STRING) USING parquet""")
-    spark.sql(f"""CREATE TABLE IF NOT EXISTS {db}.listings
-        (ad_id STRING, link STRING, price DOUBLE, bedrooms INT, bathrooms INT, living_rooms INT,
-         address STRING, distance DOUBLE, subway_station STRING) USING parquet""")
-    spark.sql(f"""CREATE TABLE IF NOT EXISTS {db}.data_lineage
-        (batch_nr BIGINT, job_nr INT, timestamp TIMESTAMP, step_airflow STRING,
-         source STRING, destination STRING) USING parquet""")
+    tables = {
+        "sentiment": "tweets STRING, date TIMESTAMP, station STRING, sentiment DECIMAL(5,2), batch_nr BIGINT",
+        "topics": "date TIMESTAMP, topics STRING, batch_nr BIGINT",
+        "listings": """ad_id STRING, link STRING, price DOUBLE, bedrooms INT, bathrooms INT, living_rooms INT,
+            address STRING, distance DOUBLE, subway_station STRING, batch_nr BIGINT""",
+        "rejected": "origin STRING, row STRING, reasons STRING, batch_nr BIGINT",
+        "data_lineage": "timestamp TIMESTAMP, step_airflow STRING, source STRING, destination STRING, batch_nr BIGINT, job_nr INT",
+    }
+    for name, columns in tables.items():
+        part = "batch_nr, job_nr" if name == "data_lineage" else "batch_nr"
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {db}.{name} ({columns}) USING parquet PARTITIONED BY ({part})")
 
 
 def append_table(df: DataFrame, name: str) -> None:
-    """Append rows to a table by column name, in one bulk write."""
+    """Append rows to a table by column name, in one bulk write. Twice is twice: a load that may be repeated is ``loads.load_batch``."""
     target = df.sparkSession.table(name)
     cols = target.columns
     out = df.select(*[F.col(c).cast(target.schema[c].dataType) for c in cols])

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from urbanlens.session import checkpoint_subdir
 
 
-def _folder(spark: SparkSession) -> str:
+def folder(spark: SparkSession) -> str:
     return checkpoint_subdir(spark, f"scratch/{spark.sparkContext.applicationId}")
 
 
@@ -24,7 +24,7 @@ def _delete(spark: SparkSession, path: str) -> None:
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df``, written as Parquet and read back: computed once, whoever reads it and whichever executor is lost."""
-    path = f"{_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = f"{folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._scratch_path = path
@@ -38,4 +38,4 @@ def forget(df: DataFrame) -> None:
 
 def clear(spark: SparkSession) -> None:
     """Delete all of this application's intermediate tables; frames that read them must have been written or collected."""
-    _delete(spark, _folder(spark))
+    _delete(spark, folder(spark))
