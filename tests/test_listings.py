@@ -59,3 +59,49 @@ def test_take_pages_while_keeps_all_without_stop(spark):
     pages = spark.createDataFrame([(0, NAV), (1, NAV)], "page_no int, html string")
     kept = L.take_pages_while(pages, L.has_next_link("html"))
     assert kept.count() == 2
+
+
+NESTED = """<main><!-- <div class="listing-card">gone</div> --><DIV data-x="a>b" class = 'wide listing-card'><div><div class=card-transport id=t>
+<div><span data-testid='london_underground'></span></div><div class="card-transport inner">x</div><p class='card-text'>0.3 miles <b>Bank &amp; Co</b></p></div></div>
+<a href='/for-sale/details/7/?x=1&amp;y=2' class="card-link">v</a><script>if (a < b) "<div></div></div></div>"</script>
+<p class="card-address">1 caf&eacute; road &frac12; &#x41;&bogus;</p><div><p class=card-price>£1,000</p></div>
+<div class='card-feature'><div>a</div>2</div><div class="card-feature"></div><div class='not-card-feature'>9</div><div class="card-feature">3</div></DIV>
+<div class="listing-card"><div class="listing-card">inner</div>tail</div></div><div class="listing-card">open <div>x</div>"""
+
+
+def test_balanced_elements(spark):
+    pages = spark.createDataFrame([(1, "u", NESTED), (2, "u", "<div class='listing-card'></div>"), (3, "u", None), (4, "u", ""), (5, "u", "</div>" * 5 + "<div class=listing-card>y</div>z")],
+                                  "page_no int, url string, html string")
+    cards = L.extract_cards(pages).orderBy("page_no", "card_no").collect()
+    assert [(r.page_no, r.card_no) for r in cards] == [(1, 0), (1, 1), (1, 2), (1, 3), (2, 0), (5, 0)]
+    assert [r.card for r in cards[1:]] == ['<div class="listing-card">inner</div>tail', "inner", "open <div>x</div>", "", "y"]
+    first = L.card_fields(L.extract_cards(pages)).where("page_no = 1 and card_no = 0").first()
+    assert first.href == "/for-sale/details/7/?x=1&y=2" and first.price_text == "£1,000" and first.address == "1 café road ½ A&bogus;"
+    assert first.transport_text == "0.3 miles Bank & Co" and first.first_icon == "london_underground" and first.has_transport
+    assert first.features == ["a2", "", "3"]
+    [out] = L.listings_from_pages(pages.where("page_no = 1").withColumn("html", F.concat("html", F.lit(NAV)))).collect()
+    assert (out.ad_id, out.price, out.address, out.distance, out.subway_station) == ("7", 1000.0, "1 café road ½ A&bogus;", 0.3, "Bank & Co")
+
+
+def test_links(spark):
+    html = """<a href="/a">1</a><A class=x HREF='/b?x=1&amp;y=2'>2</A><a name=top>no</a><!-- <a href="/c"> --><a data-u="href=/d" href=/e>5</a><a
+href = "/f>g">6</a><abbr href="/h"></abbr><script>'<a href="/i">'</script>"""
+    rows = spark.createDataFrame([(1, html), (2, None), (3, "none")], "page_id long, html string")
+    assert [(r.pos, r.href) for r in L.extract_links(rows).orderBy("pos").collect()] == [(0, "/a"), (1, "/b?x=1&y=2"), (2, "/e"), (3, "/f>g")]
+
+
+def test_deep_pages(spark):
+    deep = "<div>" * 3000 + "<div class=listing-card>" + "<div>" * 3000 + "x" + "</div>" * 6001
+    wide = "".join(f"<div class='listing-card'><div>{i}</div></div>" for i in range(1500))
+    pages = spark.createDataFrame([(1, "u", deep), (2, "u", wide)], "page_no int, url string, html string")
+    sizes = {(r.page_no, r.card_no): len(r.card) for r in L.extract_cards(pages).collect()}
+    assert sizes[1, 0] == 3000 * 11 + 1 and sum(p == 2 for p, _ in sizes) == 1500 and sizes[2, 1499] == len("<div>1499</div>")
+
+
+def test_one_read_of_the_pages(spark, tmp_path):
+    pages = [(i, "u", card(i, "£100") + (NAV if i != 2 else "")) for i in range(5)]
+    pages.append((5, "u", "no card, no link"))
+    spark.createDataFrame(pages, "page_no int, url string, html string").write.parquet(str(tmp_path / "pages"))
+    out = L.listings_from_pages(spark.read.parquet(str(tmp_path / "pages")))
+    assert sorted(r.ad_id for r in out.collect()) == ["0", "1"]
+    assert "html" not in out._jdf.queryExecution().toString()  # what is left reads the cards that were cut out

@@ -88,7 +88,7 @@ def test_keyword_edges(spark):
         tops.filter_keyword(df, "t", "two words")
 
 
-@pytest.mark.parametrize("name", ["radius_join", "collect_posts", "stem_join", "sentiment_job", "lexicon_hits", "listings_job", "station_view"])
+@pytest.mark.parametrize("name", ["radius_join", "collect_posts", "stem_join", "sentiment_job", "lexicon_hits", "extract_cards", "extract_nested_cards", "take_pages_while"])
 def test_building_a_query_runs_no_job(spark, name):
     spark.sparkContext.setJobGroup(f"build-{name}", name)
     Q.registry()[name](spark, SF)

@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from urbanlens.functions._util import as_col
+from urbanlens.functions.html import decode_entities, element_text  # noqa: F401  (part of this module's interface)
 
 # --- fixed values -----------------------------------------------------------
 VALID_PRICE_PATTERN = "^[£,0-9]+$"        # only pound sign, comma and digits
@@ -65,37 +66,6 @@ def none_to_null(c) -> Column:
     return F.nullif(as_col(c), F.lit(NONE_TEXT))
 
 
-# Named character references that listing pages use.
-ENTITIES = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\u00a0", "pound": "£", "euro": "€",
-            "ndash": "–", "mdash": "—", "lsquo": "‘", "rsquo": "’", "ldquo": "“", "rdquo": "”", "hellip": "…",
-            "middot": "·", "bull": "•", "eacute": "é", "egrave": "è", "uuml": "ü", "ouml": "ö", "auml": "ä"}
-
-
-def decode_entities(text) -> Column:
-    """Named (:data:`ENTITIES`), decimal and hexadecimal character references to characters; others stay as they are."""
-    t = as_col(text)
-    names = F.create_map(*[F.lit(x) for kv in ENTITIES.items() for x in kv])
-
-    def one(part):
-        ref = F.regexp_extract(part, "^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z]+);", 1)
-        code = (F.when(ref.rlike("^#[xX]"), F.conv(F.substring(ref, 3, 6), 16, 10).cast("long"))
-                .when(ref.startswith("#"), F.substring(ref, 2, 7).cast("long")))
-        valid = (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
-        number = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
-        char = F.coalesce(F.when(ref.startswith("#"), number).otherwise(F.element_at(names, ref)))
-        rest = F.substring(part, F.length(ref) + 2, F.length(part))
-        return F.coalesce(F.concat(char, rest), F.concat(F.lit("&"), part))
-
-    parts = F.split(t, "&", -1)
-    decoded = F.concat(F.get(parts, 0), F.array_join(F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), one), ""))
-    return F.when(t.contains("&"), decoded).otherwise(t)
-
-
-def element_text(html) -> Column:
-    """Text of a piece of HTML: tags dropped, character references decoded."""
-    return decode_entities(F.regexp_replace(as_col(html), "(?s)<[^>]*>", ""))
-
-
 def first_icon_not(icon, value: str = RAIL_ICON) -> Column:
     """Keep unless the first transport icon equals ``value``."""
     return F.coalesce(as_col(icon) != F.lit(value), F.lit(True))

@@ -1,11 +1,10 @@
 """Listing extraction from stored result pages.
 
-Pages are rows ``(page_no, html)``. Cards are cut out with ``split`` on the
-card's opening tag and ``posexplode`` (one row per card, position kept);
-every field is one ``regexp_extract`` inside its card, so the whole job is
-built-in expressions plus one keyed aggregate for the keep-first dedup.
-Class names of the source site are generated and change, so every pattern
-is an argument (:class:`CardPatterns`).
+Pages are rows ``(page_no, html)``. Cards and their fields are elements with a class, nested elements of the same name
+included (:mod:`urbanlens.functions.html`), so the whole job is built-in expressions plus one keyed aggregate for the keep-first dedup. A
+page's HTML is read once: what is cut out, narrow rows with the page's pagination flag, is written to the scratch folder, and the
+stop page and the listings both come from there. Class names of the source site are generated and change, so they are
+arguments (:class:`CardShape`).
 """
 
 from __future__ import annotations
@@ -15,40 +14,34 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from urbanlens.functions import html as H
 from urbanlens.functions import listings as lf
 from urbanlens.operators import ranking
+from urbanlens.sources.scratch import stored
 
-
-def tag(name: str, css_class: str) -> str:
-    """Pattern of an opening tag with a class among its attributes, in any order and with either quote."""
-    return rf"""<{name}\b(?=[^>]*\sclass\s*=\s*["'](?:[^"']*\s)?{css_class}(?:\s[^"']*)?["'])[^>]*>"""
-
-
-def element(name: str, css_class: str) -> str:
-    """Pattern of an element without an element of its own name inside; group 1 is its contents, over line ends."""
-    return rf"(?is){tag(name, css_class)}(.*?)</{name}\s*>"
+Element = tuple[str, str]
 
 
 @dataclass(frozen=True)
-class CardPatterns:
-    """Regular expressions locating each field (group 1 is the value)."""
-    card_open: str = "(?is)" + tag("div", "listing-card")
-    link: str = r"""(?is)<a\b(?=[^>]*\sclass\s*=\s*["'](?:[^"']*\s)?card-link(?:\s[^"']*)?["'])(?=[^>]*?\shref\s*=\s*["']([^"']*)["'])"""
-    address: str = element("p", "card-address")
-    price: str = element("p", "card-price")
-    transport: str = element("div", "card-transport")
-    icon: str = r"""(?is)\sdata-testid\s*=\s*["']([^"']*)["']"""
-    transport_text: str = element("p", "card-text")
-    feature: str = element("div", "card-feature")
-    next_page: str = "(?is)" + tag("a", "page-next")
+class CardShape:
+    """Where each field is: ``(element name, class)``; the icon is the value of an attribute."""
+    card: Element = ("div", "listing-card")
+    link: Element = ("a", "card-link")
+    address: Element = ("p", "card-address")
+    price: Element = ("p", "card-price")
+    transport: Element = ("div", "card-transport")
+    icon_attribute: str = "data-testid"
+    transport_text: Element = ("p", "card-text")
+    feature: Element = ("div", "card-feature")
+    next_page: Element = ("a", "page-next")
 
 
-DEFAULT_PATTERNS = CardPatterns()
+DEFAULT_SHAPE = CardShape()
 
 
-def has_next_link(html, patterns: CardPatterns = DEFAULT_PATTERNS):
+def has_next_link(html, shape: CardShape = DEFAULT_SHAPE) -> Column:
     """Whether a page holds the pagination link."""
-    return F.coalesce(F.col(html).rlike(patterns.next_page), F.lit(False))
+    return F.coalesce(H.visible(html).rlike("(?i)" + H.opening_with(*shape.next_page)), F.lit(False))
 
 
 def take_pages_while(pages: DataFrame, has_nav, page_col: str = "page_no",
@@ -69,48 +62,57 @@ def take_pages_while(pages: DataFrame, has_nav, page_col: str = "page_no",
     return src.where(F.col(page_col) < F.coalesce(stop, F.lit((1 << 63) - 1)))
 
 
-def extract_cards(pages: DataFrame, patterns: CardPatterns = DEFAULT_PATTERNS,
-                  page_col: str = "page_no", html_col: str = "html") -> DataFrame:
-    """one row per card ``(page_no, card_no, card)`` in page order.
+def extract_cards(pages: DataFrame, shape: CardShape = DEFAULT_SHAPE, page_col: str = "page_no", html_col: str = "html",
+                  keep: tuple[str, ...] = (), outer: bool = False) -> DataFrame:
+    """one row per card ``(page_no, keep.., card_no, card)`` in page order; ``card`` is the element's contents.
 
-    A card runs from its opening tag to the next card's opening tag (text
-    after the last card stays with it); each field takes its first match.
+    With ``outer`` a page without cards gives one row with null ``card_no`` and ``card``.
     """
-    parts = F.split(F.col(html_col), patterns.card_open, -1)
-    cards = F.slice(parts, 2, F.greatest(F.size(parts) - F.lit(1), F.lit(1)))
-    return pages.select(page_col, F.posexplode(cards).alias("card_no", "card"))
+    explode = F.posexplode_outer if outer else F.posexplode
+    rows = pages.select(page_col, *keep, H.visible(html_col).alias("_visible"))
+    return rows.select(page_col, *keep, explode(H.elements("_visible", *shape.card)).alias("card_no", "card"))
+
+
+def card_fields(cards: DataFrame, shape: CardShape = DEFAULT_SHAPE) -> DataFrame:
+    """Raw text fields of each card (empty string when a field is missing), and whether it has a transport block."""
+    kept = [x for x in cards.columns if x != "card"]
+    link, with_icon = f"(?is)({H.opening_with(*shape.link)})", f"(?is)(<[a-z][^\\s/>]*+(?=[^>]*\\s{shape.icon_attribute}\\s*=)[^>]*>)"
+    inner = {"_transport": shape.transport, "_address": shape.address, "_price": shape.price}
+    cards = cards.select("*", *[H.first_element("card", *e).alias(n) for n, e in inner.items()], H.all_elements("card", *shape.feature).alias("_features"),
+                         F.regexp_extract("card", link, 1).alias("_link"))
+    cards = cards.select("*", H.first_element("_transport", *shape.transport_text).alias("_station"), F.regexp_extract("_transport", with_icon, 1).alias("_icon"))
 
+    def text(column: Column) -> Column:
+        return F.coalesce(column, F.lit(""))
 
-def card_fields(cards: DataFrame, patterns: CardPatterns = DEFAULT_PATTERNS) -> DataFrame:
-    """Raw text fields of each card (empty string when a field is missing)."""
-    c = F.col("card")
-    transport = F.regexp_extract(c, patterns.transport, 1)
     return cards.select(
-        "page_no", "card_no",
-        lf.decode_entities(F.regexp_extract(c, patterns.link, 1)).alias("href"),
-        lf.element_text(F.regexp_extract(c, patterns.address, 1)).alias("address"),
-        lf.element_text(F.regexp_extract(c, patterns.price, 1)).alias("price_text"),
-        F.regexp_extract(c, patterns.transport, 0).alias("transport_block"),
-        F.regexp_extract(transport, patterns.icon, 1).alias("first_icon"),
-        lf.element_text(F.regexp_extract(transport, patterns.transport_text, 1)).alias("transport_text"),
-        F.transform(F.regexp_extract_all(c, F.lit(patterns.feature), F.lit(1)), lf.element_text).alias("features"),
+        *kept,
+        text(H.attribute("_link", "href")).alias("href"),
+        text(H.element_text("_address")).alias("address"),
+        text(H.element_text("_price")).alias("price_text"),
+        F.col("_transport").isNotNull().alias("has_transport"),
+        text(H.attribute("_icon", shape.icon_attribute)).alias("first_icon"),
+        text(H.element_text("_station")).alias("transport_text"),
+        H.element_texts("_features").alias("features"),
     )
 
 
-def listings_from_pages(pages: DataFrame, site_prefix: str = "https://listings.example/",
-                        patterns: CardPatterns = DEFAULT_PATTERNS,
+def listings_from_pages(pages: DataFrame, site_prefix: str = "https://listings.example/", shape: CardShape = DEFAULT_SHAPE,
                         page_col: str = "page_no", max_pages: int | None = None) -> DataFrame:
     """K4: the nine listing columns, in the original order of checks.
 
-    pages -> take-while pagination -> cards -> price and first-icon filters
-    and missing link/transport dropped -> ad id -> keep first card per ad id
-    (page, then position) -> distance parse and filter -> typed columns.
+    pages -> cards' fields and the pagination flag, written once -> take-while pagination -> price and first-icon filters
+    and missing link/transport dropped -> ad id -> keep first card per ad id (page, then position) -> distance parse and
+    filter -> typed columns. Building the plan runs the job that reads the pages.
     """
-    kept = take_pages_while(pages, has_next_link("html", patterns), page_col, max_pages)
-    cards = card_fields(extract_cards(kept.withColumnRenamed(page_col, "page_no"), patterns), patterns)
-    ok = (lf.valid_price("price_text") & lf.first_icon_not("first_icon")
-          & (F.col("href") != F.lit("")) & (F.col("transport_block") != F.lit("")))
-    cards = cards.where(ok).withColumn("ad_id", lf.parse_ad_id("href"))
+    rows = pages if max_pages is None else pages.where(F.col(page_col) <= F.lit(max_pages))
+    rows = rows.select(F.col(page_col).alias("page_no"), "html", has_next_link("html", shape).alias("has_nav"))
+    cards = card_fields(extract_cards(rows, shape, keep=("has_nav",), outer=True), shape)
+    ok = (F.col("card_no").isNotNull() & lf.valid_price("price_text") & lf.first_icon_not("first_icon") & (F.col("href") != F.lit("")) & F.col("has_transport"))
+    # of a page without the link one row stays whatever its cards are: it is where the run may stop
+    mark = ~F.col("has_nav") & (F.coalesce("card_no", F.lit(0)) == 0)
+    cards = stored(cards.withColumn("ok", ok).where(F.col("ok") | mark), "cards")
+    cards = take_pages_while(cards, "has_nav").where("ok").withColumn("ad_id", lf.parse_ad_id("href"))
     first = ranking.dedup_first(cards, "ad_id", ["page_no", "card_no"])
     dist = lf.parse_distance("transport_text")
     out = first.select(
@@ -130,9 +132,8 @@ def listings_from_pages(pages: DataFrame, site_prefix: str = "https://listings.e
 
 
 def extract_links(pages: DataFrame, key: str = "page_id", html_col: str = "html") -> DataFrame:
-    """``(key, pos, href)`` for every ``<a href="...">`` in a page, in order."""
-    hrefs = F.regexp_extract_all(F.col(html_col), F.lit('<a href="([^"]*)"'), F.lit(1))
-    return pages.select(key, F.posexplode(hrefs).alias("pos", "href"))
+    """``(key, pos, href)`` for every ``<a>`` with an ``href`` in a page, in order."""
+    return pages.select(key, F.posexplode(H.links(html_col)).alias("pos", "href"))
 
 
 def folded(name) -> Column:

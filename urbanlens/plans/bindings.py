@@ -136,7 +136,22 @@ def card_html(k, name, price, icon, dist, size) -> Column:
         F.lit('<div class="card-features">'), feats, F.lit("</div></div>"))
 
 
-def card_pages_from_part(part: DataFrame) -> DataFrame:
+def nested_card_html(k, name, price, icon, dist, size) -> Column:
+    """A card as pages write them: wrappers of the same element name, comments, either quote or none, references, a script."""
+    quote = F.when(k % 2 == 0, F.lit("'")).otherwise(F.lit('"'))
+    feature = lambda n: F.concat(F.lit("<div class="), quote, F.lit("x card-feature"), quote, F.lit("><div class=icon><div></div></div>"), n.cast("string"), F.lit("</div>"))
+    feats = F.concat(*[F.when(k % 4 >= i + 1, feature(size % m + 1)).otherwise(F.lit("")) for i, m in enumerate((5, 3, 2))])
+    transport = F.when(k % NO_TRANSPORT_EVERY == 0, F.lit('<!-- <div class="card-transport"><p class="card-text">9 miles none</p></div> -->')).otherwise(F.concat(
+        F.lit('<DIV data-n="a>b" class='), quote, F.lit("card-transport wide"), quote, F.lit("><div><div class=pad></div></div><span data-testid="), quote, icon, quote,
+        F.lit("></span><div><p class=card-text>"), dist, F.lit("</p></div><span data-testid=london_underground></span></DIV>")))
+    return F.concat(
+        F.lit("<div\nid=c"), k.cast("string"), F.lit(" class="), quote, F.lit("listing-card"), quote, F.lit("><div><a href="), quote, F.lit("/for-sale/details/"),
+        ad_number(k).cast("string"), F.lit("/?x=1&amp;y=2"), quote, F.lit(" class=card-link>view</a></div><script>var s = '</div>';</script><p class="), quote, F.lit("card-address"), quote,
+        F.lit("><b>"), name, F.lit("</b> &eacute;&#33;</p><div class=box><p class=card-price>"), F.replace(price, F.lit("£"), F.lit("&pound;")), F.lit("</p></div>"), transport,
+        F.lit("<div class=card-features>"), feats, F.lit("</div></div>"))
+
+
+def card_pages_from_part(part: DataFrame, card=card_html) -> DataFrame:
     """part -> result pages ``(page_no, url, html)``, 25 cards per page.
 
     The page at three quarters of the page range and the last page lack the
@@ -147,9 +162,11 @@ def card_pages_from_part(part: DataFrame) -> DataFrame:
     icon = F.when(k % RAIL_EVERY == 0, F.lit("national_rail_station")).otherwise(F.lit("london_underground"))
     cards = part.select(
         (k / F.lit(CARDS_PER_PAGE)).cast("long").alias("page_no"), k.alias("k"),
-        card_html(k, F.col("p_name"), price_text(k, F.col("p_retailprice")), icon,
+        card(k, F.col("p_name"), price_text(k, F.col("p_retailprice")), icon,
                   distance_text(k, F.col("p_size")), F.col("p_size")).alias("card"))
-    pages = cards.groupBy("page_no").agg(
+    # pages are to come from as many tasks as a table of files would; they are small, and Spark would gather them in one
+    shards = int(part.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pages = cards.repartition(shards, "page_no").groupBy("page_no").agg(
         F.concat_ws("", F.transform(F.sort_array(F.collect_list(F.struct("k", "card"))),
                                     lambda x: x["card"])).alias("body"))
     last = part.agg(F.max((k / F.lit(CARDS_PER_PAGE)).cast("long"))).scalar()

@@ -324,6 +324,24 @@ LEFT JOIN (SELECT lower(trim(name)) AS k, {_MEAN} AS avg_sentiment, count(*) AS
   FROM (SELECT *, CASE WHEN post_id % 2 = 0 THEN ' ' || upper(station) ELSE station END AS name FROM ({_sent(('station',))}))
   GROUP BY 1) m ON h.k = m.k""")
 
+# What is written into the nested cards, taken from the table and not from the pages.
+_NESTED = f"""(SELECT (p_partkey // {B.CARDS_PER_PAGE})::INTEGER AS page_no,
+  (row_number() OVER (PARTITION BY p_partkey // {B.CARDS_PER_PAGE} ORDER BY p_partkey) - 1)::INTEGER AS card_no,
+  '/for-sale/details/' || {_AD}::VARCHAR || '/?x=1&y=2' AS href, p_name || ' é!' AS address, {_price_text()} AS price_text,
+  p_partkey % {B.NO_TRANSPORT_EVERY} <> 0 AS has_transport,
+  CASE WHEN p_partkey % {B.NO_TRANSPORT_EVERY} = 0 THEN '' ELSE {_ICON} END AS first_icon,
+  CASE WHEN p_partkey % {B.NO_TRANSPORT_EVERY} = 0 THEN '' ELSE {_dist_text()} END AS transport_text,
+  [(p_size % 5 + 1)::VARCHAR, (p_size % 3 + 1)::VARCHAR, (p_size % 2 + 1)::VARCHAR][1:p_partkey % 4] AS features FROM part)"""
+oracle("extract_nested_cards", f"SELECT * REPLACE (array_to_string(features, ',') AS features) FROM {_NESTED}")
+_LAST = f"(SELECT max(p_partkey // {B.CARDS_PER_PAGE}) FROM part)"
+oracle("listings_job_nested", f"""SELECT ad_id, {sql_str(Q.SITE_PREFIX)} || href[2:] AS link, replace(price_text[2:], ',', '')::DOUBLE AS price,
+  features[1]::INTEGER AS bedrooms, features[2]::INTEGER AS bathrooms, features[3]::INTEGER AS living_rooms, address,
+  {_DPARTS}[1]::DOUBLE AS distance, {_DPARTS}[2] AS subway_station
+FROM (SELECT *, row_number() OVER (PARTITION BY ad_id ORDER BY page_no, card_no) AS rn
+  FROM (SELECT *, split_part(href, '/', 4) AS ad_id FROM {_NESTED}
+    WHERE page_no < least(floor(({_LAST} + 1) * 3 / 4.0), {_LAST}) AND regexp_full_match(price_text, '[£,0-9]+') AND has_transport AND first_icon <> 'national_rail_station'))
+WHERE rn = 1 AND len({_DPARTS}) > 1""")
+
 # ---- load, lineage ---------------------------------------------------------------
 
 oracle("batch_number", """SELECT o_orderkey, strftime(o_orderdate, '%Y%m%d')::BIGINT AS batch_nr,

@@ -379,6 +379,22 @@ def q_extract_cards(spark, sf):
                                     "first_icon", "transport_text")
 
 
+def _nested_pages(spark, sf):
+    return B.card_pages_from_part(B.table(spark, sf, "part"), B.nested_card_html)
+
+
+@query("extract_nested_cards")
+def q_extract_nested_cards(spark, sf):
+    from urbanlens.operators import listings as L
+    return L.card_fields(L.extract_cards(_nested_pages(spark, sf))).withColumn("features", F.array_join("features", ","))
+
+
+@query("listings_job_nested")
+def q_listings_job_nested(spark, sf):
+    from urbanlens.operators import listings as L
+    return L.listings_from_pages(_nested_pages(spark, sf), site_prefix=SITE_PREFIX)
+
+
 @query("first_icon_filter")
 def q_first_icon_filter(spark, sf):
     from urbanlens.functions import listings as lf
