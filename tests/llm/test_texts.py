@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from urbanlens.llm import bpe, decontam, repeats, simhash, sketch
@@ -224,27 +225,52 @@ def test_common_phrase_joins_no_pairs(spark, rows, monkeypatch):
 
 # --- sketches
 
+def sketch_by_hand(hashes):
+    """The definition: all distinct hashes below the fraction, and the smallest ones if these are too few."""
+    distinct = sorted(set(hashes))
+    below = [h for h in distinct if h < (1 << 62) // sketch.SCALE]
+    if len(below) >= sketch.FLOOR:
+        return (1 << 62) // sketch.SCALE, below
+    few = distinct[:sketch.FLOOR]
+    return few[-1] + 1 if len(distinct) > sketch.FLOOR else 1 << 62, few
+
+
+def likeness(a, b):
+    """Containment from two fingerprints' strings alone."""
+    (la, x), (lb, y) = ((int(f.split(":")[0]), {int(h) for h in f.split(":")[1].split(",") if h}) for f in (a, b))
+    if not x and not y:
+        return 1.0
+    x = {h for h in x if h < min(la, lb)}
+    return len(x & y) / len(x) if x else 0.0
+
+
+def all_hashes(spark, texts):
+    from urbanlens.llm.common import shingle_hashes, words
+    df = spark.createDataFrame(list(enumerate(texts)), "i long, t string").select("i", shingle_hashes(words(F.col("t")), 5).alias("h"))
+    return {texts[r.i]: [(h % (1 << 64)) >> 2 for h in r.h] for r in df.collect()}
+
+
 def test_sketches_of_edits(spark, rows):
     rnd = random.Random(5)
-    texts = [None, "", "one", "ünï çödé 😀 text", *(prose(rnd, rnd.choice([3, 30, 300, 3000])) for _ in range(12))]
-    texts.append(texts[-1])
+    texts = [None, "", "one", "ünï çödé 😀 text", *(prose(rnd, rnd.choice([3, 30, 300, 3000, 9000])) for _ in range(14)), "same " * 3000, "same " * 30]
+    texts.append(texts[-3])
     data = [(3 * i + 1, t) for i, t in enumerate(texts)]
     got = {r.doc_id: r for r in sketch.compare_with_edits(docs_of(rows, data)).collect()}
     assert len(got) == len(data)
-
-    def shingles(t):
-        w = t.lower().split()
-        return {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+    edits = {}
     for k, (i, t) in enumerate(data):
         t, following = t or "", data[(k + 1) % len(data)][1] or ""
-        edited = t[:len(t) - len(t) // 2] + following[:len(t) // 2]
-        r, a = got[i], shingles(t)
+        edits[i] = (t, t[:len(t) - len(t) // 2] + following[:len(t) // 2], following)
+    hashes = all_hashes(spark, sorted({x for e in edits.values() for x in e}))
+    written = {t: "{}:{}".format(limit, ",".join(map(str, kept))) for t, h in hashes.items() for limit, kept in [sketch_by_hand(h)]}
+    for i, (t, edited, following) in edits.items():
+        r = got[i]
         assert (r.n_chars, r.edited_sha256) == (len(t), hashlib.sha256(edited.encode()).hexdigest())
-        for near, other in ((r.near_edited, edited), (r.near_next, following)):
-            b = shingles(other)
-            exact = len(a & b) / len(a) if a else float(not b)
-            assert abs(near - exact) <= (0.25 if len(a) > 200 else 0.0 if len(b) < 250 else 0.5)
-    assert len({r.fingerprint for i, r in got.items() if i == data[-1][0] or i == data[-2][0]}) == 1
+        assert (r.fingerprint, r.edited_fingerprint) == (written[t], written[edited])
+        assert r.near_edited == likeness(r.fingerprint, r.edited_fingerprint) and r.near_next == likeness(written[t], written[following])
+        a, b = set(hashes[t]), set(hashes[edited])
+        exact = len(a & b) / len(a) if a else float(not b)
+        assert abs(r.near_edited - exact) <= (0.2 if len(a | b) > sketch.FLOOR else 0.0)
 
 
 def test_sketch_odd_ids_and_merge(spark, rows):
@@ -254,13 +280,16 @@ def test_sketch_odd_ids_and_merge(spark, rows):
     assert len(out) == 4 and {r.edited_sha256 for r in out} == edits
     assert sketch.compare_with_edits(docs_of(rows, [(5, "abcd")])).first().edited_sha256 == hashlib.sha256(b"abab").hexdigest()
     assert sketch.compare_with_edits(docs_of(rows, [])).count() == 0
+
+
+def test_merged_sketches_are_those_of_the_union(spark):
     rnd = random.Random(6)
-    halves = spark.createDataFrame([(1, prose(rnd, 900)), (1, prose(rnd, 60)), (2, "")], "k long, text string").select("k", sketch.sketch("text").alias("sketch"))
-    parts = halves.collect()
-    merged = {r.k: r.sketch for r in sketch.merge_sketches(halves, "k").collect()}
-    scale = max(p.sketch.scale for p in parts if p.k == 1)
-    assert merged[1].scale == scale and merged[1].hashes == sorted({h for p in parts if p.k == 1 for h in p.sketch.hashes if h < (1 << 62) // scale})
-    assert merged[2].hashes == []
+    parts = [(1, prose(rnd, 900)), (1, prose(rnd, 60)), (2, ""), (3, prose(rnd, 40)), (3, prose(rnd, 20)), (4, prose(rnd, 9000)), (4, prose(rnd, 7000)), (5, prose(rnd, 9000)), (5, "a b c d e f")]
+    hashes = all_hashes(spark, [t for _, t in parts])
+    df = spark.createDataFrame(parts, "k long, text string").select("k", sketch.sketch(F.col("text")).alias("sketch"))
+    merged = {r.k: (r.sketch.limit, r.sketch.hashes) for r in sketch.merge_sketches(df, "k").collect()}
+    for k in {k for k, _ in parts}:
+        assert merged[k] == sketch_by_hand([h for j, t in parts if j == k for h in hashes[t]])
 
 
 def test_sketch_of_a_short_text_in_a_long_one(spark, rows):
@@ -269,25 +298,14 @@ def test_sketch_of_a_short_text_in_a_long_one(spark, rows):
     def text(n):
         return " ".join("".join(rnd.choice("abcdefghij") for _ in range(6)) for _ in range(n))
     data = []
-    for i in range(12):
-        short = text(45 if i < 6 else 300)
-        data += [(2 * i, short), (2 * i + 1, f"{text(1500)} {short if i % 2 else ''} {text(1500)}")]
-    data += [(100, "same " * 3000), (101, text(40)), (102, ""), (103, text(3000)), (104, None)]
+    for i in range(24):
+        short = text(200 if i < 12 else 400)
+        data += [(2 * i, short), (2 * i + 1, f"{text(700)} {short if i % 2 else ''} {text(700)}")]
+    data += [(100, text(40)), (101, ""), (102, None)]
     got = {r.doc_id: r for r in sketch.compare_with_edits(docs_of(rows, data)).collect()}
-    assert [got[2 * i].near_next for i in range(12)] == [float(i % 2) for i in range(12)]
-    assert got[101].near_next == 0.0 and got[102].near_next == 0.0 and got[103].near_next == 0.0
-    pairs = docs_of(rows, data).selectExpr("doc_id AS k", "text").withColumn("s", sketch.sketch("text"))
-    pairs = pairs.alias("a").join(pairs.alias("b")).selectExpr("a.k AS a", "b.k AS b", "a.s AS x", "b.s AS y")
-    found = {(r.a, r.b): r for r in pairs.select("a", "b", sketch.containment(pairs.x, pairs.y).alias("c"), sketch.similarity(pairs.x, pairs.y).alias("j"),
-                                                 "x", "y").collect()}
-    for i in range(0, 12, 2):  # no text of these lies in the other one
-        assert found[2 * i, 2 * i + 1].c in (None, 0.0)
-    for r in found.values():
-        at = max(r.x.scale, r.y.scale)
-        kept = [h for h in r.x.hashes if h < (1 << 62) // at]
-        assert (r.c is None) == (not kept and bool(r.x.hashes or r.x.scale > 1))
-    assert found[102, 104].c == 1.0 and found[102, 104].j == 1.0 and found[102, 101].c == 0.0 and found[102, 101].j == 0.0
-    assert any(found[2 * i, 2 * i + 1].c is None for i in range(6))  # sketches alone can't tell
+    assert [got[2 * i].near_next for i in range(24)] == [float(i % 2) for i in range(24)]
+    assert got[100].near_next == got[101].near_edited * 0 == 0.0 and got[101].near_next == 1.0
+    assert all(r[c] is not None and 0 <= r[c] <= 1 for r in got.values() for c in ("near_edited", "near_next", "jaccard_edited", "jaccard_next"))
 
 
 # --- repeats

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from urbanlens.session import checkpoint_subdir
+from urbanlens.sources.scratch import forget, stored
 
 #: A side is broadcast only when its proven size is at most this many bytes.
 BROADCAST_BYTES = 8 << 20
@@ -22,23 +24,22 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
     Cuts the lineage with files that every executor can read, so a lost executor costs only its running tasks;
-    the scan that follows has exact sizes, and a join of two such scans is one that AQE can split when a key is hot.
+    the scan that follows has exact sizes, and a join of two such scans is one that AQE can split when a key is hot. All
+    tables of an application are in one folder, which ``urbanlens.sources.scratch.clear`` deletes when results have been written.
     """
-    spark = df.sparkSession
-    path = shared_path(spark, name)
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._urbanlens_path = path
-    return out
+    return stored(df, name)
 
 
 def discard(df: DataFrame | None) -> None:
     """Delete a table made by :func:`materialize` once nothing will read it again."""
-    path = getattr(df, "_urbanlens_path", None)
-    if path:
-        jvm = df.sparkSession.sparkContext._jvm
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    if hasattr(df, "_scratch_path"):
+        forget(df)
+
+
+def sealed(docs: DataFrame) -> tuple[DataFrame, dict[str, str], Callable[[DataFrame], DataFrame]]:
+    """``docs`` with columns named by number, the new name of each, and what gives them back: no column of a caller's clashes with one of ours."""
+    own = [f"_own_{i}" for i in range(len(docs.columns))]
+    return docs.toDF(*own), dict(zip(docs.columns, own, strict=True)), lambda df: df.select(*own).toDF(*docs.columns)
 
 
 def is_empty(df: DataFrame) -> bool:

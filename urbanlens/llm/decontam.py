@@ -13,8 +13,8 @@ here the *items* are sketched and whole documents are looked up:
   items brought together, so that a phrase common to many items doesn't join all of them with all documents that have it.
 * What passes is verified by counting all of the item's shingles that the document has.
 
-Scale: one pass over the texts, no shuffle of texts: their shingle hashes meet the items' hashes in a broadcast join when the counted items
-prove it small (8 bytes a shingle), in a shuffled one otherwise; only hashes that occur in some item go on. Documents that
+Scale: one pass over all texts, no shuffle of texts: their shingle hashes meet the leading sketch hashes in a broadcast join when the counted items
+prove it small, in a shuffled one otherwise; only the documents that share one are read and cut up a second time, for all of the items' shingles. Documents that
 hold the same passage by the thousand give rows in proportion to what they contain.
 
 Words are runs of letters, marks and digits in lower case, so that punctuation doesn't hide a passage.
@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from urbanlens.llm.common import BROADCAST_BYTES, let, materialize, shingle_hashes
+from urbanlens.llm.common import BROADCAST_BYTES, let, materialize, sealed, shingle_hashes
 
 
 def plain_words(text: Column) -> Column:
@@ -72,24 +72,32 @@ def find_contained(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id",
                    item_text_col: str = "text", shingle: int = 5, threshold: float = 0.8, short_runs: bool = False) -> DataFrame:
     """``id, text_hash, item_id, n_shared, n_item, containment`` for every item that a document contains."""
     shingles = materialize(item_shingles(items, id_col=item_id_col, text_col=item_text_col, shingle=shingle).distinct(), "decontam-items")
-    listed = materialize(shingles.groupBy("hash").agg(F.min("q").alias("least_q")), "decontam-hashes")
+    listed = materialize(shingles.select("hash").distinct(), "decontam-hashes")
     n_rows = shingles.count()
     small = n_rows * 64 <= BROADCAST_BYTES
     side = (lambda t: F.broadcast(t)) if small else (lambda t: t)
     shorter = short_lengths(items, text_col=item_text_col, shingle=shingle) if short_runs else []
-    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), distinct_shingles(F.col(text_col), shingle, shorter).alias("hashes"))
-    rows = rows.select("id", "text_hash", F.size("hashes").alias("n_doc"), F.explode("hashes").alias("hash"))
-    hits = rows.join(side(listed), "hash").filter(F.col("n_doc") >= F.col("least_q") * threshold - 1e-9)
-    hits = materialize(hits.select("id", "text_hash", "n_doc", "hash"), "decontam-hits")
-    key = ["id", "text_hash", "item_id"]
     sketched = materialize(sketches(shingles, threshold), "decontam-sketches")
-    pairs = hits.join(side(sketched.filter("lead")), "hash").select(*key).distinct()
+    lead = sketched.filter("lead").join(shingles.select("item_id", "q").distinct(), "item_id").select("item_id", "hash", "q")
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
+
+    def spread(rows: DataFrame) -> DataFrame:
+        hashes = rows.select("id", "text_hash", distinct_shingles(F.col("text"), shingle, shorter).alias("hashes"))
+        return hashes.select("id", "text_hash", F.size("hashes").alias("n_doc"), F.explode("hashes").alias("hash"))
+
+    # documents meet the items' sketches; only those that share a leading hash with an item are cut up again, for all of the items' shingles
+    key = ["id", "text_hash", "item_id"]
+    met = spread(rows).join(side(lead), "hash").filter(F.col("n_doc") >= F.col("q") * threshold - 1e-9)
+    pairs = materialize(met.select(*key).distinct(), "decontam-pairs")
+    some = pairs.select(F.col("id").alias("p_id"), F.col("text_hash").alias("p_hash")).distinct()
+    again = rows.join(some, F.col("id").eqNullSafe(F.col("p_id")) & (F.col("text_hash") == F.col("p_hash")), "left_semi")
+    hits = materialize(spread(again).join(side(listed), "hash", "left_semi").select("id", "text_hash", "hash").distinct(), "decontam-hits")
 
     def held(wanted: DataFrame) -> DataFrame:
         """The rows ``id, text_hash, item_id, hash`` whose hash the document has: only pairs in question are spread out."""
         h = hits.select(*(F.col(k).alias(f"h_{k}") for k in ("id", "text_hash", "hash")))
         return wanted.join(h, F.col("id").eqNullSafe(F.col("h_id")) & (F.col("text_hash") == F.col("h_text_hash")) & (F.col("hash") == F.col("h_hash")), "left_semi")
-    possible = held(materialize(pairs, "decontam-pairs").join(side(sketched), "item_id"))
+    possible = held(pairs.join(side(sketched), "item_id"))
     possible = possible.groupBy(*key).agg(F.count("*").alias("n"), F.first("least").alias("least")).filter("n >= least").select(*key)
     exact = held(materialize(possible, "decontam-possible").join(side(shingles), "item_id"))
     counted = exact.groupBy(*key).agg(F.count("*").alias("n_shared"), F.first("q").cast("long").alias("n_item"))
@@ -100,5 +108,6 @@ def find_contained(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id",
 def remove_contaminated(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that contain no item."""
     found = find_contained(docs, items, id_col=id_col, text_col=text_col, **options)
-    bad = materialize(found.select(F.col(id_col).alias("_bad_id"), F.col("text_hash").alias("_bad_hash")).distinct(), "decontam-bad")
-    return docs.join(bad, docs[id_col].eqNullSafe(F.col("_bad_id")) & (F.xxhash64(docs[text_col]) == F.col("_bad_hash")), "left_anti")
+    bad = materialize(found.select(F.col(id_col).alias("bad_id"), F.col("text_hash").alias("bad_hash")).distinct(), "decontam-bad")
+    rows, name, restored = sealed(docs)
+    return restored(rows.join(bad, F.col(name[id_col]).eqNullSafe(F.col("bad_id")) & (F.xxhash64(name[text_col]) == F.col("bad_hash")), "left_anti"))

@@ -2,8 +2,8 @@
 
 Every text, in lower case and UTF-8, is cut into fixed-length windows of bytes; filters of several widths over embedded bytes are max-pooled over
 a window and a softmax layer gives its languages; the text's answer is the mean over all of its windows, by their bytes. Trained in numpy on a
-bounded sample: at most about ``docs_per_language`` rows of each language (by a hash of the id, the same rows on every run), at most
-``windows_per_doc`` windows of each. Scoring is one pass without a shuffle; the model is a broadcast of fixed size (under 10 MB).
+bounded sample of labelled rows: at most about ``docs_per_language`` rows of each of the ``languages_learned`` commonest languages and ``docs_in_all`` of all
+together (by a hash of the id, the same rows on every run), none of more than ``longest`` characters, at most ``windows_per_doc`` windows of each. Scoring is one pass without a shuffle; the model is a broadcast of fixed size (under 10 MB).
 
 Edge cases: null texts and texts without a letter are ``und`` with score 0; a table with no labelled row answers ``und`` for all; rows with null
 language or null id are never learned from; repeated rows get the same answer; other columns are ignored.
@@ -22,8 +22,6 @@ from urbanlens.llm.common import held_out, returning_memory
 from urbanlens.llm.conv import Adam, MaxConv, softmax, windows
 
 WINDOW, WIDTHS, FILTERS, DIM = 256, (2, 4, 6), 16, 8
-#: Texts longer than this many characters are not learned from, so that the sample's size is bounded in bytes.
-LONGEST = 200_000
 
 
 def text_ids(text: str) -> np.ndarray:
@@ -89,15 +87,17 @@ def sample_windows(texts: list[str], labels: list[int], per_doc: int, seed: int
 
 
 def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", docs_per_language: int = 1200,
-          windows_per_doc: int = 6) -> ByteNet | None:
-    """A network from the rows that are not held out; None if no row has a language."""
+          docs_in_all: int = 40_000, languages_learned: int = 200, longest: int = 200_000, windows_per_doc: int = 6) -> ByteNet | None:
+    """A network from the rows that are not held out; None if no row has a language. The bounds are those of the sample of labelled rows."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).filter(
-        ~held_out(F.col("id")) & F.col("lang").isNotNull() & (F.length("text").between(1, LONGEST)))
-    counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row per language
+        ~held_out(F.col("id")) & F.col("lang").isNotNull() & (F.length("text").between(1, longest)))
+    common = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(languages_learned)
+    counts = {r.lang: r.n for r in common.collect()}  # a row for each language learned
     if not counts:
         return None
     languages = sorted(counts)
-    share = F.create_map(*(F.lit(v) for lang in languages for v in (lang, int(1e6 * min(1.0, docs_per_language / counts[lang])))))
+    each = min(docs_per_language, docs_in_all // len(languages))
+    share = F.create_map(*(F.lit(v) for lang in languages for v in (lang, int(1e6 * min(1.0, each / counts[lang])))))
     sample = rows.filter(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < F.element_at(share, F.col("lang"))).select("id", "lang", "text").toPandas()
     sample = sample.sort_values(["id", "text"]).drop_duplicates()
     number = {lang: i for i, lang in enumerate(languages)}

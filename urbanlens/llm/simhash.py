@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
-from urbanlens.llm.common import discard, is_empty, materialize
+from urbanlens.llm.common import discard, is_empty, materialize, sealed
 from urbanlens.llm.components import components
 
 #: Fixed value: the seed of the shingle hash.
@@ -226,14 +226,16 @@ def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 
     Rows that repeat an id count as one; of rows without id one stays if its group has no id at all.
     """
-    groups = near_duplicates(docs, id_col=id_col, text_col=text_col, shingle=shingle, distance=distance)
-    kept = groups.filter(F.col(id_col).eqNullSafe(F.col("component_id"))).select(
-        F.col(id_col).alias("_kept_id"), F.col("code").alias("_kept_code"), F.col("root").alias("_kept_root"))
+    groups = near_duplicates(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), id_col="id", text_col="text", shingle=shingle, distance=distance)
+    kept = groups.filter(F.col("id").eqNullSafe(F.col("component_id"))).select(
+        F.col("id").alias("kept_id"), F.col("code").alias("kept_code"), F.col("root").alias("kept_root"))
     kept = materialize(kept, "simhash-kept")
-    if not is_empty(kept.groupBy("_kept_id").agg(F.count("*").alias("n")).filter("n > 1 or _kept_id is null")):
+    rows, name, restored = sealed(docs)
+    own_id, own_text = F.col(name[id_col]), F.col(name[text_col])
+    if not is_empty(kept.groupBy("kept_id").agg(F.count("*").alias("n")).filter("n > 1 or kept_id is null")):
         # repeated or missing ids: the row is found by its fingerprint too, and one row of a group is chosen
-        own = docs.withColumn("_own_code", fingerprint_column(F.col(text_col), shingle))
-        rows = own.join(kept.distinct(), own[id_col].eqNullSafe(F.col("_kept_id")) & (F.col("_own_code") == F.col("_kept_code")))
-        first = Window.partitionBy("_kept_root").orderBy(F.col(text_col))
-        return rows.withColumn("_place", F.row_number().over(first)).filter("_place = 1").select(*(rows[c] for c in docs.columns))
-    return docs.join(kept.select("_kept_id"), docs[id_col] == F.col("_kept_id"), "left_semi")
+        coded = rows.withColumn("own_code", fingerprint_column(own_text, shingle))
+        found = coded.join(kept.distinct(), own_id.eqNullSafe(F.col("kept_id")) & (F.col("own_code") == F.col("kept_code")))
+        first = Window.partitionBy("kept_root").orderBy(own_text)
+        return restored(found.withColumn("place", F.row_number().over(first)).filter("place = 1"))
+    return restored(rows.join(kept.select("kept_id"), own_id == F.col("kept_id"), "left_semi"))

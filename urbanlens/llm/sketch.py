@@ -1,20 +1,19 @@
 """Threshold-scaled document sketches, DataFrame functions only.
 
-A sketch keeps every distinct shingle hash that falls below a fixed fraction, one in ``scale``, of the hash range. Whether a shingle is kept
-depends on its hash alone, so sketches of parts merge by union, equal texts have equal sketches, and ``|A & B| / |A|`` estimates
-what part of A is in B even when B is thousands of times longer. Of a short text one in 64 would keep nothing: by its number of
-words alone it uses one in 8 or all. Two sketches are compared (or merged) at the smaller of their fractions, which a
-sketch reaches by dropping hashes; where that leaves nothing to compare, the result is null (unknown). What part of a short text is in a long
-one is therefore asked of the long *text*: ``sketch_beside`` looks up all hashes that A kept, whatever B's own fraction.
+A sketch keeps every distinct shingle hash below a fixed fraction, one in ``SCALE``, of the hash range, the same for all texts, and at least the ``FLOOR``
+smallest (all, if there are fewer). Whether a hash is below the fraction depends on the hash alone, so sketches of parts merge by union, equal texts have
+equal sketches, and ``|A & B| / |A|`` estimates what part of A is in B even when B is thousands of times longer. The floor is part of the
+definition and keeps short texts comparable; it merges too, as the smallest hashes of a union are among the smallest of its parts. A
+sketch says below which ``limit`` it has all of the text's hashes: the fraction's, or that of its largest kept hash, or the whole range. Two sketches
+are compared below the smaller limit, from what they hold and nothing else.
 
 ``neighbours`` puts every document beside the next one by ascending id without a global window: ids (not texts) are range-sorted,
-each range finds its successors, and the ranges' first ids, one row per partition, close the gaps. Texts then move twice: each
-document to its own id, and to its predecessor's.
+each range finds its successors, and the ranges' first ids, one row per partition, close the gaps. A text is cut into shingles once, where it is
+read; its predecessor is sent the sketch, and of the text the start that an edit of the predecessor's length takes.
 
-Edge cases: null and blank texts have the empty sketch (likeness 1 to another empty one, 0 to any other); a long text of few different
-shingles may keep no hash (its likeness is unknown); texts of fewer
-words than a shingle are one shingle; rows that repeat an id follow one another's successor, and of them the smallest text is
-the one that precedes; a null id sorts first; a single document is its own successor; other columns are ignored.
+Edge cases: null and blank texts have the empty sketch (likeness 1 to another empty one, 0 to any other); where A keeps no hash below the common limit, the
+likeness is 0; texts of fewer words than a shingle are one shingle; rows that repeat an id follow one another's successor, and of them the
+smallest text is the one that precedes; a null id sorts first; a single document is its own successor; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,77 +23,70 @@ from pyspark.sql import functions as F
 
 from urbanlens.llm.common import is_empty, let, materialize, shingle_hashes, words
 
-#: A text of at least ``least * s`` words keeps one hash in s, for the largest s of these.
-SCALES, LEAST = (64, 8, 1), 32
+#: One hash in ``SCALE`` is kept, and the ``FLOOR`` smallest in any case.
+SCALE, FLOOR = 32, 128
 _RANGE = 1 << 62
+_LIMIT = _RANGE // SCALE
+_EMPTY = "array<bigint>"
 
 
-def _limit(scale: Column) -> Column:
-    return F.call_function("div", F.lit(_RANGE), scale)
+def _limited(smallest: Column, below: Column) -> Column:
+    """The sketch, given the ``FLOOR + 1`` smallest distinct hashes and all distinct ones below the fraction, both ascending."""
+    few = F.struct(F.when(F.size(smallest) > FLOOR, F.element_at(smallest, FLOOR) + 1).otherwise(F.lit(_RANGE)).alias("limit"), F.slice(smallest, 1, FLOOR).alias("hashes"))
+    return F.when(F.size(below) >= FLOOR, F.struct(F.lit(_LIMIT).alias("limit"), below.alias("hashes"))).otherwise(few)
 
 
-def _hashes(w: Column, n: int) -> Column:
-    return F.transform(shingle_hashes(w, n), lambda h: F.shiftrightunsigned(h, 2))
-
-
-def _sketch_of(w: Column, hashes: Column) -> Column:
-    scale = F.lit(SCALES[-1])
-    for s in reversed(SCALES[:-1]):
-        scale = F.when(F.size(w) >= LEAST * s, F.lit(s)).otherwise(scale)
-    kept = let(_limit(scale), lambda limit: F.filter(hashes, lambda h: h < limit))
-    return F.struct(scale.alias("scale"), F.array_sort(F.array_distinct(kept)).alias("hashes"))
+def _sketch_of(hashes: Column) -> Column:
+    def of(h: Column) -> Column:
+        below = F.array_sort(F.array_distinct(F.filter(h, lambda x: x < _LIMIT)))
+        return let(below, lambda b: F.when(F.size(b) >= FLOOR, F.struct(F.lit(_LIMIT).alias("limit"), b.alias("hashes"))).otherwise(
+            let(F.slice(F.array_sort(F.array_distinct(h)), 1, FLOOR + 1), lambda s: _limited(s, F.slice(b, 1, 0)))))
+    return let(hashes, of)
 
 
 def sketch(text: Column, n: int = 5) -> Column:
-    """``struct<scale int, hashes array<bigint>>``, hashes distinct and ascending, from shingles of ``n`` words."""
-    return let(words(text), lambda w: _sketch_of(w, _hashes(w, n)))
-
-
-def sketch_beside(text: Column, a: Column, n: int = 5) -> Column:
-    """The sketch of ``text`` and, as ``part``, the estimate of what part of A's shingles the text has; null if sketch A has no hash of a text with words.
-
-    A's hashes are looked up among all of the text's where its sketch holds a smaller fraction than A.
-    """
-    def beside(hashes: Column, s: Column) -> Column:
-        found = F.size(F.array_intersect(a["hashes"], F.when(a["scale"] < s["scale"], hashes).otherwise(s["hashes"]))).cast("double")
-        part = F.when(F.size(a["hashes"]) > 0, found / F.size(a["hashes"])).when(_blank(a), _blank(s).cast("double"))
-        return F.struct(s["scale"].alias("scale"), s["hashes"].alias("hashes"), part.alias("part"))
-    return let(words(text), lambda w: let(_hashes(w, n), lambda hashes: let(_sketch_of(w, hashes), lambda s: beside(hashes, s))))
+    """``struct<limit bigint, hashes array<bigint>>``, hashes distinct and ascending, from shingles of ``n`` words."""
+    return let(words(text), lambda w: _sketch_of(F.transform(shingle_hashes(w, n), lambda h: F.shiftrightunsigned(h, 2))))
 
 
 def sketch_text(s: Column) -> Column:
-    """The sketch as a string: scale and hashes."""
-    return F.concat(s["scale"].cast("string"), F.lit(":"), F.array_join(s["hashes"].cast("array<string>"), ","))
+    """The sketch as a string: limit and hashes."""
+    return F.concat(s["limit"].cast("string"), F.lit(":"), F.array_join(s["hashes"].cast("array<string>"), ","))
 
 
 def _compare(a: Column, b: Column, ratio) -> Column:
-    limit = _limit(F.greatest(a["scale"], b["scale"]))
-    both = let(limit, lambda m: F.struct(F.filter(a["hashes"], lambda h: h < m).alias("x"), F.filter(b["hashes"], lambda h: h < m).alias("y")))
+    both = let(F.least(a["limit"], b["limit"]), lambda m: F.struct(F.filter(a["hashes"], lambda h: h < m).alias("x"), F.filter(b["hashes"], lambda h: h < m).alias("y")))
     return let(both, lambda p: let(F.size(F.array_intersect(p["x"], p["y"])).cast("double"), lambda n: ratio(n, F.size(p["x"]), F.size(p["y"]))))
 
 
 def _blank(s: Column) -> Column:
-    """A sketch of no shingles at all: one that keeps every hash and has none."""
-    return (s["scale"] == SCALES[-1]) & (F.size(s["hashes"]) == 0)
+    return F.size(s["hashes"]) == 0
 
 
 def containment(a: Column, b: Column) -> Column:
-    """Estimate of the part of A's shingles that B has; null if A keeps no hash at the common fraction."""
-    return _compare(a, b, lambda n, x, y: F.when(x > 0, n / x).when(_blank(a), _blank(b).cast("double")))
+    """Estimate, from 0 to 1, of the part of A's shingles that B has."""
+    return _compare(a, b, lambda n, x, y: F.when(x > 0, n / x).otherwise((_blank(a) & _blank(b)).cast("double")))
 
 
 def similarity(a: Column, b: Column) -> Column:
-    """Estimate of the Jaccard similarity of A's and B's shingles; null if neither keeps a hash at the common fraction."""
-    return _compare(a, b, lambda n, x, y: F.when(x + y > 0, n / (x + y - n)).when(_blank(a) | _blank(b), (_blank(a) & _blank(b)).cast("double")))
+    """Estimate, from 0 to 1, of the Jaccard similarity of A's and B's shingles."""
+    return _compare(a, b, lambda n, x, y: F.when(x + y > 0, n / (x + y - n)).otherwise((_blank(a) & _blank(b)).cast("double")))
 
 
 def merge_sketches(parts: DataFrame, key: str, sketch_col: str = "sketch") -> DataFrame:
-    """The sketch of the union of each key's parts, at the smallest fraction among them."""
-    scale = parts.groupBy(key).agg(F.max(f"{sketch_col}.scale").alias("scale"))
+    """The sketch of the union of each key's parts.
+
+    Only the hashes below the least limit count, each once; those below the fraction stay, and the smallest if these are too few.
+    """
+    limits = parts.groupBy(key).agg(F.min(f"{sketch_col}.limit").alias("least"))
     hashes = parts.select(key, F.explode(f"{sketch_col}.hashes").alias("hash")).distinct()
-    kept = hashes.join(scale, key).filter(F.col("hash") < _limit(F.col("scale")))
-    lists = kept.groupBy(key).agg(F.array_sort(F.collect_list("hash")).alias("hashes"))
-    return scale.join(lists, key, "left").select(key, F.struct("scale", F.coalesce("hashes", F.array().cast("array<bigint>")).alias("hashes")).alias(sketch_col))
+    hashes = hashes.join(limits, key).filter("hash < least")
+    place = F.row_number().over(Window.partitionBy(key).orderBy("hash"))
+    lists = hashes.withColumn("place", place).filter((F.col("hash") < _LIMIT) | (F.col("place") <= FLOOR + 1)).groupBy(key).agg(
+        F.array_sort(F.collect_list("hash")).alias("kept"))
+    rows = limits.join(lists, key, "left").withColumn("kept", F.coalesce("kept", F.array().cast(_EMPTY)))
+    merged = _limited(F.slice("kept", 1, FLOOR + 1), F.filter("kept", lambda h: h < _LIMIT))
+    return rows.select(key, F.struct(F.least(merged["limit"], F.col("least")).alias("limit"), merged["hashes"].alias("hashes")).alias(sketch_col))
 
 
 def successors(ids: DataFrame, id_col: str) -> DataFrame:
@@ -110,28 +102,35 @@ def successors(ids: DataFrame, id_col: str) -> DataFrame:
     return ranged.withColumn("inner", inner).join(F.broadcast(after), "range").select("id", F.coalesce("inner", "beyond")["id"].alias("next_id"))
 
 
-def neighbours(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, text, next_text`` for every row; null texts are empty."""
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+def neighbours(rows: DataFrame, ahead: list[Column]) -> DataFrame:
+    """``rows``, a stored table ``id, text, n_chars, s``, with the columns ``ahead`` of the next document by id; ``half`` in these is half of the row's own length."""
     chain = materialize(successors(rows, "id"), "sketch-chain").select(F.col("id").alias("prev_id"), F.col("next_id"))
     single = rows
-    if not is_empty(docs.groupBy(id_col).agg(F.count("*").alias("n")).filter("n > 1")):
-        single = rows.groupBy("id").agg(F.min("text").alias("text"))
-    ahead = single.join(chain.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("next_id"))).select("prev_id", F.col("text").alias("next_text"))
-    return rows.join(ahead.hint("merge"), F.col("id").eqNullSafe(F.col("prev_id"))).select("id", "text", "next_text")
+    if not is_empty(rows.groupBy("id").agg(F.count("*").alias("n")).filter("n > 1")):
+        single = rows.groupBy("id").agg(F.min(F.struct("text", "n_chars", "s")).alias("r")).select("id", "r.*")
+    # of repeated ids the longest row says how much of the next text may be wanted
+    halves = rows.groupBy(F.col("id").alias("prev_id")).agg(F.max(F.floor(F.col("n_chars") / 2)).alias("half"))
+    wanted = chain.join(halves.withColumnRenamed("prev_id", "own"), F.col("prev_id").eqNullSafe(F.col("own"))).select("prev_id", "next_id", "half")
+    wanted = materialize(wanted, "sketch-wanted")
+    sent = single.join(wanted.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("next_id"))).select("prev_id", *ahead)
+    return rows.join(sent.hint("merge"), F.col("id").eqNullSafe(F.col("prev_id"))).drop("prev_id")
 
 
 def compare_with_edits(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5) -> DataFrame:
-    """Every document's sketch beside those of its edited text (its second half replaced by the next document's start) and of the next document."""
-    n = F.length("text")
-    half = F.floor(n / 2).cast("int")
-    rows = neighbours(docs, id_col=id_col, text_col=text_col)
-    rows = rows.select("id", n.cast("long").alias("n_chars"), "text", "next_text",
-                       F.concat(F.substring("text", F.lit(1), n - half), F.substring("next_text", F.lit(1), half)).alias("edited"))
-    rows = rows.select(F.col("id").alias(id_col), "n_chars", F.sha2("edited", 256).alias("edited_sha256"), F.array(let(sketch(F.col("text"), shingle), lambda a: F.struct(
-        a.alias("a"), sketch_beside(F.col("edited"), a, shingle).alias("e"), sketch_beside(F.col("next_text"), a, shingle).alias("x")))).alias("s"))
-    rows = rows.select(id_col, "n_chars", "edited_sha256", F.explode("s").alias("s"))  # sketches are computed once, below this step
-    a, e, x = F.col("s.a"), F.col("s.e"), F.col("s.x")
-    return rows.select(id_col, "n_chars", "edited_sha256", sketch_text(a).alias("fingerprint"), sketch_text(e).alias("edited_fingerprint"),
-                       e["part"].alias("near_edited"), x["part"].alias("near_next"),
-                       similarity(a, e).alias("jaccard_edited"), similarity(a, x).alias("jaccard_next"))
+    """Every document's sketch beside those of its edited text (its second half replaced by the next document's start) and of the next document.
+
+    ``near_edited`` and ``near_next`` estimate what part of the document's shingles the edited text and the next one have.
+    """
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.col(id_col).alias("id"), text.alias("text"))
+    rows = rows.select("id", "text", F.length("text").cast("long").alias("n_chars"), F.explode(F.array(sketch(F.col("text"), shingle))).alias("s"))
+    rows = materialize(rows, "sketch-own")  # cut into shingles once
+    half = F.floor(F.col("n_chars") / 2).cast("int")
+    pairs = neighbours(rows, [F.substring("text", F.lit(1), F.col("half").cast("int")).alias("start"), F.col("s").alias("x")])
+    edited = F.concat(F.substring("text", F.lit(1), F.col("n_chars").cast("int") - half), F.substring("start", F.lit(1), half))
+    pairs = pairs.select(F.col("id").alias(id_col), "n_chars", edited.alias("edited"), "s", "x")
+    pairs = pairs.select(id_col, "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "s", "x", F.explode(F.array(sketch(F.col("edited"), shingle))).alias("e"))
+    a, e, x = F.col("s"), F.col("e"), F.col("x")
+    return pairs.select(id_col, "n_chars", "edited_sha256", sketch_text(a).alias("fingerprint"), sketch_text(e).alias("edited_fingerprint"),
+                        containment(a, e).alias("near_edited"), containment(a, x).alias("near_next"),
+                        similarity(a, e).alias("jaccard_edited"), similarity(a, x).alias("jaccard_next"))

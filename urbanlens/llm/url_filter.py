@@ -69,11 +69,12 @@ def probe(candidates: DataFrame, key: str, blocks: DataFrame, n_blocks: int, sma
     return hit.drop("block", *_WORDS)
 
 
-def canonical_keys(host: Column, path: Column, path_lengths: Sequence[int]) -> Column:
-    """Every string a fitting rule can have: label suffixes of the host times path prefixes of the listed lengths."""
-    labels = F.split(host, r"\.", -1)
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)),
-                           lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+def canonical_keys(host: Column, path: Column, path_lengths: Sequence[int], labels: int) -> Column:
+    """Every string a fitting rule can have: suffixes of the host of up to ``labels`` labels times path prefixes of the listed lengths.
+
+    No listed host has more labels, so that a host of any length has a bounded number of keys.
+    """
+    suffixes = F.array_distinct(F.array(*(F.substring_index(host, ".", -k) for k in range(1, labels + 1))))
     lengths = F.filter(F.array(*(F.lit(int(n)) for n in path_lengths)), lambda n: n <= F.length(path))
     return F.flatten(F.transform(F.filter(suffixes, lambda s: s != ""),
                                  lambda s: F.transform(lengths, lambda n: F.concat(s, F.substring(path, F.lit(1), n)))))
@@ -85,17 +86,18 @@ def judge_urls(pages: DataFrame, rules: DataFrame, *, id_col: str = "page_id", u
     rows = pages.select(F.col(id_col), url_host(F.col(url_col)).alias("host"), url_path(F.col(url_col)).alias("path"))
     listed = rules.filter("host != '' and path is not null").groupBy(
         F.concat(ascii_lower(F.col("host")), "path").alias("rule"), F.length("path").alias("path_length")).agg(
-        F.max("verdict").alias("rule_verdict"))  # of 'allow' and 'block' the larger is 'block'
+        F.max("verdict").alias("rule_verdict"),  # of 'allow' and 'block' the larger is 'block'
+        F.max(F.size(F.split("host", r"\.", -1))).alias("labels"))
     listed = materialize(listed, "url-rules")
     shape = listed.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("rule")), F.lit(0)).alias("chars"),
-                       F.collect_set("path_length").alias("lengths")).first()  # as many lengths as URLs can have: bounded
+                       F.max("labels").alias("labels"), F.collect_set("path_length").alias("lengths")).first()  # as many lengths as URLs can have: bounded
     if shape.n == 0:
         return rows.select(id_col, "host", "path", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"))
     n_blocks = max(1, -(-shape.n * BITS_PER_KEY // 256))
     small_filter, small_rules = n_blocks * 40 <= BROADCAST_BYTES, shape.n * 64 + 4 * shape.chars <= BROADCAST_BYTES
     blocks = bloom_blocks(listed, "rule", n_blocks)
     keys = rows.select("host", "path").distinct().select(
-        "host", "path", F.explode(canonical_keys(F.col("host"), F.col("path"), sorted(shape.lengths))).alias("rule"))
+        "host", "path", F.explode(canonical_keys(F.col("host"), F.col("path"), sorted(shape.lengths), shape.labels)).alias("rule"))
     if not small_filter:
         keys = materialize(keys, "url-keys")
         blocks = materialize(blocks, "url-filter")

@@ -27,6 +27,7 @@ import json
 import uuid
 import zlib
 from collections.abc import Iterator
+from urllib.parse import quote
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -37,6 +38,7 @@ from urbanlens.llm.common import materialize, shared_path
 MANIFEST = "file string, temporary string, n_records long, n_bytes long, sha256 string, first_key long, last_key long"
 RECORD = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
 _BUFFER = 1 << 20
+_SLICE = 1 << 13
 
 
 def plan_records(pages: DataFrame, *, key: str = "page_id", url: str = "url", html: str = "html",
@@ -59,6 +61,14 @@ def record_id(key: int | None, digest: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{key}/{digest}')}>"
 
 
+def target_headers(key: int | None, url: str | None) -> list[tuple[str, str]]:
+    """The target URI as it is; one that is missing, or that no header line can hold, has a stand-in and is written as JSON beside it."""
+    if url and url.isprintable() and url == url.strip():
+        return [("WARC-Target-URI", url)]
+    stand_in = quote(url, safe="/:?#[]@!$&'()*+,;=%") if url else f"urn:x-page:{key}"
+    return [("WARC-Target-URI", stand_in), ("X-Original-URI", json.dumps(url))]
+
+
 def encode_record(r: dict, date: str) -> bytes:
     """One WARC/1.1 record; ``r`` has the columns of :func:`plan_records`."""
     revisit = r["refers_to"] is not None
@@ -66,7 +76,7 @@ def encode_record(r: dict, date: str) -> bytes:
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {r['payload_bytes']}\r\n\r\n".encode()
     block = http + payload
     head = [("WARC-Type", "revisit" if revisit else "response"), ("WARC-Record-ID", record_id(r["page_id"], r["payload_digest"])),
-            ("WARC-Date", date), ("WARC-Target-URI", json.dumps(r["url"])),  # JSON: no line end can enter a header
+            ("WARC-Date", date), *target_headers(r["page_id"], r["url"]),
             ("WARC-Payload-Digest", f"sha256:{r['payload_digest']}"), ("WARC-Block-Digest", f"sha256:{hashlib.sha256(block).hexdigest()}"),
             ("Content-Type", "application/http; msgtype=response"), ("X-Payload-Length", str(r["payload_bytes"]))]
     if r["page_id"] is not None:
@@ -163,15 +173,19 @@ def write_warc(pages: DataFrame, folder: str, *, key: str = "page_id", url: str
 def _members(store, path: str) -> Iterator[bytes]:
     """The gzip members of a file, one at a time."""
     with store.open_input_stream(path, compression=None) as stream:
-        data = stream.read(_BUFFER)
+        data, at = stream.read(_BUFFER), 0
         while data:
             z, parts = zlib.decompressobj(31), []
             while not z.eof:
-                if not data:
-                    raise ValueError(f"{path}: the last record is cut off")
-                parts.append(z.decompress(data))
-                data = z.unused_data if z.eof else stream.read(_BUFFER)
-            data = data or stream.read(_BUFFER)
+                if at == len(data):
+                    data, at = stream.read(_BUFFER), 0
+                    if not data:
+                        raise ValueError(f"{path}: the last record is cut off")
+                piece = data[at:at + _SLICE]  # what a member leaves over is copied: a slice at most
+                parts.append(z.decompress(piece))
+                at += len(piece) - len(z.unused_data)
+            if at == len(data):
+                data, at = stream.read(_BUFFER), 0
             yield b"".join(parts)
 
 
@@ -190,7 +204,7 @@ def decode_record(record: bytes) -> dict:
         n, found = len(payload), hashlib.sha256(payload).hexdigest()
         if found != digest or n != int(h["X-Payload-Length"]):
             raise ValueError("payload and digest differ")
-    return {"page_id": int(h["X-Record-Key"]) if "X-Record-Key" in h else None, "url": json.loads(h["WARC-Target-URI"]), "payload_bytes": n,
+    return {"page_id": int(h["X-Record-Key"]) if "X-Record-Key" in h else None, "url": json.loads(h["X-Original-URI"]) if "X-Original-URI" in h else h["WARC-Target-URI"], "payload_bytes": n,
             "payload_digest": digest, "record_type": h["WARC-Type"], "refers_to": int(h["X-Refers-To-Key"]) if revisit else None}
 
 
