@@ -21,6 +21,7 @@ cleaning step removes those characters before scoring.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -89,6 +90,38 @@ SPECIAL_CASES = {
 # -----------------------------------------------------------------------------
 
 
+@dataclass(frozen=True)
+class RuleWords:
+    """The words that the rules beside lexicon, boosters and negators listen to."""
+    but: str = "but"
+    least: str = "least"
+    least_spared_after: tuple[str, ...] = ("at", "very")
+    no: str = "no"
+    no_linked_by: tuple[str, ...] = ("or", "nor")
+    never: str = "never"
+    so_this: tuple[str, ...] = ("so", "this")
+    without: str = "without"
+    doubt: str = "doubt"
+
+
+RULE_WORDS = RuleWords()
+
+
+def two_places(compound) -> Column:
+    """a four-place score rounded to two places as ``round(x, 2)`` does it, by the exact value of the double.
+
+    In ten-thousandths only ``..50`` is open. There the double lies above or below the decimal, or on it (then the even neighbour is taken);
+    the double times 2^60 is an integer, so comparing is exact.
+    """
+    x = as_col(compound)
+    u = F.abs(F.round(x * 10000.0).cast("long"))
+    q, r = F.call_function("div", u, F.lit(100)), u % 100
+    exact = (F.abs(x) * F.lit(float(1 << 60))).cast("long").cast("decimal(19,0)") * F.lit(10000).cast("decimal(5,0)")
+    decimal = u.cast("decimal(14,0)") * F.lit(1 << 60).cast("decimal(19,0)")
+    up = (F.when(r != 50, (r > 50).cast("long")).when(exact > decimal, F.lit(1)).when(exact < decimal, F.lit(0)).otherwise(q % 2))
+    return F.signum(x) * (q + up) / 100.0 + 0.0
+
+
 def _lookup(c: Column, mapping: Mapping[str, float]) -> Column:
     """Value of ``c`` in a small constant mapping, NULL when absent.
 
@@ -154,7 +187,7 @@ def lexicon_table(lexicon: DataFrame, token_col: str = "token",
             .select("lx_token", F.when(F.col("lo") != F.col("hi"), both).otherwise(F.col("hi")).alias("lx_valence")))
 
 
-def post_words(posts: DataFrame, key: str, text: str, carry: Sequence[str] = ()) -> DataFrame:
+def post_words(posts: DataFrame, key: str, text: str, carry: Sequence[str] = (), but: str = RULE_WORDS.but) -> DataFrame:
     """N1.1: ``(key, carry.., pos, w, p1, p2, p3, n1, n2, capdiff, but_pos, amp, null_text)``.
 
     ``p*`` are the previous and ``n*`` the next words (original case); built
@@ -188,7 +221,7 @@ def post_words(posts: DataFrame, key: str, text: str, carry: Sequence[str] = ())
     staged = staged.select(
         F.col(key), *[F.col(c) for c in carry], "null_text", "amp",
         F.coalesce(capdiff, F.lit(False)).alias("capdiff"),
-        (F.coalesce(F.array_position(F.transform(words, F.lower), "but"), F.lit(0))
+        (F.coalesce(F.array_position(F.transform(words, F.lower), but), F.lit(0))
          - F.lit(1)).alias("but_pos"),
         F.arrays_zip(words.alias("w"), prev(1).alias("p1"), prev(2).alias("p2"), prev(3).alias("p3"),
                      nxt(1).alias("n1"), nxt(2).alias("n2")).alias("_ctx"),
@@ -230,10 +263,38 @@ def _negated(lw: Column, negators) -> Column:
     return _in(lw, negators) | F.coalesce(lw.contains("n't"), F.lit(False))
 
 
+def idiom_table(idioms: DataFrame, phrase_col: str = "phrase", valence_col: str = "valence") -> DataFrame:
+    """One valence per lower-cased phrase, its words joined by one blank; a phrase with two valences fails the job."""
+    phrase = F.array_join(F.filter(F.split(F.lower(F.col(phrase_col)), r"\s+"), lambda w: w != ""), " ")
+    rows = idioms.select(phrase.alias("phrase"), F.col(valence_col).cast("double").alias("v"))
+    both = F.raise_error(F.concat(F.lit("two valences of one idiom: "), F.col("phrase"))).cast("double")
+    return (rows.groupBy("phrase").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
+            .select("phrase", F.when(F.col("lo") != F.col("hi"), both).otherwise(F.col("hi")).alias("idiom")))
+
+
+def idiom_join(df: DataFrame, key: str, idioms: DataFrame) -> DataFrame:
+    """N1.8 with a table of any size: ``df`` (after :func:`lexicon_join`) and the valence ``idiom`` of the phrase that a hit stands in or behind.
+
+    The seven runs of words around a hit are exploded in the order in which one overrides the other, joined with the phrases
+    by equality, and the best of each hit is joined back. Only hits take part, as narrow rows.
+    """
+    w, p1, p2, p3, n1, n2 = (F.lower(c) for c in ("w", "p1", "p2", "p3", "n1", "n2"))
+
+    def run(*words: Column) -> Column:
+        return F.concat_ws(" ", *words)
+
+    runs = [F.when(n2.isNotNull(), run(w, n1, n2)), F.when(n1.isNotNull(), run(w, n1)), run(p1, w), run(p2, p1, w), run(p2, p1), run(p3, p2, p1), run(p3, p2)]
+    around = df.where(F.col("v0").isNotNull()).select(key, "pos", F.posexplode(F.array(*runs)).alias("rank", "phrase")).where("phrase is not null")
+    found = around.join(idiom_table(idioms), "phrase").groupBy(key, "pos").agg(F.min_by("idiom", "rank").alias("idiom"))
+    return df.join(found, [key, "pos"], "left")
+
+
 def score_words(df: DataFrame, boosters: Mapping[str, float] = BOOSTERS, negators=NEGATORS,
-                idioms: Mapping[str, float] = SPECIAL_CASES, out_col: str = "s") -> DataFrame:
+                idioms: Mapping[str, float] | None = SPECIAL_CASES, out_col: str = "s", rules: RuleWords = RULE_WORDS) -> DataFrame:
     """N1.2-N1.8: valence of each exploded word row (after :func:`lexicon_join`).
 
+    ``idioms``: a small mapping, or None if :func:`idiom_join` has looked them up.
+
     Each rule is one projection over the previous one's column, so the plan
     stays small (the rules feed the running valence into each other).
     """
@@ -243,7 +304,7 @@ def score_words(df: DataFrame, boosters: Mapping[str, float] = BOOSTERS, negator
     lp = [F.col("_l1"), F.col("_l2"), F.col("_l3")]
     n1, n2 = F.col("_n1"), F.col("_n2")
     inp = [F.col("in1"), F.col("in2"), F.col("in3")]
-    so_this = ("so", "this")
+    so_this = rules.so_this
 
     def guarded(e):
         # rules only run for lexicon hits; every other word scores 0
@@ -254,9 +315,9 @@ def score_words(df: DataFrame, boosters: Mapping[str, float] = BOOSTERS, negator
                    guarded(F.lower(F.col("n1"))).alias("_n1"), guarded(F.lower(F.col("n2"))).alias("_n2"))
     lw = F.col("_lw")
     # "no" before a lexicon word, and negation by a nearby "no"
-    no_near = _eq(lp[0], "no") | _eq(lp[1], "no") | (_eq(lp[2], "no") & _in(lp[0], ("or", "nor")))
+    no_near = _eq(lp[0], rules.no) | _eq(lp[1], rules.no) | (_eq(lp[2], rules.no) & _in(lp[0], rules.no_linked_by))
     va = (F.when(no_near, v0 * F.lit(N_SCALAR))
-          .when(_eq(lw, "no") & n1.isNotNull() & F.col("inn1"), F.lit(0.0))
+          .when(_eq(lw, rules.no) & n1.isNotNull() & F.col("inn1"), F.lit(0.0))
           .otherwise(v0))
     df = df.select("*", guarded(va).alias("_va"))
     # ALL-CAPS emphasis
@@ -278,14 +339,14 @@ def score_words(df: DataFrame, boosters: Mapping[str, float] = BOOSTERS, negator
         if k == 0:
             ng = F.when(_negated(lp[0], negators), nv * F.lit(N_SCALAR)).otherwise(nv)
         elif k == 1:
-            ng = (F.when(_eq(lp[1], "never") & _in(lp[0], so_this), nv * F.lit(1.25))
-                  .when(_eq(lp[1], "without") & _eq(lp[0], "doubt"), nv)
+            ng = (F.when(_eq(lp[1], rules.never) & _in(lp[0], so_this), nv * F.lit(1.25))
+                  .when(_eq(lp[1], rules.without) & _eq(lp[0], rules.doubt), nv)
                   .when(_negated(lp[1], negators), nv * F.lit(N_SCALAR))
                   .otherwise(nv))
         else:
-            ng = (F.when((_eq(lp[2], "never") & _in(lp[1], so_this)) | _in(lp[0], so_this),
+            ng = (F.when((_eq(lp[2], rules.never) & _in(lp[1], so_this)) | _in(lp[0], so_this),
                          nv * F.lit(1.25))
-                  .when(_eq(lp[2], "without") & (_eq(lp[1], "doubt") | _eq(lp[0], "doubt")), nv)
+                  .when(_eq(lp[2], rules.without) & (_eq(lp[1], rules.doubt) | _eq(lp[0], rules.doubt)), nv)
                   .when(_negated(lp[2], negators), nv * F.lit(N_SCALAR))
                   .otherwise(nv))
         df = df.select("*", guarded(ng).alias(f"_ng{k}"))
@@ -298,9 +359,9 @@ def score_words(df: DataFrame, boosters: Mapping[str, float] = BOOSTERS, negator
 
     # "least" before the word negates it, unless "at least" / "very least"
     v = F.col("_v3")
-    least_prev = _eq(lp[0], "least") & ~inp[0]
+    least_prev = _eq(lp[0], rules.least) & ~inp[0]
     v = (F.when(least_prev & lp[1].isNotNull(),
-                F.when(_in(lp[1], ("at", "very")), v).otherwise(v * F.lit(N_SCALAR)))
+                F.when(_in(lp[1], rules.least_spared_after), v).otherwise(v * F.lit(N_SCALAR)))
          .when(least_prev, v * F.lit(N_SCALAR))
          .otherwise(v))
     skip = _in(lw, list(boosters)) | (_eq(lw, "kind") & _eq(n1, "of"))
@@ -310,10 +371,12 @@ def score_words(df: DataFrame, boosters: Mapping[str, float] = BOOSTERS, negator
 
 
 def _idioms(df: DataFrame, v: Column, lw: Column, lp, n1: Column, n2: Column,
-            idioms: Mapping[str, float], boosters: Mapping[str, float], guarded) -> DataFrame:
+            idioms: Mapping[str, float] | None, boosters: Mapping[str, float], guarded) -> DataFrame:
     def cat(*cs):
         return F.concat_ws(" ", *cs)
 
+    if idioms is None:
+        return _with_booster_phrases(df, F.coalesce("idiom", v), lp, boosters, guarded)
     seqs = [cat(lp[0], lw), cat(lp[1], lp[0], lw), cat(lp[1], lp[0]),
             cat(lp[2], lp[1], lp[0]), cat(lp[2], lp[1])]
     hit = F.coalesce(*[_lookup(q, idioms) for q in seqs], v)
@@ -322,6 +385,13 @@ def _idioms(df: DataFrame, v: Column, lw: Column, lp, n1: Column, n2: Column,
     i = F.coalesce(F.when(n1.isNotNull(), _lookup(cat(lw, n1), idioms)), i)
     df = df.select("*", guarded(i).alias("_i2"))
     i = F.coalesce(F.when(n2.isNotNull(), _lookup(cat(lw, n1, n2), idioms)), F.col("_i2"))
+    return _with_booster_phrases(df, i, lp, boosters, guarded)
+
+
+def _with_booster_phrases(df: DataFrame, i: Column, lp, boosters: Mapping[str, float], guarded) -> DataFrame:
+    def cat(*cs):
+        return F.concat_ws(" ", *cs)
+
     add = None
     for g in (cat(lp[2], lp[1], lp[0]), cat(lp[2], lp[1]), cat(lp[1], lp[0])):
         term = F.coalesce(_lookup(g, boosters), F.lit(0.0))
@@ -339,11 +409,13 @@ def but_weight() -> Column:
 
 def sentiment_score(posts: DataFrame, key: str, text: str, lexicon: DataFrame,
                     boosters: Mapping[str, float] = BOOSTERS, negators=NEGATORS,
-                    idioms: Mapping[str, float] = SPECIAL_CASES,
+                    idioms: Mapping[str, float] | DataFrame = SPECIAL_CASES,
                     carry: Sequence[str] = (), places: int = 4,
-                    display_places: int | None = 2) -> DataFrame:
+                    display_places: int | None = 2, rules: RuleWords = RULE_WORDS) -> DataFrame:
     """``(key, carry.., compound[, sentiment])`` per post.
 
+    ``idioms`` is a small mapping or a table ``(phrase, valence)`` of any size.
+
     ``compound`` is rounded to ``places`` (4, as the model reports it);
     ``sentiment`` is the two-place display value of the original job. Empty
     text scores 0.0 and null text gives null. ``key`` must identify a post:
@@ -351,8 +423,11 @@ def sentiment_score(posts: DataFrame, key: str, text: str, lexicon: DataFrame,
     """
     if key not in posts.columns:
         raise ValueError(f"sentiment_score needs a post key column, {key!r} not found")
-    words = post_words(posts, key, text, carry)
-    scored = score_words(lexicon_join(words, lexicon), boosters, negators, idioms)
+    words = lexicon_join(post_words(posts, key, text, carry, rules.but), lexicon)
+    as_table = isinstance(idioms, DataFrame)
+    if as_table:
+        words = idiom_join(words, key, idioms)
+    scored = score_words(words, boosters, negators, None if as_table else idioms, rules=rules)
     scored = scored.withColumn("s", F.col("s") * but_weight())
     sums = scored.groupBy(key).agg(
         F.sum("s").alias("sum_s"), F.sum(is_anchor().cast("int")).alias("n_posts"),
@@ -366,7 +441,8 @@ def sentiment_score(posts: DataFrame, key: str, text: str, lexicon: DataFrame,
     compound = F.when(F.col("null_text"), F.lit(None).cast("double")).otherwise(compound)
     out = sums.select(key, *carry, compound.alias("compound"))
     if display_places is not None:
-        out = out.withColumn("sentiment", F.round(F.col("compound"), display_places))
+        shown = two_places("compound") if (places, display_places) == (4, 2) else F.round("compound", display_places)
+        out = out.withColumn("sentiment", shown)
     return out
 
 

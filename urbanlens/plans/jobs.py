@@ -71,7 +71,7 @@ def sentiment_job(posts: DataFrame, lexicon: DataFrame, key: str = "post_id",
         idioms=S.SPECIAL_CASES if idioms is None else idioms,
         carry=("date", "station"), places=4, display_places=None)
     scored = scored.select(key, "date", "station",
-                           F.round("compound", places).alias("sentiment"))
+                           (S.two_places("compound") if places == 2 else F.round("compound", places)).alias("sentiment"))
     return scored.join(cleaned.select(key, "tweets"), key, "inner").select(
         key, "date", "station", "tweets", "sentiment")
 

@@ -44,7 +44,7 @@ def _negated(c: str, negators) -> str:
 
 def sentiment_sql(posts_sql: str, key: str, text_expr: str, lexicon: Mapping[str, float],
                   boosters: Mapping[str, float], negators, idioms: Mapping[str, float],
-                  carry: tuple[str, ...] = (), places: int = 4) -> str:
+                  carry: tuple[str, ...] = (), places: int = 4, rules: S.RuleWords = S.RULE_WORDS) -> str:
     """SQL returning ``(key, carry.., compound)`` for ``posts_sql`` rows."""
     punct = "[" + "".join("\\" + ch for ch in S.PUNCTUATION) + "]"
     edge = _s(f"^{punct}+|{punct}+$")
@@ -82,15 +82,15 @@ def sentiment_sql(posts_sql: str, key: str, text_expr: str, lexicon: Mapping[str
     coalesce(lower(p3) IN (SELECT t FROM lex), false) AS in3,
     coalesce(n1 IN (SELECT t FROM lex), false) AS inn1
   FROM ctx c LEFT JOIN lex lx ON lower(c.w0) = lx.t)""")
-    no_near = f"({_eq('l1', 'no')} OR {_eq('l2', 'no')} OR ({_eq('l3', 'no')} AND {_in('l1', ('or', 'nor'))}))"
+    no_near = f"({_eq('l1', rules.no)} OR {_eq('l2', rules.no)} OR ({_eq('l3', rules.no)} AND {_in('l1', rules.no_linked_by)}))"
     stages.append(f"""sa AS MATERIALIZED (SELECT *,
     CASE WHEN {no_near} THEN v0 * {S.N_SCALAR}
-         WHEN {_eq('lw', 'no')} AND n1 IS NOT NULL AND inn1 THEN 0.0 ELSE v0 END AS va FROM look)""")
+         WHEN {_eq('lw', rules.no)} AND n1 IS NOT NULL AND inn1 THEN 0.0 ELSE v0 END AS va FROM look)""")
     stages.append(f"""sb AS MATERIALIZED (SELECT *,
     CASE WHEN {_upper('w0')} AND capdiff THEN (CASE WHEN va > 0 THEN va + {S.C_INCR} ELSE va - {S.C_INCR} END)
          ELSE va END AS v_0 FROM sa)""")
     prev = "sb"
-    so_this = ("so", "this")
+    so_this = rules.so_this
     for k in range(3):
         pk, lk, ink = f"p{k + 1}", f"l{k + 1}", f"in{k + 1}"
         v = f"v_{k}"
@@ -104,13 +104,13 @@ def sentiment_sql(posts_sql: str, key: str, text_expr: str, lexicon: Mapping[str
         if k == 0:
             neg = f"CASE WHEN {_negated('l1', negators)} THEN {nv} * {S.N_SCALAR} ELSE {nv} END"
         elif k == 1:
-            neg = (f"CASE WHEN {_eq('l2', 'never')} AND {_in('l1', so_this)} THEN {nv} * 1.25"
-                   f" WHEN {_eq('l2', 'without')} AND {_eq('l1', 'doubt')} THEN {nv}"
+            neg = (f"CASE WHEN {_eq('l2', rules.never)} AND {_in('l1', so_this)} THEN {nv} * 1.25"
+                   f" WHEN {_eq('l2', rules.without)} AND {_eq('l1', rules.doubt)} THEN {nv}"
                    f" WHEN {_negated('l2', negators)} THEN {nv} * {S.N_SCALAR} ELSE {nv} END")
         else:
-            neg = (f"CASE WHEN ({_eq('l3', 'never')} AND {_in('l2', so_this)}) OR {_in('l1', so_this)}"
+            neg = (f"CASE WHEN ({_eq('l3', rules.never)} AND {_in('l2', so_this)}) OR {_in('l1', so_this)}"
                    f" THEN {nv} * 1.25"
-                   f" WHEN {_eq('l3', 'without')} AND ({_eq('l2', 'doubt')} OR {_eq('l1', 'doubt')}) THEN {nv}"
+                   f" WHEN {_eq('l3', rules.without)} AND ({_eq('l2', rules.doubt)} OR {_eq('l1', rules.doubt)}) THEN {nv}"
                    f" WHEN {_negated('l3', negators)} THEN {nv} * {S.N_SCALAR} ELSE {nv} END")
         stages.append(f"st{k}b AS MATERIALIZED (SELECT *, {neg} AS ng{k} FROM st{k}a)")
         res = f"ng{k}"
@@ -131,9 +131,9 @@ def sentiment_sql(posts_sql: str, key: str, text_expr: str, lexicon: Mapping[str
         stages.append(f"st{k}c AS MATERIALIZED (SELECT *, CASE WHEN {pk} IS NOT NULL AND NOT {ink} THEN {res} "
                       f"ELSE v_{k} END AS v_{k + 1} FROM {last})")
         prev = f"st{k}c"
-    least = (f"CASE WHEN {_eq('l1', 'least')} AND NOT in1 AND l2 IS NOT NULL THEN"
-             f" (CASE WHEN {_in('l2', ('at', 'very'))} THEN v_3 ELSE v_3 * {S.N_SCALAR} END)"
-             f" WHEN {_eq('l1', 'least')} AND NOT in1 THEN v_3 * {S.N_SCALAR} ELSE v_3 END")
+    least = (f"CASE WHEN {_eq('l1', rules.least)} AND NOT in1 AND l2 IS NOT NULL THEN"
+             f" (CASE WHEN {_in('l2', rules.least_spared_after)} THEN v_3 ELSE v_3 * {S.N_SCALAR} END)"
+             f" WHEN {_eq('l1', rules.least)} AND NOT in1 THEN v_3 * {S.N_SCALAR} ELSE v_3 END")
     skip = f"({_in('lw', list(boosters))} OR ({_eq('lw', 'kind')} AND {_eq('n1', 'of')}))"
     but = ("CASE WHEN but_pos >= 0 AND pos < but_pos THEN 0.5 "
            "WHEN but_pos >= 0 AND pos > but_pos THEN 1.5 ELSE 1.0 END")
@@ -152,7 +152,7 @@ wds AS (SELECT {key}{cs}, txt, list_transform(list_filter(string_split_regex(txt
 meta AS (SELECT {key}{cs}, txt IS NULL AS null_text, {amp} AS amp, w,
     coalesce(list_bool_or(list_transform(w, lambda x: {_upper('x')}))
              AND list_bool_or(list_transform(w, lambda x: NOT {_upper('x')})), false) AS capdiff,
-    coalesce(list_position(list_transform(w, lambda x: lower(x)), 'but'), 0) - 1 AS but_pos
+    coalesce(list_position(list_transform(w, lambda x: lower(x)), {_s(rules.but)}), 0) - 1 AS but_pos
   FROM wds),
 {body}
 SELECT meta.{key}{mcs},

@@ -7,6 +7,8 @@ files the Spark queries read. Column names and types follow the Spark side.
 
 from __future__ import annotations
 
+import dataclasses
+
 from urbanlens.functions.text import ENGLISH_STOP_WORDS  # held against Spark's own list in the tests
 from urbanlens.plans import bindings as B
 from urbanlens.plans import queries as Q
@@ -191,6 +193,27 @@ oracle("sentiment_job", f"""SELECT s.post_id, s.date, s.station, p.tweets, s.com
 FROM ({_sent(('date', 'station'))}) s
 JOIN (SELECT post_id, {CLEAN('tweets')} AS tweets FROM {POSTS}) p ON s.post_id = p.post_id""")
 
+
+
+def _places(x: str) -> str:
+    """Two places by the exact value of the double, in 128-bit integers."""
+    u, e = f"abs(round({x} * 10000)::HUGEINT)", f"(abs({x}) * 1152921504606846976.0)::BIGINT::HUGEINT * 10000"
+    d = f"({u} * 1152921504606846976::HUGEINT)"
+    up = f"CASE WHEN {u} % 100 <> 50 THEN ({u} % 100 > 50)::INTEGER WHEN {e} > {d} THEN 1 WHEN {e} < {d} THEN 0 ELSE ({u} // 100) % 2 END"
+    return f"(sign({x}) * ({u} // 100 + {up})::DOUBLE / 100.0 + 0.0)"
+
+
+def _ruled(rules, idioms=Q.RULE_IDIOMS) -> str:
+    return sentiment_sql(POSTS, "post_id", CLEAN("tweets"), Q.RULE_LEXICON, Q.RULE_BOOSTERS, Q.RULE_NEGATORS, idioms, rules=rules)
+
+
+oracle("sentiment_rules", f"SELECT post_id, compound, {_places('compound')} AS sentiment FROM ({_ruled(Q._rules())})")
+_RUNS = {n: _ruled(dataclasses.replace(Q._rules(), **c)) for n, c in Q.WITHOUT.items()} | {"idioms": _ruled(Q._rules(), {Q.SILENT: 0.0})}
+oracle("sentiment_rule_effects", f"WITH whole AS MATERIALIZED ({_ruled(Q._rules())})\n" + " UNION ALL ".join(
+    f"SELECT {sql_str(n)} AS rule, count(*) FILTER (r.compound <> whole.compound) AS n_posts FROM ({sql}) r JOIN whole ON r.post_id = whole.post_id"
+    for n, sql in _RUNS.items()))
+oracle("two_places", f"SELECT doc_id, (doc_id * 25 % 20001 - 10000) / 10000.0::DOUBLE AS compound, {_places('((doc_id * 25 % 20001 - 10000) / 10000.0::DOUBLE)')} AS sentiment FROM documents")
+
 # ---- geo, ranking, snapshots -------------------------------------------------
 
 

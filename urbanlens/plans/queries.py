@@ -230,6 +230,54 @@ def q_sentiment_job(spark, sf):
                               negators=TEST_NEGATORS, places=4)
 
 
+# Bindings under which every rule meets frequent words of the driver text.
+RULE_LEXICON = {"er": 2.0, "th": -1.5, "an": 1.0, "nd": -3.0, "in": 0.7, "ti": 1.9, "ha": -2.1}
+RULE_BOOSTERS = {"the": 0.293, "of": -0.293, "on are": 0.293}
+RULE_NEGATORS = ("and",)
+RULE_IDIOMS = {"is er": 3.0, "an the": -2.0, "th of the": 1.5, "of the": 0.5, "to er": -1.0, "er and": 2.5, "ti": 0.1}
+
+
+def _rules():
+    from urbanlens.operators.sentiment import RuleWords
+    return RuleWords(but="with", least="for", least_spared_after=("to", "was"), no="or", no_linked_by=("to", "as"), never="that", so_this=("is", "to"),
+                     without="was", doubt="to")
+
+
+def _by_rules(spark, sf, rules, idioms=RULE_IDIOMS):
+    from urbanlens.operators import sentiment as S
+    posts = B.posts(spark, sf).select("post_id", tf.clean_text("tweets").alias("tweets"))
+    lexicon = spark.createDataFrame(list(RULE_LEXICON.items()), "token string, valence double")
+    table = spark.createDataFrame(list(idioms.items()), "phrase string, valence double")
+    return S.sentiment_score(posts, "post_id", "tweets", lexicon, RULE_BOOSTERS, RULE_NEGATORS, table, rules=rules)
+
+
+@query("sentiment_rules")
+def q_sentiment_rules(spark, sf):
+    return _by_rules(spark, sf, _rules())
+
+
+#: What is taken away, one at a time, to count the posts that a rule changes.
+SILENT = "(never)"
+WITHOUT = {"but": {"but": SILENT}, "least": {"least": SILENT}, "no": {"no": SILENT}, "never so": {"never": SILENT, "so_this": ()}, "without doubt": {"without": SILENT}}
+
+
+@query("sentiment_rule_effects")
+def q_sentiment_rule_effects(spark, sf):
+    import dataclasses
+    whole = _by_rules(spark, sf, _rules()).select("post_id", F.col("compound").alias("whole"))
+    runs = {name: _by_rules(spark, sf, dataclasses.replace(_rules(), **change)) for name, change in WITHOUT.items()}
+    runs["idioms"] = _by_rules(spark, sf, _rules(), {SILENT: 0.0})
+    return tops.union_batches(*[run.join(whole, "post_id").agg(F.lit(name).alias("rule"), F.count(F.when(F.col("compound") != F.col("whole"), 1)).alias("n_posts"))
+                                for name, run in runs.items()])
+
+
+@query("two_places")
+def q_two_places(spark, sf):
+    from urbanlens.operators.sentiment import two_places
+    x = (F.col("doc_id") * 25 % 20001 - 10000) / 10000.0  # every other score is a tie
+    return _docs(spark, sf).select("doc_id", x.alias("compound"), two_places(x).alias("sentiment"))
+
+
 # ---- geo, ranking, snapshots -------------------------------------------------
 RADIUS_KM = 1.0
 COLLECT_KM = 5.0
