@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
-from urbanlens.llm.common import discard, is_empty, materialize, returning_memory
+from urbanlens.llm.common import discard, is_empty, materialize, returning_memory, sealed
 from urbanlens.llm.run_index import RunIndex
 
 #: Bytes of an anchor at most (a third of a repeated string otherwise), and different segments that an index takes.
@@ -342,29 +342,67 @@ def cut(data: bytes, runs: list[list[int]]) -> bytes:
     return b"".join([*parts, data[at:]])
 
 
-def _with_spans(docs: DataFrame, id_col: str, text_col: str, least: int, words: int | None = None) -> DataFrame:
-    """``docs`` with ``_first`` and ``_last``: starts and ends of every row's repeated ranges."""
-    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
-    spans = repeated_spans(own, least)
-    if words:
-        spans = spans.unionByName(repeated_passages(own, words, least))
-    spans = spans.groupBy(*_KEY).agg(F.sort_array(F.collect_set(F.struct("first", "last"))).alias("s"))
-    spans = materialize(spans.select(F.col("doc_id").alias("_span_id"), F.col("text_hash").alias("_span_hash"), F.col("s.first").alias("_first"), F.col("s.last").alias("_last")), "repeats-by-text")
-    return docs.join(spans.hint("shuffle_hash"), docs[id_col].cast("long").eqNullSafe(F.col("_span_id")) & (F.xxhash64(docs[text_col]) == F.col("_span_hash")), "left")
+def _own(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
 
 
-def removal_digests(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", least: int = 400) -> DataFrame:
-    """``id, n_bytes, n_removed, n_spans, kept_sha256`` of every row."""
-    @pandas_udf("n_bytes long, n_removed long, n_spans long, kept_sha256 string")
-    def f(text: pd.Series, first: pd.Series, last: pd.Series) -> pd.DataFrame:
-        rows = []
-        for t, a, b in zip(text, first, last, strict=True):
+def _by_text(spans: DataFrame, name: str) -> DataFrame:
+    """``span_id, span_hash`` and the starts and ends of a text's ranges, as arrays named after ``name``."""
+    spans = spans.groupBy(*_KEY).agg(F.sort_array(F.collect_set(F.struct("first", "last"))).alias("s"))
+    return materialize(spans.select(F.col("doc_id").alias("span_id"), F.col("text_hash").alias("span_hash"), F.col("s.first").alias(f"{name}_first"),
+                                    F.col("s.last").alias(f"{name}_last")), "repeats-by-text")
+
+
+def _joined(rows: DataFrame, id_col: str, text_col: str, spans: DataFrame) -> DataFrame:
+    return rows.join(spans.hint("shuffle_hash"), rows[id_col].cast("long").eqNullSafe(F.col("span_id")) & (F.xxhash64(rows[text_col]) == F.col("span_hash")), "left")
+
+
+def _runs(spans: DataFrame, name: str, least: int) -> DataFrame:
+    """``doc_id, text_hash, start, length`` of the merged ranges of at least ``least`` bytes."""
+    @pandas_udf("array<struct<start:long,length:long>>")
+    def merged(first: pd.Series, last: pd.Series) -> pd.Series:
+        return pd.Series([[{"start": a, "length": b - a} for a, b in merge_spans(x, y) if b - a >= least] for x, y in zip(first, last, strict=True)], dtype=object)
+    rows = spans.select(F.col("span_id").alias("doc_id"), F.col("span_hash").alias("text_hash"), F.explode(merged(F.col(f"{name}_first"), F.col(f"{name}_last"))).alias("r"))
+    return rows.select("doc_id", "text_hash", "r.start", "r.length")
+
+
+def longer_spans(own: DataFrame, runs: DataFrame, least: int) -> DataFrame:
+    """``doc_id, text_hash, first, last`` of the strings of ``least`` bytes that repeat, given where shorter strings do: both places of such a
+    string lie within ``runs``, so only these parts of the texts are searched."""
+    runs = materialize(runs.select(F.col("doc_id").alias("r_id"), F.col("text_hash").alias("r_hash"), "start", "length"), "repeats-runs")
+    parts = own.join(runs.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("r_id")) & (F.col("text_hash") == F.col("r_hash")))
+    parts = parts.select("doc_id", F.xxhash64("text_hash", "start").alias("part_hash"), "text_hash", "start",
+                         F.substring(F.col("text").cast("binary"), (F.col("start") + 1).cast("int"), F.col("length").cast("int")).alias("text"))
+    parts = materialize(parts, "repeats-runs-text")
+    found = repeated_spans(parts.select("doc_id", F.col("part_hash").alias("text_hash"), "text"), least).withColumnsRenamed({"doc_id": "f_id", "text_hash": "f_hash"})
+    places = parts.select("doc_id", "part_hash", "text_hash", "start").distinct()
+    found = found.join(places, F.col("f_id").eqNullSafe(F.col("doc_id")) & (F.col("f_hash") == F.col("part_hash")))
+    return found.select("doc_id", "text_hash", (F.col("start") + F.col("first")).alias("first"), (F.col("start") + F.col("last")).alias("last"))
+
+
+def removal_digests(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", least: int = 400, passage: int = 256, words: int = 51) -> DataFrame:
+    """``id, n_bytes, n_removed, n_spans, kept_sha256`` of every row without its repeated strings of ``least`` bytes; and ``text, n_kept``, what is left
+    without repeated passages too: strings of ``passage`` bytes (at most ``least``) and, however short, runs of ``words`` words.
+
+    Passages are found first. A repeated string of ``least`` bytes lies within them, so the second search reads repeated text alone.
+    """
+    @pandas_udf("n_bytes long, n_removed long, n_spans long, kept_sha256 string, text string, n_kept long")
+    def f(text: pd.Series, first: pd.Series, last: pd.Series, passage_first: pd.Series, passage_last: pd.Series) -> pd.DataFrame:
+        out = []
+        for t, a, b, c, d in zip(text, first, last, passage_first, passage_last, strict=True):
             data, runs = text_bytes(t), merge_spans(a, b)
             kept = cut(data, runs)
-            rows.append((len(data), len(data) - len(kept), len(runs), hashlib.sha256(kept).hexdigest()))
-        return pd.DataFrame(rows, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256"])
-    rows = _with_spans(docs.select(id_col, text_col), id_col, text_col, least)
-    return rows.select(id_col, f(F.col(text_col), F.col("_first"), F.col("_last")).alias("d")).select(id_col, "d.*")
+            rest = t if c is None else cut(data, merge_spans(c, d)).decode("utf-8", "ignore")
+            out.append((len(data), len(data) - len(kept), len(runs), hashlib.sha256(kept).hexdigest(), rest, len(text_bytes(rest))))
+        return pd.DataFrame(out, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256", "text", "n_kept"])
+    own = _own(docs, id_col, text_col)
+    found = repeated_spans(own, passage)
+    short = _by_text(found.unionByName(repeated_passages(own, words, passage)), "passage")
+    long = _by_text(longer_spans(own, _runs(short, "passage", least), least), "long")
+    both = materialize(short.join(long.withColumnsRenamed({"span_id": "l_id", "span_hash": "l_hash"}), F.col("span_id").eqNullSafe(F.col("l_id")) & (
+        F.col("span_hash") == F.col("l_hash")), "left").drop("l_id", "l_hash"), "repeats-both")
+    rows = _joined(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "id", "text", both)
+    return rows.select(F.col("id").alias(id_col), f("text", "long_first", "long_last", "passage_first", "passage_last").alias("d")).select(id_col, "d.*")
 
 
 def kept_text(text: Column, first: Column, last: Column) -> Column:
@@ -378,5 +416,10 @@ def kept_text(text: Column, first: Column, last: Column) -> Column:
 
 def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", least: int = 400, words: int | None = None) -> DataFrame:
     """``docs`` with the repeated bytes cut from its texts; ``words``: passages of so many words go even if they have fewer than ``least`` bytes."""
-    rows = _with_spans(docs, id_col, text_col, least, words)
-    return rows.select(*(kept_text(docs[c], F.col("_first"), F.col("_last")).alias(c) if c == text_col else docs[c] for c in docs.columns))
+    rows, name, restored = sealed(docs)
+    own = _own(rows, name[id_col], name[text_col])
+    spans = repeated_spans(own, least)
+    if words:
+        spans = spans.unionByName(repeated_passages(own, words, least))
+    rows = _joined(rows, name[id_col], name[text_col], _by_text(spans, "cut"))
+    return restored(rows.withColumn(name[text_col], kept_text(F.col(name[text_col]), F.col("cut_first"), F.col("cut_last"))))
