@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from urbanlens.functions._util import as_col
@@ -76,6 +76,22 @@ def concat_by(df: DataFrame, key: str, text: str, order_col: str,
                  F.concat_ws(sep, F.transform(pieces, lambda p: p["t"])).alias(out_col)))
 
 
+def concat_in_order(df: DataFrame, key: str, text: str, *order: Column, chunk_rows: int = 1000, sep: str = " ", out_col: str = "text") -> DataFrame:
+    """A1 in any order: text joined per key, as chunks ``(key, chunk, n_rows, text)`` of ``chunk_rows`` consecutive rows.
+
+    Rows are numbered by a range partition with prefix sums (:func:`urbanlens.operators.ordering.numbered`), so the order needs no unique
+    integer column and a key that holds a third of all rows is in no task alone. Null keys form a group; null texts are rows
+    that add nothing (``n_rows`` counts the others). Rows equal in ``order`` stand in an order that is not defined, so a full order gives defined
+    chunks. Building the plan runs the job that numbers the rows.
+    """
+    from urbanlens.operators.ordering import numbered
+
+    rows = numbered(df, [key], *order, name="_n")
+    pieces = F.sort_array(F.collect_list(F.struct("_n", F.col(text).alias("t"))))
+    return (rows.groupBy(key, F.floor((F.col("_n") - 1) / F.lit(chunk_rows)).cast("long").alias("chunk"))
+            .agg(F.count(text).alias("n_rows"), F.concat_ws(sep, F.transform(pieces, lambda p: p["t"])).alias(out_col)))
+
+
 def union_batches(*dfs: DataFrame) -> DataFrame:
     """UNION ALL by column name (no dedup, no shuffle)."""
     out = dfs[0]

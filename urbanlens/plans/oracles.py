@@ -159,6 +159,10 @@ oracle("concat_by_source", f"""SELECT source, chunk, n_rows, md5(t) AS text_md5,
 FROM (SELECT source, floor(doc_id / {Q.CONCAT_CHUNK_ROWS})::BIGINT AS chunk, count(*) AS n_rows,
         string_agg(text, ' ' ORDER BY doc_id) AS t
       FROM documents WHERE text IS NOT NULL GROUP BY 1, 2)""")
+oracle("concat_in_order", f"""SELECT source, chunk, count(text) AS n_rows, md5(coalesce(string_agg(text, ' ' ORDER BY n), '')) AS text_md5,
+  length(coalesce(string_agg(text, ' ' ORDER BY n), ''))::INTEGER AS text_len
+  FROM (SELECT *, (n - 1) // {Q.CONCAT_CHUNK_ROWS} AS chunk FROM (SELECT source, text, row_number() OVER (PARTITION BY source ORDER BY n_chars DESC NULLS LAST, doc_id) AS n FROM documents))
+  GROUP BY source, chunk""")
 oracle("union_batches", """SELECT 'doc' AS kind, doc_id AS id, md5(text) AS text_md5 FROM documents
 UNION ALL
 SELECT 'conv' AS kind, conv_id * 1000 + turn AS id, md5(text) AS text_md5 FROM conversations""")

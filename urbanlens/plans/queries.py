@@ -175,6 +175,13 @@ def q_concat_by_source(spark, sf):
                       F.length("text").alias("text_len"))
 
 
+@query("concat_in_order")
+def q_concat_in_order(spark, sf):
+    rows = _docs(spark, sf).select("source", "text", "n_chars", "doc_id")
+    out = tops.concat_in_order(rows, "source", "text", F.col("n_chars").desc_nulls_last(), F.col("doc_id"), chunk_rows=CONCAT_CHUNK_ROWS)
+    return out.select("source", "chunk", "n_rows", F.md5("text").alias("text_md5"), F.length("text").alias("text_len"))
+
+
 @query("union_batches")
 def q_union_batches(spark, sf):
     docs = _docs(spark, sf).select(F.lit("doc").alias("kind"), F.col("doc_id").alias("id"),
