@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from urbanlens.llm.common import discard, is_empty, materialize
+from urbanlens.operators.ordering import numbered
 
 #: Strings with a meaning in some chat template.
 CONTROL = ("<|im_start|>", "<|im_end|>", "<|endoftext|>", "<|startoftext|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
@@ -49,10 +50,13 @@ def unescape_role(s: str) -> str:
 
 
 def chains(rows: DataFrame, *, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
-    """Conversations as trees: every turn answers the one before; equal turn numbers go by role and text."""
+    """Conversations as trees: every turn answers the one before; equal turn numbers go by role and text.
+
+    Turns are numbered by a range partition with prefix sums: no conversation is sorted in one task.
+    """
     rows = rows.select(F.col(conv).cast("long").alias("conv_id"), F.col(turn).alias("turn"), F.col(role).alias("role"), F.col(text).alias("text"))
     rows = rows.withColumn("tree", F.coalesce(F.col("conv_id").cast("string"), F.lit("null")))
-    rows = rows.withColumn("message", F.row_number().over(Window.partitionBy("tree").orderBy("turn", "role", "text")).cast("long"))
+    rows = numbered(rows, ["tree"], *(F.col(c).asc_nulls_first() for c in ("turn", "role", "text")), name="message")
     return rows.select("tree", "conv_id", "message", F.expr("nullif(message - 1, 0)").alias("parent"), "role", "text", F.lit(0.0).alias("score"))
 
 
