@@ -81,6 +81,7 @@ def words(text: Column) -> Column:
 
 def shingle_hashes(word_array: Column, n: int) -> Column:
     """A 64-bit hash of every run of ``n`` words, in order, repeats included; a shorter sequence is one run, none has none."""
+    # a hash passes over nulls: what would reach beyond the end is not there
     runs = let(F.transform(word_array, lambda w: F.xxhash64(w)), lambda h: F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size(h) - (n - 1), F.lit(1))), lambda i: F.xxhash64(F.slice(h, i, n))))
+        F.sequence(F.lit(0), F.greatest(F.size(h) - n, F.lit(0))), lambda i: F.xxhash64(*(F.get(h, i + k) for k in range(n)))))
     return F.when(F.size(word_array) > 0, runs).otherwise(F.array().cast("array<bigint>"))

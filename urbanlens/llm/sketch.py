@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from urbanlens.llm.common import is_empty, let, materialize, shingle_hashes, words
 
 #: One hash in ``SCALE`` is kept, and the ``FLOOR`` smallest in any case.
-SCALE, FLOOR = 32, 128
+SCALE, FLOOR = 32, 64
 _RANGE = 1 << 62
 _LIMIT = _RANGE // SCALE
 _EMPTY = "array<bigint>"
@@ -102,18 +102,25 @@ def successors(ids: DataFrame, id_col: str) -> DataFrame:
     return ranged.withColumn("inner", inner).join(F.broadcast(after), "range").select("id", F.coalesce("inner", "beyond")["id"].alias("next_id"))
 
 
-def neighbours(rows: DataFrame, ahead: list[Column]) -> DataFrame:
-    """``rows``, a stored table ``id, text, n_chars, s``, with the columns ``ahead`` of the next document by id; ``half`` in these is half of the row's own length."""
-    chain = materialize(successors(rows, "id"), "sketch-chain").select(F.col("id").alias("prev_id"), F.col("next_id"))
-    single = rows
-    if not is_empty(rows.groupBy("id").agg(F.count("*").alias("n")).filter("n > 1")):
-        single = rows.groupBy("id").agg(F.min(F.struct("text", "n_chars", "s")).alias("r")).select("id", "r.*")
-    # of repeated ids the longest row says how much of the next text may be wanted
-    halves = rows.groupBy(F.col("id").alias("prev_id")).agg(F.max(F.floor(F.col("n_chars") / 2)).alias("half"))
-    wanted = chain.join(halves.withColumnRenamed("prev_id", "own"), F.col("prev_id").eqNullSafe(F.col("own"))).select("prev_id", "next_id", "half")
-    wanted = materialize(wanted, "sketch-wanted")
-    sent = single.join(wanted.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("next_id"))).select("prev_id", *ahead)
-    return rows.join(sent.hint("merge"), F.col("id").eqNullSafe(F.col("prev_id"))).drop("prev_id")
+def neighbours(rows: DataFrame) -> DataFrame:
+    """``id, n_chars, text, sketch, next_start, next_sketch, next_n_chars`` for every row of ``id, text, n_chars, sketch``.
+
+    One shuffle brings each text to its id's place in the chain; the second sends the predecessor no more than it needs: the
+    sketch, and as much of the text as half of the predecessor's length.
+    """
+    chain = materialize(successors(rows, "id"), "sketch-chain")
+    sizes = rows.groupBy("id").agg(F.max("n_chars").alias("n_chars"), F.count("*").alias("n"))
+    sizes = materialize(sizes, "sketch-sizes")
+    places = chain.withColumnRenamed("next_id", "own").join(sizes.withColumnsRenamed({"id": "p_id"}), F.col("id").eqNullSafe(F.col("p_id")))
+    places = materialize(places.select(F.col("own"), F.col("id").alias("prev_id"), F.floor(F.col("n_chars") / 2).cast("int").alias("half")), "sketch-places")
+    based = rows.join(places.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("own")))
+    ahead = based.select("prev_id", F.substring("text", F.lit(1), F.col("half")).alias("next_start"), F.col("sketch").alias("next_sketch"),
+                         F.col("n_chars").alias("next_n_chars"))  # the same columns on both sides: one shuffle of the texts serves both
+    if not is_empty(sizes.filter("n > 1")):  # of rows that repeat an id the smallest text precedes
+        ahead = based.groupBy("id").agg(F.min(F.struct("text", "prev_id", "half", "sketch", "n_chars")).alias("r")).select(
+            F.col("r.prev_id").alias("prev_id"), F.expr("substring(r.text, 1, r.half)").alias("next_start"), F.col("r.sketch").alias("next_sketch"),
+            F.col("r.n_chars").alias("next_n_chars"))
+    return based.select("id", "n_chars", "text", "sketch").join(ahead.hint("merge"), F.col("id").eqNullSafe(F.col("prev_id"))).drop("prev_id")
 
 
 def compare_with_edits(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5) -> DataFrame:
@@ -121,16 +128,14 @@ def compare_with_edits(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
 
     ``near_edited`` and ``near_next`` estimate what part of the document's shingles the edited text and the next one have.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("id"), text.alias("text"))
-    rows = rows.select("id", "text", F.length("text").cast("long").alias("n_chars"), F.explode(F.array(sketch(F.col("text"), shingle))).alias("s"))
-    rows = materialize(rows, "sketch-own")  # cut into shingles once
+    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = rows.select("id", "text", F.length("text").cast("long").alias("n_chars"), sketch(F.col("text"), shingle).alias("sketch"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
-    pairs = neighbours(rows, [F.substring("text", F.lit(1), F.col("half").cast("int")).alias("start"), F.col("s").alias("x")])
-    edited = F.concat(F.substring("text", F.lit(1), F.col("n_chars").cast("int") - half), F.substring("start", F.lit(1), half))
-    pairs = pairs.select(F.col("id").alias(id_col), "n_chars", edited.alias("edited"), "s", "x")
-    pairs = pairs.select(id_col, "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "s", "x", F.explode(F.array(sketch(F.col("edited"), shingle))).alias("e"))
+    pairs = neighbours(rows)
+    edited = F.concat(F.substring("text", F.lit(1), F.col("n_chars").cast("int") - half), F.substring("next_start", F.lit(1), half))
+    pairs = pairs.select(F.col("id").alias(id_col), "n_chars", "next_n_chars", edited.alias("edited"), F.col("sketch").alias("s"), F.col("next_sketch").alias("x"))
+    pairs = pairs.select(id_col, "n_chars", "next_n_chars", F.sha2("edited", 256).alias("edited_sha256"), "s", "x", F.explode(F.array(sketch(F.col("edited"), shingle))).alias("e"))
     a, e, x = F.col("s"), F.col("e"), F.col("x")
-    return pairs.select(id_col, "n_chars", "edited_sha256", sketch_text(a).alias("fingerprint"), sketch_text(e).alias("edited_fingerprint"),
+    return pairs.select(id_col, "n_chars", "next_n_chars", "edited_sha256", sketch_text(a).alias("fingerprint"), sketch_text(e).alias("edited_fingerprint"),
                         containment(a, e).alias("near_edited"), containment(a, x).alias("near_next"),
                         similarity(a, e).alias("jaccard_edited"), similarity(a, x).alias("jaccard_next"))
