@@ -14,4 +14,6 @@ def spark():
     from urbanlens.session import build_session
     s = build_session("local[4]", shuffle_partitions=8, app_name="urbanlens-tests")
     yield s
+    from urbanlens.sources import scratch
+    scratch.clear(s)
     s.stop()

@@ -38,11 +38,12 @@ def test_radius_edges(spark):
     assert got == {1, 2}
 
 
-def test_radius_rejects_poles(spark):
-    c = spark.createDataFrame([("p", 89.9, 0.0)], "Station string, Latitude double, Longitude double")
-    p = spark.createDataFrame([(1, 89.9, 0.0)], "pid long, lat double, lon double")
-    with pytest.raises(Exception, match="poles"):
-        geo.radius_join(p, c, km=1.0).collect()
+def test_radius_at_a_pole(spark):
+    c = spark.createDataFrame([("p", 89.999, 0.0)], "Station string, Latitude double, Longitude double")
+    p = spark.createDataFrame([(1, 89.999, 0.0), (2, 89.999, 180.0), (3, 89.9, 0.0)], "pid long, lat double, lon double")
+    assert sorted(r.pid for r in geo.radius_join(p, c, km=1.0).collect()) == [1, 2]
+    with pytest.raises(ValueError):
+        geo.radius_join(p, c, km=0.0)
 
 
 def test_dedup_first_one_per_key(spark):
@@ -64,3 +65,18 @@ def test_top_n_plan_has_group_limit(spark):
 def test_latest_snapshot(spark):
     df = spark.createDataFrame([(1, 1), (2, 3), (3, 3)], "id int, v int")
     assert sorted(r.id for r in ranking.latest_snapshot(df, "v").collect()) == [2, 3]
+
+
+@pytest.mark.parametrize("km", [50.0, 900.0, 12_000.0, 25_000.0])
+def test_radius_join_anywhere(spark, km):
+    """Poles, the antimeridian in either notation, and a third of the points at one place."""
+    rnd = random.Random(int(km))
+    odd = [(90.0, 0.0), (90.0, 137.0), (-90.0, 10.0), (0.0, 180.0), (0.0, -180.0), (10.0, 540.0), (89.9, 90.0), (89.9, -90.0), (0.0, 179.9), (0.0, -179.9)]
+    at = lambda: (rnd.uniform(-90, 90), rnd.uniform(-180, 180))
+    pts = [(i, *x) for i, x in enumerate([*odd, *(at() for _ in range(400)), *[(0.0, 179.99)] * 200])]
+    ctr = [(f"s{i}", *x) for i, x in enumerate([*odd, *(at() for _ in range(30))])]
+    p = spark.createDataFrame([*pts, (-1, None, 1.0), (-2, float("nan"), 1.0)], "pid long, lat double, lon double")
+    c = spark.createDataFrame([*ctr, ("none", None, None)], "Station string, Latitude double, Longitude double")
+    rows = geo.radius_join(p, c, km=km).collect()
+    got = {(r.pid, r.Station) for r in rows}
+    assert got == brute(spark, pts, ctr, km) and len(got) == len(rows) and got

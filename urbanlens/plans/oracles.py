@@ -235,6 +235,16 @@ oracle("haversine", f"""SELECT point_id, round({HAV('lat', 'lon', f'{B.LAT_BASE}
 oracle("radius_join", f"""SELECT point_id, station, round(d, 6) AS distance_km FROM (
   SELECT p.point_id, c.Station AS station, {HAV('p.lat', 'p.lon', 'c.Latitude', 'c.Longitude')} AS d
   FROM {PTS} p, {CENTERS} c) WHERE d <= {Q.RADIUS_KM}""")
+
+
+def _places_of(table: str, key: str) -> str:
+    return f"""(SELECT {key} AS id, CASE WHEN {key} % 3 = 0 THEN 89.5::DOUBLE ELSE ({key} * 7919 % 18001 - 9000) / 100.0::DOUBLE END AS lat,
+  CASE WHEN {key} % 3 = 0 THEN 179.9::DOUBLE ELSE ({key} * 104729 % 36001 - 18000) / 100.0::DOUBLE END AS lon FROM {table})"""
+
+
+oracle("radius_join_global", f"""SELECT place_id, center_id, round(d, 4) AS distance_km FROM (
+  SELECT p.id AS place_id, c.id AS center_id, {HAV('p.lat', 'p.lon', 'c.lat', 'c.lon')} AS d
+  FROM {_places_of('customer', 'c_custkey')} p, {_places_of('supplier', 's_suppkey')} c) WHERE d <= {Q.GLOBAL_KM}""")
 oracle("collect_posts", f"""SELECT post_id, tweets, date, station FROM (
   SELECT p.post_id, p.tweets, p.date, c.Station AS station,
     row_number() OVER (PARTITION BY c.Station ORDER BY p.date DESC, p.post_id) AS rn

@@ -313,6 +313,20 @@ def q_radius_join(spark, sf):
                       F.round("distance_km", 6).alias("distance_km"))
 
 
+GLOBAL_KM = 400.0
+
+
+@query("radius_join_global")
+def q_radius_join_global(spark, sf):
+    """Points and centers all over the globe: at the poles, across 180 degrees, and a third of the points at one place."""
+    from urbanlens.operators import geo
+    points = B.global_places(B.table(spark, sf, "customer"), "c_custkey")
+    centers = B.global_places(B.table(spark, sf, "supplier"), "s_suppkey").select(
+        F.col("place_id").alias("center_id"), F.col("lat").alias("Latitude"), F.col("lon").alias("Longitude"))
+    out = geo.radius_join(points, centers, km=GLOBAL_KM)
+    return out.select("place_id", "center_id", F.round("distance_km", 4).alias("distance_km"))
+
+
 @query("collect_posts")
 def q_collect_posts(spark, sf):
     stations = B.stations_from_supplier(B.table(spark, sf, "supplier"))
