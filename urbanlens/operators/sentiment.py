@@ -187,12 +187,13 @@ def lexicon_table(lexicon: DataFrame, token_col: str = "token",
             .select("lx_token", F.when(F.col("lo") != F.col("hi"), both).otherwise(F.col("hi")).alias("lx_valence")))
 
 
-def post_words(posts: DataFrame, key: str, text: str, carry: Sequence[str] = (), but: str = RULE_WORDS.but) -> DataFrame:
+def post_words(posts: DataFrame, key: str, text: str, carry: Sequence[str] = (), but: str = RULE_WORDS.but, keep_text: bool = False) -> DataFrame:
     """N1.1: ``(key, carry.., pos, w, p1, p2, p3, n1, n2, capdiff, but_pos, amp, null_text)``.
 
     ``p*`` are the previous and ``n*`` the next words (original case); built
     with array shifts (slice/concat) before the explode, so each output row
-    holds a handful of short strings, never the whole post.
+    holds a handful of short strings, never the whole post. With ``keep_text`` a
+    post's anchor row, and no other, has its text as ``post_text``.
     """
     punct_cls = "[" + "".join("\\" + ch for ch in PUNCTUATION) + "]"
     raw = split_words(text)
@@ -202,7 +203,7 @@ def post_words(posts: DataFrame, key: str, text: str, carry: Sequence[str] = (),
         F.col(key), *[F.col(c) for c in carry],
         F.col(text).isNull().alias("null_text"),
         punctuation_amplifier(text).alias("amp"),
-        words_expr.alias("_words"),
+        words_expr.alias("_words"), *([F.col(text).alias("_text")] if keep_text else []),
     )
     words = F.col("_words")
     n = F.size(words)
@@ -223,13 +224,15 @@ def post_words(posts: DataFrame, key: str, text: str, carry: Sequence[str] = (),
         F.coalesce(capdiff, F.lit(False)).alias("capdiff"),
         (F.coalesce(F.array_position(F.transform(words, F.lower), but), F.lit(0))
          - F.lit(1)).alias("but_pos"),
-        F.arrays_zip(words.alias("w"), prev(1).alias("p1"), prev(2).alias("p2"), prev(3).alias("p3"),
+        *([F.when(F.coalesce(n, F.lit(0)) <= 0, F.col("_text")).alias("_blank")] if keep_text else []),
+        F.arrays_zip(*([F.concat(F.array("_text"), F.array_repeat(F.lit(None).cast("string"), n - 1)).alias("t")] if keep_text else []),
+                     words.alias("w"), prev(1).alias("p1"), prev(2).alias("p2"), prev(3).alias("p3"),
                      nxt(1).alias("n1"), nxt(2).alias("n2")).alias("_ctx"),
     )
     return staged.select(
         F.col(key), *[F.col(c) for c in carry], "null_text", "amp", "capdiff", "but_pos",
-        F.posexplode_outer("_ctx").alias("pos", "c"),
-    ).select(key, *carry, "null_text", "capdiff", "but_pos", "amp", "pos",
+        *(["_blank"] if keep_text else []), F.posexplode_outer("_ctx").alias("pos", "c"),
+    ).select(key, *carry, *([F.coalesce("c.t", "_blank").alias("post_text")] if keep_text else []), "null_text", "capdiff", "but_pos", "amp", "pos",
              "c.w", "c.p1", "c.p2", "c.p3", "c.n1", "c.n2")
 
 
@@ -411,10 +414,11 @@ def sentiment_score(posts: DataFrame, key: str, text: str, lexicon: DataFrame,
                     boosters: Mapping[str, float] = BOOSTERS, negators=NEGATORS,
                     idioms: Mapping[str, float] | DataFrame = SPECIAL_CASES,
                     carry: Sequence[str] = (), places: int = 4,
-                    display_places: int | None = 2, rules: RuleWords = RULE_WORDS) -> DataFrame:
+                    display_places: int | None = 2, rules: RuleWords = RULE_WORDS, keep_text: bool = False) -> DataFrame:
     """``(key, carry.., compound[, sentiment])`` per post.
 
     ``idioms`` is a small mapping or a table ``(phrase, valence)`` of any size.
+    With ``keep_text`` the text comes along, on one row of each post: nothing is read or shuffled twice for it.
 
     ``compound`` is rounded to ``places`` (4, as the model reports it);
     ``sentiment`` is the two-place display value of the original job. Empty
@@ -423,7 +427,7 @@ def sentiment_score(posts: DataFrame, key: str, text: str, lexicon: DataFrame,
     """
     if key not in posts.columns:
         raise ValueError(f"sentiment_score needs a post key column, {key!r} not found")
-    words = lexicon_join(post_words(posts, key, text, carry, rules.but), lexicon)
+    words = lexicon_join(post_words(posts, key, text, carry, rules.but, keep_text), lexicon)
     as_table = isinstance(idioms, DataFrame)
     if as_table:
         words = idiom_join(words, key, idioms)
@@ -431,7 +435,8 @@ def sentiment_score(posts: DataFrame, key: str, text: str, lexicon: DataFrame,
     scored = scored.withColumn("s", F.col("s") * but_weight())
     sums = scored.groupBy(key).agg(
         F.sum("s").alias("sum_s"), F.sum(is_anchor().cast("int")).alias("n_posts"),
-        *[F.first(c).alias(c) for c in (*carry, "null_text", "amp")])
+        *[F.first(c).alias(c) for c in (*carry, "null_text", "amp")],
+        *([F.first("post_text", ignorenulls=True).alias("post_text")] if keep_text else []))
     wrong = F.raise_error(F.concat(F.lit(f"{key} does not identify a post: "), F.coalesce(F.col(key).cast("string"), F.lit("null"))))
     sums = sums.withColumn("sum_s", F.when(F.col(key).isNull() | (F.col("n_posts") > 1), wrong.cast("double")).otherwise(F.col("sum_s")))
     s = F.col("sum_s")
@@ -439,7 +444,7 @@ def sentiment_score(posts: DataFrame, key: str, text: str, lexicon: DataFrame,
                  .otherwise(s))
     compound = F.round(normalize(amplified), places)
     compound = F.when(F.col("null_text"), F.lit(None).cast("double")).otherwise(compound)
-    out = sums.select(key, *carry, compound.alias("compound"))
+    out = sums.select(key, *carry, *([F.col("post_text").alias(text)] if keep_text else []), compound.alias("compound"))
     if display_places is not None:
         shown = two_places("compound") if (places, display_places) == (4, 2) else F.round("compound", display_places)
         out = out.withColumn("sentiment", shown)

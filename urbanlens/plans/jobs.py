@@ -58,8 +58,8 @@ def sentiment_job(posts: DataFrame, lexicon: DataFrame, key: str = "post_id",
     """K1: ``(post_id, date, station, tweets, sentiment)`` with cleaned text.
 
     Scores are computed from ``(post, position, word)`` rows that carry only
-    the small columns; the cleaned text is joined back once on the post key.
-    ``places`` is the rounding of the reported score (2 in the original job).
+    the small columns; the cleaned text rides on one row of each post, so posts are read
+    and cleaned once. ``places`` is the rounding of the reported score (2 in the original job).
     """
     from urbanlens.operators import sentiment as S
 
@@ -69,11 +69,9 @@ def sentiment_job(posts: DataFrame, lexicon: DataFrame, key: str = "post_id",
         boosters=S.BOOSTERS if boosters is None else boosters,
         negators=S.NEGATORS if negators is None else negators,
         idioms=S.SPECIAL_CASES if idioms is None else idioms,
-        carry=("date", "station"), places=4, display_places=None)
-    scored = scored.select(key, "date", "station",
-                           (S.two_places("compound") if places == 2 else F.round("compound", places)).alias("sentiment"))
-    return scored.join(cleaned.select(key, "tweets"), key, "inner").select(
-        key, "date", "station", "tweets", "sentiment")
+        carry=("date", "station"), places=4, display_places=None, keep_text=True)
+    shown = S.two_places("compound") if places == 2 else F.round("compound", places)
+    return scored.select(key, "date", "station", "tweets", shown.alias("sentiment"))
 
 
 def collect_posts(posts: DataFrame, stations: DataFrame, km: float = 1.0,
