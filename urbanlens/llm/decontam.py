@@ -20,7 +20,7 @@ hold the same passage by the thousand give rows in proportion to what they conta
 Words are runs of letters, marks and digits in lower case, so that punctuation doesn't hide a passage.
 
 Edge cases: null and blank texts and items contain nothing and are contained in nothing; a text of fewer words than a shingle is one
-shingle, which only a text of just these words has unless ``short_runs`` is set: then documents are also cut into runs of each number of words below a
+shingle, which only a text of just these words has unless ``short_runs`` is set, as the query and the pipeline do: then documents are also cut into runs of each number of words below a
 shingle's that some item has, and a short item is found wherever its words stand in a row; equal items are found each; rows that repeat id and text give one row per item; rows without id are told
 apart by their text; empty tables give no rows; other columns are ignored.
 """

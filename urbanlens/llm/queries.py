@@ -118,15 +118,17 @@ def op10_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from urbanlens.llm.decontam import find_contained
-    found = find_contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), shingle=5, threshold=0.8)
+    found = find_contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), shingle=5, threshold=0.8, short_runs=True)
     return found.select("doc_id", "item_id", "n_shared", "n_item", "containment")
 
 
 _SQL["op5_decontamination"] = r"""
 WITH w AS (SELECT 'd' AS side, doc_id AS id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{M}\p{N}]+'), lambda x: x <> '') AS w FROM documents
   UNION ALL SELECT 'i', item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{M}\p{N}]+'), lambda x: x <> '') FROM benchmark),
+short AS (SELECT DISTINCT len(w) AS k FROM w WHERE side = 'i' AND len(w) BETWEEN 1 AND 4),
 s AS (SELECT DISTINCT side, id, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) AS shingle
-  FROM w WHERE len(w) > 0),
+  FROM w WHERE len(w) > 0
+  UNION SELECT side, id, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) FROM w JOIN short ON side = 'd' AND len(w) > k),
 q AS (SELECT id, count(*) AS n_item FROM s WHERE side = 'i' GROUP BY id),
 p AS (SELECT d.id AS doc_id, i.id AS item_id, count(*) AS n_shared FROM s d JOIN s i ON d.shingle = i.shingle AND d.side = 'd' AND i.side = 'i' GROUP BY ALL)
 SELECT doc_id, item_id, n_shared, n_item, n_shared / n_item AS containment
