@@ -371,13 +371,19 @@ def longer_spans(own: DataFrame, runs: DataFrame, least: int) -> DataFrame:
     string lie within ``runs``, so only these parts of the texts are searched."""
     runs = materialize(runs.select(F.col("doc_id").alias("r_id"), F.col("text_hash").alias("r_hash"), "start", "length"), "repeats-runs")
     parts = own.join(runs.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("r_id")) & (F.col("text_hash") == F.col("r_hash")))
-    parts = parts.select("doc_id", F.xxhash64("text_hash", "start").alias("part_hash"), "text_hash", "start",
-                         F.substring(F.col("text").cast("binary"), (F.col("start") + 1).cast("int"), F.col("length").cast("int")).alias("text"))
-    parts = materialize(parts, "repeats-runs-text")
-    found = repeated_spans(parts.select("doc_id", F.col("part_hash").alias("text_hash"), "text"), least).withColumnsRenamed({"doc_id": "f_id", "text_hash": "f_hash"})
-    places = parts.select("doc_id", "part_hash", "text_hash", "start").distinct()
-    found = found.join(places, F.col("f_id").eqNullSafe(F.col("doc_id")) & (F.col("f_hash") == F.col("part_hash")))
-    return found.select("doc_id", "text_hash", (F.col("start") + F.col("first")).alias("first"), (F.col("start") + F.col("last")).alias("last"))
+    part = F.substring(F.col("text").cast("binary"), (F.col("start") + 1).cast("int"), F.col("length").cast("int"))
+    parts = parts.select("doc_id", "text_hash", "start", "length", part.alias("text"))
+    parts = materialize(parts.select("*", F.xxhash64("text").alias("c1"), F.xxhash64("length", "text").alias("c2")), "repeats-runs-text")
+    # runs that occur again whole need no search: one of each contents stands for all of them
+    single = materialize(parts.groupBy("c1", "c2").agg(F.count("*").alias("n"), F.first("text").alias("text")), "repeats-contents")
+    places = materialize(parts.select("doc_id", "text_hash", "start", "length", "c1", "c2"), "repeats-places")
+    discard(parts)
+    found = repeated_spans(single.select(F.col("c1").alias("doc_id"), F.col("c2").alias("text_hash"), "text"), least)
+    found = found.select(F.col("doc_id").alias("c1"), F.col("text_hash").alias("c2"), "first", "last").join(single.filter("n = 1").select("c1", "c2"), ["c1", "c2"], "left_semi")
+    again = places.join(single.filter("n > 1").select("c1", "c2"), ["c1", "c2"], "left_semi")
+    rest = places.join(found, ["c1", "c2"])
+    return again.select("doc_id", "text_hash", F.col("start").alias("first"), (F.col("start") + F.col("length")).alias("last")).unionByName(
+        rest.select("doc_id", "text_hash", (F.col("start") + F.col("first")).alias("first"), (F.col("start") + F.col("last")).alias("last")))
 
 
 def removal_digests(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", least: int = 400, passage: int = 256, words: int = 51) -> DataFrame:
