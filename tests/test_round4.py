@@ -17,6 +17,23 @@ def plan(df, optimized=False):
     return (query.optimizedPlan() if optimized else query.executedPlan()).toString()
 
 
+def test_shorter_cleaning_patterns_agree(spark):
+    parts = ["@", "@@", "@bob", "a", "Z9", " ", "\t", "\n", "_", "!", "http://x.y/z", "://", "é", "中", "😀", "\x00", "\x7f", "/", ":", "[", "`", "{", "~"]
+    rnd = random.Random(5)
+    texts = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 9))) for _ in range(3000)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert df.where(tf.clean_text("t") != F.regexp_replace("t", tf.CLEAN_PATTERN, "")).count() == 0
+    assert df.where(tf.collapse_spaces("t") != F.regexp_replace("t", " +", " ")).count() == 0
+
+
+def test_non_empty_computes_its_column_once(spark):
+    df = spark.createDataFrame([(1, "@a"), (2, "b  c"), (3, None), (4, "")], "id long, x string")
+    out = tops.non_empty(df.select("id", tf.topic_text("x").alias("t")), "t")
+    assert out.columns == ["id", "t"]
+    assert plan(out.select("id", F.length("t")), optimized=True).count("lower(") == 1
+    assert [(r.id, r.t) for r in out.collect()] == [(2, "b c")]
+
+
 def test_cast_on_load_is_the_scored_text(spark):
     out = Q.registry()["cast_on_load"](spark, "/root/testdata/sf0.001")
     assert [(f.name, f.dataType.simpleString()) for f in out.schema] == [

@@ -36,7 +36,9 @@ def filter_keyword(df: DataFrame, text_col: str, word: str) -> DataFrame:
 
 def non_empty(df: DataFrame, col: str) -> DataFrame:
     """P10: drop null and empty strings."""
-    return df.where(F.col(col).isNotNull() & (F.col(col) != F.lit("")))
+    # a column that is computed would be pushed into the filter and computed there again; what a Generate gives is not
+    once = df.select(*[F.explode_outer(F.array(c)).alias(c) if c == col else F.col(c) for c in df.columns])
+    return once.where(F.col(col) != F.lit(""))
 
 
 def word_count(df: DataFrame, tokens_col: str, word_col: str = "token",
