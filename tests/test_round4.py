@@ -17,6 +17,28 @@ def plan(df, optimized=False):
     return (query.optimizedPlan() if optimized else query.executedPlan()).toString()
 
 
+@pytest.mark.parametrize("as_table", [False, True])
+def test_words_meet_a_small_lexicon_without_a_shuffle(spark, as_table):
+    """One exchange, of the sums by post: words are not shuffled for a lexicon or for idioms of unknown size."""
+    posts = spark.createDataFrame([(1, "not so GOOD day"), (2, "the bad ass good"), (3, None), (4, "")], "id long, t string")
+    lexicon = spark.createDataFrame([("good", 1.9), ("bad", -2.5)], "token string, valence double")
+    idioms = spark.createDataFrame(list(S.SPECIAL_CASES.items()), "phrase string, valence double") if as_table else S.SPECIAL_CASES
+    out = S.sentiment_score(posts, "id", "t", lexicon, idioms=idioms)
+    assert plan(out).count("Exchange hashpartitioning") == 1
+    plain = S.sentiment_score(posts, "id", "t", lexicon)
+    assert sorted(out.collect()) == sorted(plain.collect())
+
+
+def test_upper_case_is_seen_from_the_whole_text(spark):
+    words = ["A", "a", "1", "1A", "aB", "AB", "É", "é", "ß", "中", "A1", "!A!", "", "\tB", "_", "Ǆ", "ǅ"]
+    rnd = random.Random(3)
+    texts = [" ".join(rnd.choice(words) for _ in range(rnd.randint(0, 4))) for _ in range(500)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    upper = F.exists(tf.split_words("t"), S.is_upper)
+    assert df.where(upper & ~F.col("t").rlike(S.MAYBE_UPPER)).count() == 0
+    assert df.where(F.col("t").rlike(S.MAYBE_UPPER)).count() < len(texts)
+
+
 def test_shorter_cleaning_patterns_agree(spark):
     parts = ["@", "@@", "@bob", "a", "Z9", " ", "\t", "\n", "_", "!", "http://x.y/z", "://", "é", "中", "😀", "\x00", "\x7f", "/", ":", "[", "`", "{", "~"]
     rnd = random.Random(5)

@@ -6,8 +6,8 @@ The per-post library call of the original job is re-expressed as:
    the three previous and two next words (array shifts; no window, no shuffle);
 2. ``posexplode`` that array (the post text itself is not carried);
 3. look up the lexicon valence of each word and, for words that hit, whether
-   their neighbours are lexicon words: broadcast hash joins against the
-   lexicon, broadcast only after its size is checked;
+   their neighbours are lexicon words: joins with the lexicon, which is written first, so that
+   Spark knows its size in bytes and broadcasts it when that allows (a frame of unknown size would shuffle all words);
 4. apply the published rules (booster decay, ALL-CAPS emphasis, negation,
    "least", idioms, "but") as column expressions;
 5. sum per post (hash aggregate whose partial step runs before the shuffle,
@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from urbanlens.functions._util import as_col
 from urbanlens.functions.text import split_words
+from urbanlens.sources.scratch import stored
 
 # --- fixed values (published model constants) --------------------------------
 B_INCR = 0.293
@@ -38,6 +39,9 @@ NORM_ALPHA = 15.0
 BOOSTER_DECAY = (1.0, 0.95, 0.9)
 EXCL_PER_MARK, EXCL_MAX = 0.292, 4
 QM_PER_MARK, QM_MAX_COUNT, QM_CAP = 0.18, 3, 0.96
+# A word that may be all upper case: without a-z, with a letter that has cases.
+_NOT_LOWER = r"[\x00-\x08\x0E-\x1F!-`{-\x{10FFFF}]*"
+MAYBE_UPPER = r"(?:\A|\s)" + _NOT_LOWER + r"[A-Z\x80-\x{10FFFF}]" + _NOT_LOWER + r"(?:\s|\z)"
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 NEGATORS = (
@@ -203,11 +207,12 @@ def post_words(posts: DataFrame, key: str, text: str, carry: Sequence[str] = (),
         F.col(key), *[F.col(c) for c in carry],
         F.col(text).isNull().alias("null_text"),
         punctuation_amplifier(text).alias("amp"),
-        words_expr.alias("_words"), *([F.col(text).alias("_text")] if keep_text else []),
+        words_expr.alias("_words"), F.col(text).rlike(MAYBE_UPPER).alias("_caps"), *([F.col(text).alias("_text")] if keep_text else []),
     )
     words = F.col("_words")
     n = F.size(words)
-    capdiff = F.exists(words, is_upper) & F.exists(words, lambda x: ~is_upper(x))
+    # one test of the whole text spares most posts the look at each word
+    capdiff = F.when(F.col("_caps"), F.exists(words, is_upper) & F.exists(words, lambda x: ~is_upper(x)))
 
     def prev(k):
         return F.concat(F.array_repeat(F.lit(None).cast("string"), F.least(F.lit(k), n)),
@@ -246,10 +251,10 @@ def lexicon_join(words: DataFrame, lexicon: DataFrame, word_col: str = "w") -> D
 
     The lexicon is met first; only hits and one row per post go on, so
     neighbour look-ups and rules don't touch the other words. Spark broadcasts
-    the lexicon when its size in bytes allows. Rows that look nothing up have
+    the lexicon when its size in bytes allows; building the plan writes it, so that the size is known. Rows that look nothing up have
     a key of their own each: they never gather in one partition.
     """
-    lex = lexicon_table(lexicon)
+    lex = stored(lexicon_table(lexicon), "lexicon")
     out = (words.join(lex, F.lower(F.col(word_col)) == lex["lx_token"], "left")
            .withColumnRenamed("lx_valence", "v0").drop("lx_token")
            .where(F.col("v0").isNotNull() | is_anchor()))
@@ -275,11 +280,11 @@ def idiom_table(idioms: DataFrame, phrase_col: str = "phrase", valence_col: str
             .select("phrase", F.when(F.col("lo") != F.col("hi"), both).otherwise(F.col("hi")).alias("idiom")))
 
 
-def idiom_join(df: DataFrame, key: str, idioms: DataFrame) -> DataFrame:
+def idiom_join(df: DataFrame, idioms: DataFrame) -> DataFrame:
     """N1.8 with a table of any size: ``df`` (after :func:`lexicon_join`) and the valence ``idiom`` of the phrase that a hit stands in or behind.
 
-    The seven runs of words around a hit are exploded in the order in which one overrides the other, joined with the phrases
-    by equality, and the best of each hit is joined back. Only hits take part, as narrow rows.
+    The seven runs of words around a hit are looked up one by one, in the order in which one overrides the other, as the neighbours are:
+    the table is written first, so that Spark knows its size, and rows that look nothing up have a key of their own each.
     """
     w, p1, p2, p3, n1, n2 = (F.lower(c) for c in ("w", "p1", "p2", "p3", "n1", "n2"))
 
@@ -287,9 +292,14 @@ def idiom_join(df: DataFrame, key: str, idioms: DataFrame) -> DataFrame:
         return F.concat_ws(" ", *words)
 
     runs = [F.when(n2.isNotNull(), run(w, n1, n2)), F.when(n1.isNotNull(), run(w, n1)), run(p1, w), run(p2, p1, w), run(p2, p1), run(p3, p2, p1), run(p3, p2)]
-    around = df.where(F.col("v0").isNotNull()).select(key, "pos", F.posexplode(F.array(*runs)).alias("rank", "phrase")).where("phrase is not null")
-    found = around.join(idiom_table(idioms), "phrase").groupBy(key, "pos").agg(F.min_by("idiom", "rank").alias("idiom"))
-    return df.join(found, [key, "pos"], "left")
+    table = stored(idiom_table(idioms), "idioms")
+    nothing = F.concat(F.lit("\u0000"), F.xxhash64(*df.columns).cast("string"))
+    out = df
+    for i, phrase in enumerate(runs):
+        k = table.select(F.col("phrase").alias(f"_k{i}"), F.col("idiom").alias(f"_idiom{i}"))
+        probe = F.coalesce(F.when(F.col("v0").isNotNull(), phrase), nothing)
+        out = out.join(k, probe == k[f"_k{i}"], "left").drop(f"_k{i}")
+    return out.select(*df.columns, F.coalesce(*[f"_idiom{i}" for i in range(len(runs))]).alias("idiom"))
 
 
 def score_words(df: DataFrame, boosters: Mapping[str, float] = BOOSTERS, negators=NEGATORS,
@@ -430,7 +440,7 @@ def sentiment_score(posts: DataFrame, key: str, text: str, lexicon: DataFrame,
     words = lexicon_join(post_words(posts, key, text, carry, rules.but, keep_text), lexicon)
     as_table = isinstance(idioms, DataFrame)
     if as_table:
-        words = idiom_join(words, key, idioms)
+        words = idiom_join(words, idioms)
     scored = score_words(words, boosters, negators, None if as_table else idioms, rules=rules)
     scored = scored.withColumn("s", F.col("s") * but_weight())
     sums = scored.groupBy(key).agg(
@@ -454,7 +464,7 @@ def sentiment_score(posts: DataFrame, key: str, text: str, lexicon: DataFrame,
 def lexicon_hits(posts: DataFrame, key: str, text: str, lexicon: DataFrame) -> DataFrame:
     """``(key, pos, token, valence)`` for every word found in the lexicon."""
     words = post_words(posts, key, text)
-    lex = lexicon_table(lexicon)
+    lex = stored(lexicon_table(lexicon), "lexicon")
     return (words.join(lex, F.lower(F.col("w")) == lex["lx_token"], "inner")
             .select(key, "pos", F.col("w").alias("token"), F.col("lx_valence").alias("valence")))
 
