@@ -56,6 +56,24 @@ def test_non_empty_computes_its_column_once(spark):
     assert [(r.id, r.t) for r in out.collect()] == [(2, "b c")]
 
 
+def test_a_crowded_place_is_cut_into_blocks(spark, monkeypatch):
+    """A third of both sides at one place: no piece of a cube holds all of its pairs."""
+    monkeypatch.setattr(geo, "BLOCK", 16)
+    at = lambda i: (51.5, -0.1) if i % 3 == 0 else (51.4 + i % 97 / 500, -0.5 + i % 89 / 200)
+    p = spark.createDataFrame([(i, *at(i)) for i in range(600)], "pid long, lat double, lon double")
+    c = spark.createDataFrame([(f"s{i}", *at(i)) for i in range(150)], "Station string, Latitude double, Longitude double")
+    out = geo.radius_join(p, c, km=2.0)
+    brute = p.crossJoin(c).where(geo.haversine_km("lat", "lon", "Latitude", "Longitude") <= 2.0)
+    rows = sorted((r.pid, r.Station) for r in out.collect())
+    assert rows == sorted((r.pid, r.Station) for r in brute.collect())
+    cubes = [geo.in_cubes(rows, lat, lon, geo.cube_side(2.0), ("x", "y", "z")) for rows, lat, lon in ((p, "lat", "lon"), (c, "Latitude", "Longitude"))]
+    pieces, centers = geo._blocks(*cubes)
+    key = [*geo.CUBE, "_i", "_j"]
+    assert pieces.groupBy(key).count().agg(F.max("count")).first()[0] < 60  # of 200 at one place
+    assert pieces.select("pid", "_i").distinct().count() == p.count()
+    assert centers.groupBy(key).count().agg(F.max("count")).first()[0] < 40
+
+
 def test_cast_on_load_is_the_scored_text(spark):
     out = Q.registry()["cast_on_load"](spark, "/root/testdata/sf0.001")
     assert [(f.name, f.dataType.simpleString()) for f in out.schema] == [
