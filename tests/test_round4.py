@@ -74,6 +74,37 @@ def test_a_crowded_place_is_cut_into_blocks(spark, monkeypatch):
     assert centers.groupBy(key).count().agg(F.max("count")).first()[0] < 40
 
 
+@pytest.mark.parametrize("depth", [1, 2, None])
+def test_first_n_within_is_the_whole_join_cut(spark, depth):
+    rnd = random.Random(11)
+    posts = [(i, None if i % 40 == 0 else rnd.randint(0, 50), 51.4 + rnd.random() * 0.2, -0.3 + rnd.random() * 0.3 * (i % 2)) for i in range(900)] + [(900, 99, None, 0.0)]
+    # two places of one name, a name that is null, and one that has nothing near
+    centers = [(f"s{i % 20}", 51.4 + rnd.random() * 0.2, -0.3 + rnd.random() * 0.3) for i in range(25)] + [(None, 51.5, -0.3), ("far", 10.0, 10.0)]
+    p = spark.createDataFrame(posts, "post_id long, date int, lat double, lon double")
+    c = spark.createDataFrame(centers, "Station string, Latitude double, Longitude double")
+    order = [F.desc("date"), F.asc("post_id")]
+    got = geo.first_n_within(p, c, "Station", order, 7, km=3.0, depth=depth)
+    want = ranking.top_n_per_group(geo.radius_join(p, c, km=3.0), "Station", order, 7, rank_col=None)
+    assert got.columns == want.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_first_n_within_makes_few_pairs(spark, monkeypatch):
+    """Ten posts of each station are wanted of thousands near it."""
+    p = spark.range(4000).select(F.col("id").alias("post_id"), F.col("id").alias("date"), (F.lit(51.5) + F.col("id") % 61 / 1e4).alias("lat"), (F.lit(0.1) + F.col("id") % 67 / 1e4).alias("lon"))
+    c = spark.range(20).select(F.concat(F.lit("s"), "id").alias("Station"), (F.lit(51.5) + F.col("id") / 1e4).alias("Latitude"), F.lit(0.1).alias("Longitude"))
+    made = []
+    near = geo._near
+
+    def counted(*args, **options):
+        out = near(*args, **options)
+        made.append(out.count())
+        return out
+    monkeypatch.setattr(geo, "_near", counted)
+    assert geo.first_n_within(p, c, "Station", [F.desc("date")], 10, km=5.0).count() == 200
+    assert sum(made) < 20 * 4000 / 5
+
+
 def test_cast_on_load_is_the_scored_text(spark):
     out = Q.registry()["cast_on_load"](spark, "/root/testdata/sf0.001")
     assert [(f.name, f.dataType.simpleString()) for f in out.schema] == [

@@ -81,9 +81,9 @@ def collect_posts(posts: DataFrame, stations: DataFrame, km: float = 1.0,
     """K3: the newest ``per_station`` posts within ``km`` of each station.
 
     Re-aims the remote geo search: stored posts are filtered by language and
-    keyword (pushed to the scan), radius-joined to the stations (cell
-    blocking, size-checked broadcast of the stations) and cut per station
-    with ``row_number`` (map-side ``WindowGroupLimit``). A post near two
+    keyword (pushed to the scan), radius-joined to the stations and cut per station
+    with ``row_number`` in rounds that meet the newest posts of each cell first, so not all pairs are
+    made (:func:`urbanlens.operators.geo.first_n_within`; building the plan runs them). A post near two
     stations appears once per station, as in the original per-station loop.
     """
     from urbanlens.operators import geo, ranking
@@ -94,10 +94,8 @@ def collect_posts(posts: DataFrame, stations: DataFrame, km: float = 1.0,
         src = tops.filter_language(src, "lang", lang)
     if keyword is not None:
         src = tops.filter_keyword(src, "tweets", keyword)
-    near = geo.radius_join(src.select("post_id", "date", "lat", "lon"),
-                           centers.select("Station", "Latitude", "Longitude"), km=km)
-    top = ranking.top_n_per_group(near, "Station", [F.desc("date"), F.asc("post_id")],
-                                  per_station, rank_col=None)
+    top = geo.first_n_within(src.select("post_id", "date", "lat", "lon"), centers.select("Station", "Latitude", "Longitude"),
+                             "Station", [F.desc("date"), F.asc("post_id")], per_station, km=km)
     # texts join the few that are left; ``post_id`` identifies a post
     return top.join(src.select("post_id", "tweets"), "post_id").select("post_id", "tweets", "date", F.col("Station").alias("station"))
 
