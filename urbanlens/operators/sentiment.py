@@ -6,8 +6,8 @@ The per-post library call of the original job is re-expressed as:
    the three previous and two next words (array shifts; no window, no shuffle);
 2. ``posexplode`` that array (the post text itself is not carried);
 3. look up the lexicon valence of each word and, for words that hit, whether
-   their neighbours are lexicon words: joins with the lexicon, which is written first, so that
-   Spark knows its size in bytes and broadcasts it when that allows (a frame of unknown size would shuffle all words);
+   their neighbours are lexicon words: joins with the lexicon, a dictionary, broadcast unless the
+   caller says that it is too large (a frame of unknown size would shuffle all words);
 4. apply the published rules (booster decay, ALL-CAPS emphasis, negation,
    "least", idioms, "but") as column expressions;
 5. sum per post (hash aggregate whose partial step runs before the shuffle,
@@ -28,7 +28,6 @@ from pyspark.sql import functions as F
 
 from urbanlens.functions._util import as_col
 from urbanlens.functions.text import split_words
-from urbanlens.sources.scratch import stored
 
 # --- fixed values (published model constants) --------------------------------
 B_INCR = 0.293
@@ -246,21 +245,25 @@ def is_anchor() -> Column:
     return F.col("pos").isNull() | (F.col("pos") == 0)
 
 
-def lexicon_join(words: DataFrame, lexicon: DataFrame, word_col: str = "w") -> DataFrame:
+def _dictionary(table: DataFrame, broadcast: bool) -> DataFrame:
+    return F.broadcast(table) if broadcast else table
+
+
+def lexicon_join(words: DataFrame, lexicon: DataFrame, word_col: str = "w", broadcast: bool = True) -> DataFrame:
     """Words with a valence ``v0`` and lexicon flags of their neighbours, and each post's anchor row.
 
     The lexicon is met first; only hits and one row per post go on, so
-    neighbour look-ups and rules don't touch the other words. Spark broadcasts
-    the lexicon when its size in bytes allows; building the plan writes it, so that the size is known. Rows that look nothing up have
+    neighbour look-ups and rules don't touch the other words. The lexicon
+    is broadcast; without ``broadcast``, for one beyond the memory of a task, Spark decides. Rows that look nothing up have
     a key of their own each: they never gather in one partition.
     """
-    lex = stored(lexicon_table(lexicon), "lexicon")
+    lex = _dictionary(lexicon_table(lexicon), broadcast)
     out = (words.join(lex, F.lower(F.col(word_col)) == lex["lx_token"], "left")
            .withColumnRenamed("lx_valence", "v0").drop("lx_token")
            .where(F.col("v0").isNotNull() | is_anchor()))
     nothing = F.concat(F.lit("\u0000"), F.xxhash64(*words.columns).cast("string"))
     for nb, flag in (("p1", "in1"), ("p2", "in2"), ("p3", "in3"), ("n1", "inn1")):
-        k = lex.select(F.col("lx_token").alias(f"_k_{flag}"), F.lit(True).alias(flag))
+        k = _dictionary(lex.select(F.col("lx_token").alias(f"_k_{flag}"), F.lit(True).alias(flag)), broadcast)
         probe = F.coalesce(F.when(F.col("v0").isNotNull(), F.lower(F.col(nb))), nothing)
         out = (out.join(k, probe == k[f"_k_{flag}"], "left").drop(f"_k_{flag}")
                .withColumn(flag, F.coalesce(F.col(flag), F.lit(False))))
@@ -280,11 +283,11 @@ def idiom_table(idioms: DataFrame, phrase_col: str = "phrase", valence_col: str
             .select("phrase", F.when(F.col("lo") != F.col("hi"), both).otherwise(F.col("hi")).alias("idiom")))
 
 
-def idiom_join(df: DataFrame, idioms: DataFrame) -> DataFrame:
+def idiom_join(df: DataFrame, idioms: DataFrame, broadcast: bool = True) -> DataFrame:
     """N1.8 with a table of any size: ``df`` (after :func:`lexicon_join`) and the valence ``idiom`` of the phrase that a hit stands in or behind.
 
     The seven runs of words around a hit are looked up one by one, in the order in which one overrides the other, as the neighbours are:
-    the table is written first, so that Spark knows its size, and rows that look nothing up have a key of their own each.
+    the table is broadcast unless the caller says that it is too large, and rows that look nothing up have a key of their own each.
     """
     w, p1, p2, p3, n1, n2 = (F.lower(c) for c in ("w", "p1", "p2", "p3", "n1", "n2"))
 
@@ -292,11 +295,11 @@ def idiom_join(df: DataFrame, idioms: DataFrame) -> DataFrame:
         return F.concat_ws(" ", *words)
 
     runs = [F.when(n2.isNotNull(), run(w, n1, n2)), F.when(n1.isNotNull(), run(w, n1)), run(p1, w), run(p2, p1, w), run(p2, p1), run(p3, p2, p1), run(p3, p2)]
-    table = stored(idiom_table(idioms), "idioms")
+    table = idiom_table(idioms)
     nothing = F.concat(F.lit("\u0000"), F.xxhash64(*df.columns).cast("string"))
     out = df
     for i, phrase in enumerate(runs):
-        k = table.select(F.col("phrase").alias(f"_k{i}"), F.col("idiom").alias(f"_idiom{i}"))
+        k = _dictionary(table.select(F.col("phrase").alias(f"_k{i}"), F.col("idiom").alias(f"_idiom{i}")), broadcast)
         probe = F.coalesce(F.when(F.col("v0").isNotNull(), phrase), nothing)
         out = out.join(k, probe == k[f"_k{i}"], "left").drop(f"_k{i}")
     return out.select(*df.columns, F.coalesce(*[f"_idiom{i}" for i in range(len(runs))]).alias("idiom"))
@@ -424,10 +427,11 @@ def sentiment_score(posts: DataFrame, key: str, text: str, lexicon: DataFrame,
                     boosters: Mapping[str, float] = BOOSTERS, negators=NEGATORS,
                     idioms: Mapping[str, float] | DataFrame = SPECIAL_CASES,
                     carry: Sequence[str] = (), places: int = 4,
-                    display_places: int | None = 2, rules: RuleWords = RULE_WORDS, keep_text: bool = False) -> DataFrame:
+                    display_places: int | None = 2, rules: RuleWords = RULE_WORDS, keep_text: bool = False, broadcast: bool = True) -> DataFrame:
     """``(key, carry.., compound[, sentiment])`` per post.
 
-    ``idioms`` is a small mapping or a table ``(phrase, valence)`` of any size.
+    ``idioms`` is a small mapping or a table ``(phrase, valence)``. Lexicon and table are broadcast; without
+    ``broadcast`` they may be of any size, and all words are shuffled if Spark finds them too large.
     With ``keep_text`` the text comes along, on one row of each post: nothing is read or shuffled twice for it.
 
     ``compound`` is rounded to ``places`` (4, as the model reports it);
@@ -437,10 +441,10 @@ def sentiment_score(posts: DataFrame, key: str, text: str, lexicon: DataFrame,
     """
     if key not in posts.columns:
         raise ValueError(f"sentiment_score needs a post key column, {key!r} not found")
-    words = lexicon_join(post_words(posts, key, text, carry, rules.but, keep_text), lexicon)
+    words = lexicon_join(post_words(posts, key, text, carry, rules.but, keep_text), lexicon, broadcast=broadcast)
     as_table = isinstance(idioms, DataFrame)
     if as_table:
-        words = idiom_join(words, idioms)
+        words = idiom_join(words, idioms, broadcast)
     scored = score_words(words, boosters, negators, None if as_table else idioms, rules=rules)
     scored = scored.withColumn("s", F.col("s") * but_weight())
     sums = scored.groupBy(key).agg(
@@ -461,10 +465,10 @@ def sentiment_score(posts: DataFrame, key: str, text: str, lexicon: DataFrame,
     return out
 
 
-def lexicon_hits(posts: DataFrame, key: str, text: str, lexicon: DataFrame) -> DataFrame:
+def lexicon_hits(posts: DataFrame, key: str, text: str, lexicon: DataFrame, broadcast: bool = True) -> DataFrame:
     """``(key, pos, token, valence)`` for every word found in the lexicon."""
     words = post_words(posts, key, text)
-    lex = stored(lexicon_table(lexicon), "lexicon")
+    lex = _dictionary(lexicon_table(lexicon), broadcast)
     return (words.join(lex, F.lower(F.col("w")) == lex["lx_token"], "inner")
             .select(key, "pos", F.col("w").alias("token"), F.col("lx_valence").alias("valence")))
 
