@@ -82,8 +82,8 @@ def collect_posts(posts: DataFrame, stations: DataFrame, km: float = 1.0,
 
     Re-aims the remote geo search: stored posts are filtered by language and
     keyword (pushed to the scan), radius-joined to the stations and cut per station
-    with ``row_number`` in rounds that meet the newest posts of each cell first, so not all pairs are
-    made (:func:`urbanlens.operators.geo.first_n_within`; building the plan runs them). A post near two
+    with ``row_number``; they meet the newest posts of each cell first, so not all pairs are
+    made (:func:`urbanlens.operators.geo.first_n_within`). A post near two
     stations appears once per station, as in the original per-station loop.
     """
     from urbanlens.operators import geo, ranking
