@@ -109,3 +109,14 @@ def test_cast_on_load_is_the_scored_text(spark):
     out = Q.registry()["cast_on_load"](spark, "/root/testdata/sf0.001")
     assert [(f.name, f.dataType.simpleString()) for f in out.schema] == [
         ("tweets", "string"), ("date", "timestamp"), ("station", "string"), ("sentiment", "decimal(10,4)")]
+
+
+@pytest.mark.parametrize("address", ["ann (at) site (dot) org", "ann[at]site.org", "ann at site dot org", "ann at site[.]org"])
+def test_windows_with_an_address_written_out_are_looked_at(address):
+    from urbanlens.llm import pii
+    assert pii.plausible(0, address)
+    for before in (0, 60, 100, 130, 500):
+        text = "x" * before + " " + address + " " + "y" * 300
+        at = text.index(address)
+        assert any(s <= at and at + len(address) <= s + pii.WINDOW for s in pii.window_starts(text))
+    assert not list(pii.window_starts("we met at noon and went home " * 20))
