@@ -86,3 +86,35 @@ def test_stages(spark, rows, tmp_path):
     assert len(tokens) == len(kept)
     for r in tokens:
         assert hashlib.sha256(b"".join(x.to_bytes(4, "little") for x in r.token_ids)).hexdigest() == r.ids_sha256 and len(r.token_ids) == r.n_tokens
+
+
+def test_toxicity_learns_from_every_labelled_row(spark, rows, monkeypatch):
+    """All labelled rows count that are not held out, however many and however long; the shards' files and order change nothing."""
+    rnd = random.Random(4)
+    plain = ["".join(rnd.choice("abcdefgh") for _ in range(6)) for _ in range(60)]
+    data = [(i, " ".join(rnd.choices(plain, k=20) + (["vilest"] if i % 2 else [])), "en", "s", 0) for i in range(300)]
+    # a word of no other texts than those that a bound on rows or on length drops
+    data += [(i, "rarely " * 30_000 + f"n{i}" if i > 303 else "rarely " + " ".join(rnd.choices(plain, k=20)), "en", "s", 0) for i in range(300, 330)]
+    docs = rows(data, DOCS)
+    labels = spark.createDataFrame([(d[0], d[0] % 2 if d[0] < 300 else 1) for d in data], "doc_id long, toxic int")
+    learned = docs.filter("crc32(cast(doc_id as string)) % 3 != 1")
+    totals = []
+    seen = toxicity._seen
+
+    def counted(part):
+        out = seen(part)
+        totals.append(out)
+        return out
+    monkeypatch.setattr(toxicity, "_seen", counted)
+    monkeypatch.setattr(toxicity, "SHARD", 64)
+    found = []
+    raw = toxicity._raw_scores
+    monkeypatch.setattr(toxicity, "_raw_scores", lambda *a: found.append(raw(*a)) or found[-1])
+    net = toxicity.train(docs, labels)
+    (features, total), = totals
+    fitted = learned.filter("crc32(text) % 4 != 0")
+    assert total.sum() == fitted.count() and total.sum() + sum(found[0].values()) == learned.count()
+    assert features[1, toxicity.features("rarely")[0]] == fitted.filter("text like '%rarely%'").count() > 0
+    again = toxicity.train(docs.repartition(5).unionByName(docs.limit(40)), labels.repartition(3))
+    assert all((a == b).all() for a, b in zip(net.parameters, again.parameters, strict=True)) and found[0] == found[1]
+    assert (net.scale, net.shift, net.thresholds) == (again.scale, again.shift, again.thresholds)
