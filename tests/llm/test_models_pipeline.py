@@ -118,3 +118,41 @@ def test_toxicity_learns_from_every_labelled_row(spark, rows, monkeypatch):
     again = toxicity.train(docs.repartition(5).unionByName(docs.limit(40)), labels.repartition(3))
     assert all((a == b).all() for a, b in zip(net.parameters, again.parameters, strict=True)) and found[0] == found[1]
     assert (net.scale, net.shift, net.thresholds) == (again.scale, again.shift, again.thresholds)
+
+
+def test_toxicity_words_found_at_once(monkeypatch):
+    """Words found and hashed for many texts at once are those of one text at a time, numbered as they come up."""
+    rnd = random.Random(7)
+    signs = [range(32, 127), range(0xA0, 0x250), range(0x370, 0x500), range(0x4E00, 0x9000), range(0x10000, 0x12000), [10, 32, 32, 95]]
+    texts = ["", " ", "\n", "a\nb\n", "İstanbul ΑΣ ΑΣ. ΟΔΟΣ\nΣ", "1.5 ²³ ½ ٣٤", "abcd abcde abcdef abcdefg abcdefgh", "a\0b", "é é ß ẞ",
+             *("x" * n + " " + "é" * n + " " + "漢" * n for n in (*range(1, 9), 21, 22, 31, 32, 33, 63, 64, 65, 500))]
+    texts += ["".join(chr(rnd.choice(rnd.choice(signs))) for _ in range(rnd.randrange(300))) for _ in range(300)]
+    number, feats = {"": 0}, [(0,) * (1 + len(toxicity.BEGINNINGS))]
+    for w in (w for t in texts for w in toxicity.text_words(t)):
+        if w not in number:
+            number[w] = len(number)
+            feats.append(toxicity.features(w))
+    expected = [[number[w] for w in toxicity.text_words(t)] for t in texts]
+    for at_once in (1 << 20, 500):
+        monkeypatch.setattr(toxicity, "AT_ONCE", at_once)
+        docs, found = toxicity.numbered(texts)
+        assert [d.tolist() for d in docs] == expected and [tuple(f) for f in found.tolist()] == feats
+    docs, found = toxicity.numbered([""])
+    assert [d.tolist() for d in docs] == [[]] and found.tolist() == [[0] * len(feats[0])]
+
+
+def test_toxicity_passes_read_numbers(spark, rows, monkeypatch):
+    """Texts are taken apart once: what the passes over the rows read holds none, but every labelled row."""
+    data = [(i, "some plain words here" + (" vilest" if i % 2 else "") + f" n{i}", "en", "s", 0) for i in range(300)]
+    docs = rows(data, DOCS)
+    labels = spark.createDataFrame([(d[0], d[0] % 2) for d in data], "doc_id long, toxic int")
+    read = []
+    for name in ("_seen", "_pass", "_raw_scores"):
+        def reading(part, *a, own=getattr(toxicity, name)):
+            read.append(part.collect())
+            return own(part, *a)
+        monkeypatch.setattr(toxicity, name, reading)
+    assert toxicity.train(docs, labels) is not None and len(read) == 2 + toxicity.PASSES
+    n = docs.filter("crc32(cast(doc_id as string)) % 3 != 1").count()
+    for chunk in read:
+        assert sum(len(c[5]) for c in chunk) == n and not any(isinstance(v, str) and "words" in v for c in chunk for v in c)
