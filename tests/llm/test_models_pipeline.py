@@ -156,3 +156,21 @@ def test_toxicity_passes_read_numbers(spark, rows, monkeypatch):
     n = docs.filter("crc32(cast(doc_id as string)) % 3 != 1").count()
     for chunk in read:
         assert sum(len(c[5]) for c in chunk) == n and not any(isinstance(v, str) and "words" in v for c in chunk for v in c)
+
+
+def passes_of(run, spark, rows, path, monkeypatch):
+    """Numbers of the passes that ``run`` makes over the labelled rows of tables below ``path``, dealt into some twenty shards, and what it returns."""
+    data = [(i, "some plain words here" + (" vilest" if i % 2 else "") + f" n{i}", "en", "s", 0) for i in range(450)]
+    rows(data, DOCS).write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame([(d[0], d[0] % 2) for d in data], "doc_id long, toxic int").write.parquet(f"{path}/labels.parquet")
+    passed, own = [], toxicity._pass
+    monkeypatch.setattr(toxicity, "SHARD", 16)
+    monkeypatch.setattr(toxicity, "_pass", lambda found, net, number: passed.append(number) or own(found, net, number))
+    out = run()
+    return passed, out
+
+
+def test_toxicity_large_tables_get_every_pass(spark, rows, tmp_path, monkeypatch):
+    """As many passes over the rows of many shards as over those of one."""
+    passed, out = passes_of(lambda: queries.registry()["op1_toxicity"](spark, str(tmp_path)), spark, rows, tmp_path, monkeypatch)
+    assert passed == list(range(6)) and out.count() == 450
