@@ -3,6 +3,7 @@ import hashlib
 import random
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -174,3 +175,19 @@ def test_toxicity_large_tables_get_every_pass(spark, rows, tmp_path, monkeypatch
     """As many passes over the rows of many shards as over those of one."""
     passed, out = passes_of(lambda: queries.registry()["op1_toxicity"](spark, str(tmp_path)), spark, rows, tmp_path, monkeypatch)
     assert passed == list(range(6)) and out.count() == 450
+
+
+def test_pipeline_large_tables_get_every_pass(spark, rows, tmp_path, monkeypatch):
+    """So does the pipeline's first stage, and what it drops is toxic."""
+    stage = dict(corpus_pipeline.STAGES)["toxicity"]
+    passed, out = passes_of(lambda: stage(spark, spark.read.parquet(str(tmp_path / "documents.parquet")), str(tmp_path)), spark, rows, tmp_path, monkeypatch)
+    assert passed == list(range(6)) and [r.doc_id for r in out.sort("doc_id").collect()] == list(range(0, 450, 2))
+
+
+def test_toxicity_numbers_come_back():
+    """Numbers of words beyond 16 bits are those before they were stored."""
+    words = [f"w{i}" for i in range(70_000)]
+    texts = [" ".join(words), "w69999 w0 w65535", ""]
+    (docs, feats, y, langs), = toxicity.chunks([toxicity._pack(0, 0, [Row(text=t, y=1, lang=None) for t in texts])], 0)
+    expected, found = toxicity.numbered(texts)
+    assert [d.tolist() for d in docs] == [d.tolist() for d in expected] and (feats == found).all() and len(feats) == 70_001
