@@ -1,11 +1,14 @@
 """Work that grows with the input: what is shuffled, computed once, or never made."""
 
+import math
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from urbanlens.functions import text as tf
+from urbanlens.functions._util import rounded
+from urbanlens.functions.geo import haversine_km
 from urbanlens.operators import geo, ranking
 from urbanlens.operators import sentiment as S
 from urbanlens.operators import text as tops
@@ -120,3 +123,33 @@ def test_windows_with_an_address_written_out_are_looked_at(address):
         at = text.index(address)
         assert any(s <= at and at + len(address) <= s + pii.WINDOW for s in pii.window_starts(text))
     assert not list(pii.window_starts("we met at noon and went home " * 20))
+
+
+def test_rounded_is_round(spark):
+    """Ties, numbers beside them, either sign, small and large, NaN and infinity."""
+    rnd = random.Random(8)
+    some = [rnd.uniform(-10 ** k, 10 ** k) for k in range(-8, 12) for _ in range(200)]
+    ties = [(n + 0.5) / 10 ** k for k in (4, 6) for n in (-3, -1, 0, 1, 2, 7, 12345, 10 ** 9, *[rnd.randrange(-10 ** 9, 10 ** 9) for _ in range(300)])]
+    beside = [math.nextafter(t, to) for t in ties for to in (-math.inf, math.inf)]
+    odd = [0.0, -0.0, 1e-300, -1e-9, 1e300, -1e300, 2.0 ** 53, math.inf, -math.inf, math.nan, None]
+    df = spark.createDataFrame([(x,) for x in some + ties + beside + odd], "x double")
+    for places in (0, 4, 6):
+        other = df.where(~rounded(F.col("x"), places).eqNullSafe(F.round("x", places)))
+        assert other.collect() == []
+
+
+def test_pairs_compute_no_angles_of_one_place(spark, tmp_path):
+    """What a distance needs of a place alone is not computed again for each pair, nor is a pair's distance made a decimal text; distances are those of the formula."""
+    rnd = random.Random(9)
+    place = lambda i: (i, rnd.choice([89.5, rnd.uniform(-90, 90)]), rnd.choice([179.9, rnd.uniform(-180, 180)]))
+    p = spark.createDataFrame([place(i) for i in range(400)], "pid long, lat double, lon double")
+    c = spark.createDataFrame([place(i) for i in range(200)], "cid long, Latitude double, Longitude double")
+    out = geo.radius_join(p, c, km=500.0)
+    above = plan(out).split("SortMergeJoin")[0]
+    assert "SIN" in above and "COS(" not in above and "RADIANS" not in above
+    brute = p.crossJoin(c).withColumn("distance_km", haversine_km("lat", "lon", "Latitude", "Longitude")).where("distance_km <= 500")
+    assert sorted(out.collect()) == sorted(brute.collect()) and out.count() > 1000
+    for table, key in (("customer", "c_custkey"), ("supplier", "s_suppkey")):
+        spark.range(30).withColumnRenamed("id", key).write.parquet(str(tmp_path / f"{table}.parquet"))
+    above = plan(Q.q_radius_join_global(spark, str(tmp_path))).split("SortMergeJoin")[0]
+    assert "CASE WHEN" in above and "RADIANS" not in above
